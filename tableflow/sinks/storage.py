@@ -1,0 +1,53 @@
+"""Folder operations on whatever file system a path is on (metadata only, never data)."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import SparkSession
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def rename(spark: SparkSession, source: str, destination: str) -> None:
+    fs, src = _hadoop(spark, source)
+    _, dst = _hadoop(spark, destination)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not rename {source} to {destination}")
+
+
+def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        fs, p = _hadoop(spark, path)
+        fs.delete(p, True)
+
+
+def restore_interrupted(spark: SparkSession, path: str) -> None:
+    """Put the previous snapshot back if a swap stopped between its two renames."""
+    if not exists(spark, path) and exists(spark, f"{path}__previous"):
+        rename(spark, f"{path}__previous", path)
+
+
+def replace_snapshot(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write a whole new snapshot beside the table, then swap the folders.
+
+    The new snapshot may read the old one. One writer at a time; a reader may miss the table
+    between the two renames, and on object stores a rename is a copy - use a table format there.
+    """
+    staging = f"{path}__staging_{uuid.uuid4().hex}"
+    write(staging)
+    previous = f"{path}__previous"
+    if exists(spark, path):
+        delete_folders(spark, [previous])
+        rename(spark, path, previous)
+    rename(spark, staging, path)
+    delete_folders(spark, [previous])
