@@ -44,19 +44,24 @@ def _newest(updates: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) ->
     return keyed.unionByName(keyless)
 
 
-def _no_rows_or_fail(updates: DataFrame, stored_keys: DataFrame, key: tuple[str, ...]) -> DataFrame:
+def _no_rows_or_fail(updates: DataFrame, hits: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """No rows, or a failed job if several updates claim one stored key.
 
-    The count is partial before its shuffle and what passes ``> 1`` is normally empty.
+    Both sides are counted in one aggregate, partial before its shuffle. The failure is part of a
+    comparison with the counts, so the optimizer cannot move it to where unmatched keys pass.
     """
-    repeated = (
-        updates.dropna(subset=list(key))
+    claims = (
+        updates.select(*key, F.lit(1).alias("__claims"), F.lit(0).alias("__stored"))
+        .unionByName(hits.select(*key, F.lit(0).alias("__claims"), F.lit(1).alias("__stored")))
+        .dropna(subset=list(key))
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where("__rows > 1")
+        .agg(F.sum("__claims").alias("__claims"), F.sum("__stored").alias("__stored"))
     )
     message = F.concat(F.lit("several updates for the row with key "), F.to_json(F.struct(*key)))
-    return matched_rows(repeated, stored_keys, key).where(F.raise_error(message).isNotNull())
+    allowed = F.when(
+        (F.col("__stored") > 0) & (F.col("__claims") > 1), F.raise_error(message).cast("bigint")
+    ).otherwise(F.col("__claims"))
+    return claims.where(F.col("__claims") != allowed)
 
 
 def _assign(name: str, value: Column, source: StructType, stored: StructType) -> Column:

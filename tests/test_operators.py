@@ -1,0 +1,228 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from tableflow.functions.collapse import first_non_null, first_non_null_sql
+from tableflow.functions.columns import base_name, first_token, on_date, tagged
+from tableflow.functions.dates import (
+    date_lit, parsed_date_lit, with_execution_date, with_load_date,
+)
+from tableflow.operators.checks import (
+    all_true, data_received, files_present, key_coverage, prefixes_exact, union_chunks,
+)
+from tableflow.operators.latest import latest_per_key
+from tableflow.operators.merge import merge
+from tableflow.operators.sqljoin import join_tables
+from tableflow.operators.upsert import upsert
+from tableflow.sources.tables import literal_table
+
+TRANSACTIONS = [
+    (1, "NA", None, 100.0, None), (1, "MX", 100, None, None), (1, "MX", 50, 200.0, None),
+    (1, "MX", None, 200.0, "Active"), (1, "NA", 200, None, "Inactive"), (2, "NA", 300, None, "Active"),
+]
+TRANSACTIONS_DDL = "regionId int, regionName string, units int, amount double, status string"
+COLLAPSED = [(1, "MX", 50, 200.0, "Active"), (1, "NA", 200, 100.0, "Inactive"), (2, "NA", 300, None, "Active")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_non_null(spark):
+    df = literal_table(spark, TRANSACTIONS, TRANSACTIONS_DDL)
+    assert rows(first_non_null(df, ["regionId", "regionName"], "units")) == COLLAPSED
+
+
+def test_first_non_null_as_sql(spark):
+    df = literal_table(spark, TRANSACTIONS, TRANSACTIONS_DDL)
+    df.createOrReplaceTempView("transactions")
+    sql = first_non_null_sql("transactions", df.columns, ["regionId", "regionName"], "units")
+    assert rows(spark.sql(sql)) == COLLAPSED
+
+
+def test_first_non_null_counts_empty_text_as_a_value(spark):
+    df = literal_table(spark, [(1, 1, ""), (1, 2, "x")], "k int, o int, v string")
+    assert rows(first_non_null(df, "k", "o")) == [(1, 1, "")]
+
+
+def test_first_non_null_needs_one_shuffle_and_no_python(spark):
+    df = literal_table(spark, TRANSACTIONS, TRANSACTIONS_DDL)
+    plan = plan_of(first_non_null(df, ["regionId", "regionName"], "units"))
+    assert plan.count("Exchange") == 1 and "partial_min" in plan and "Python" not in plan
+
+
+def test_dates(spark):
+    df = literal_table(spark, [(1, 1999, 5, 6)], "id int, year int, month int, day int")
+    day = dt.date(2021, 1, 1)  # belongs to ISO week-year 2020
+    assert rows(with_load_date(df, day)) == [(1, 2021, 1, 1)]
+    stamped = with_execution_date(df, day)
+    assert rows(stamped) == [(1, 1999, 5, 6, 2021, 1, 1)]
+    assert [f.dataType.simpleString() for f in stamped.schema][-3:] == ["int"] * 3
+    assert rows(df.select(date_lit(day), parsed_date_lit("2021-01-01"))) == [(day, day)]
+
+
+def test_column_helpers(spark):
+    df = literal_table(spark, [("/a/b/orders_1.csv",)], "path string")
+    name = base_name("path").alias("name")
+    assert rows(df.select(name).select("name", first_token("name"))) == [("orders_1.csv", "orders")]
+    assert rows(tagged(df, "entity", "orders"))[0][1] == "orders"
+
+
+@pytest.mark.parametrize("ddl,value", [
+    ("d date", dt.date(2021, 6, 21)), ("d string", "2021-06-21"),
+    ("d timestamp_ntz", dt.datetime(2021, 6, 21)),
+])
+def test_on_date_compares_in_the_columns_type(spark, ddl, value):
+    other = None if ddl != "d string" else "not a date"
+    df = literal_table(spark, [(value,), (other,)], ddl)
+    assert rows(on_date(df, "d", dt.date(2021, 6, 21))) == [(value,)]
+
+
+def test_latest_per_key(spark):
+    df = literal_table(
+        spark, [(1, 5, "a"), (1, 7, "b"), (2, None, "c"), (3, 1, "x"), (3, 1, "y")],
+        "k int, o int, v string",
+    )
+    assert rows(latest_per_key(df, "k", "o")) == [(1, 7, "b"), (2, None, "c"), (3, 1, "y")]
+    assert rows(latest_per_key(df.select("k"), "k")) == [(1,), (2,), (3,)]
+    assert "partial_max" in plan_of(latest_per_key(df, "k", "o"))
+
+
+def test_upsert_identifies_rows_by_key_and_partition(spark):
+    ddl = "id int, day string, o int, v string"
+    stored = literal_table(spark, [(1, "a", 9, "old"), (1, "b", 1, "old"), (2, None, 1, "old")], ddl)
+    batch = literal_table(
+        spark, [(1, "a", 1, "x"), (1, "a", 2, "y"), (2, None, 5, "new"), (3, "a", 1, "new")], ddl
+    )
+    assert rows(upsert(stored, batch, "id", "o", "day")) == [
+        (1, "a", 2, "y"), (1, "b", 1, "old"), (2, None, 5, "new"), (3, "a", 1, "new"),
+    ]
+    kept = upsert(stored, batch, "id", "o", "day", compare_with_stored=True)
+    assert (1, "a", 9, "old") in rows(kept) and kept.count() == 4
+
+
+def test_upsert_compared_with_stored_prefers_the_batch_on_equal_order(spark):
+    ddl = "id int, o int, v string"
+    stored = literal_table(spark, [(1, 1, "zzz")], ddl)
+    batch = literal_table(spark, [(1, 1, "aaa")], ddl)
+    assert rows(upsert(stored, batch, "id", "o", compare_with_stored=True)) == [(1, 1, "aaa")]
+
+
+def test_upsert_rejects_a_null_key(spark):
+    batch = literal_table(spark, [(None, 1)], "id int, o int")
+    with pytest.raises(PySparkException, match="record key 'id' is null"):
+        upsert(None, batch, "id", "o").collect()
+
+
+def test_merge_updates_and_inserts(spark):
+    ddl = "id int, v string"
+    target = literal_table(spark, [(1, "a"), (2, "b"), (2, "b2"), (None, "n")], ddl)
+    batch = literal_table(spark, [(2, "x"), (3, "y"), (None, "m")], ddl)
+    assert rows(merge(target, batch, "id")) == [
+        (None, "m"), (None, "n"), (1, "a"), (2, "x"), (2, "x"), (3, "y"),
+    ]
+
+
+def test_merge_with_differing_columns(spark):
+    target = literal_table(spark, [(1, "a", 10), (2, None, 20)], "id int, v string, n int")
+    batch = literal_table(spark, [(2, 5, None), (3, 6, "z")], "id int, extra int, v string")
+    merged = merge(target, batch, "id")
+    assert merged.columns == ["id", "v", "n", "extra"]
+    assert rows(merged) == [(1, "a", 10, None), (2, None, 20, 5), (3, "z", None, 6)]
+
+
+def test_merge_casts_to_the_stored_type(spark):
+    target = literal_table(spark, [(1, 1.5)], "id bigint, v double")
+    merged = merge(target, literal_table(spark, [(1, 2), (2, 3)], "id int, v int"), "id")
+    assert [f.dataType.simpleString() for f in merged.schema] == ["bigint", "double"]
+    assert rows(merged) == [(1, 2.0), (2, 3.0)]
+
+
+def test_merge_fails_on_ambiguous_updates_only_where_they_match(spark):
+    ddl = "id int, v string"
+    target = literal_table(spark, [(1, "a")], ddl)
+    unmatched = literal_table(spark, [(2, "x"), (2, "y")], ddl)
+    assert rows(merge(target, unmatched, "id")) == [(1, "a"), (2, "x"), (2, "y")]
+    ambiguous = literal_table(spark, [(1, "x"), (1, "y")], ddl)
+    for action in (lambda df: df.collect(), lambda df: df.count()):
+        with pytest.raises(PySparkException, match="several updates for the row with key"):
+            action(merge(target, ambiguous, "id"))
+    newest = merge(target, ambiguous, "id", on_duplicate="latest", order="v")
+    assert rows(newest) == [(1, "y")]
+
+
+KEYED = st.lists(st.tuples(st.integers(1, 6), st.integers(0, 9)), max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(stored=KEYED, batch=KEYED)
+def test_merge_and_upsert_properties(spark, stored, batch):
+    ddl = "k int, v int"
+    target = literal_table(spark, dict(stored).items(), ddl)
+    unique = literal_table(spark, dict(batch).items(), ddl)
+    once = rows(merge(target, unique, "k"))
+    assert once == sorted({**dict(stored), **dict(batch)}.items())
+    assert rows(merge(literal_table(spark, once, ddl), unique, "k")) == once
+    result = rows(upsert(target, literal_table(spark, batch, ddl), "k", "v"))
+    newest = {}
+    for k, v in batch:
+        newest[k] = max(v, newest.get(k, v))
+    assert result == sorted({**dict(stored), **newest}.items())
+
+
+def test_data_received(spark):
+    day = dt.date(2021, 6, 21)
+    tables = {
+        "orders": literal_table(spark, [(day,), (day,), (dt.date(2021, 6, 20),)], "date date"),
+        "items": literal_table(spark, [("2021-06-20",)], "date string"),
+    }
+    counts = data_received(spark, tables, "date", day, ["orders", "items", "customers"])
+    assert rows(counts) == [("customers", 0, False), ("items", 0, False), ("orders", 2, True)]
+    assert not all_true(counts, "received", "ok").first().ok
+    assert all_true(data_received(spark, tables, "date", day, ["orders"]), "received", "ok").first().ok
+    assert not all_true(data_received(spark, {}, "date", day, []), "received", "ok").first().ok
+
+
+def test_union_chunks_keeps_types(spark):
+    empty = union_chunks(spark, [], "a date, b string")
+    assert empty.count() == 0 and empty.schema["a"].dataType.simpleString() == "date"
+
+
+def test_files_present(spark):
+    files = literal_table(spark, [("orders_1.csv",), ("orders_2.csv",), ("ord.csv",)], "name string")
+    check = files_present(spark, files, ["orders_", "ord", "items_"])
+    assert rows(check) == [("items_", 0, False), ("ord", 3, True), ("orders_", 2, True)]
+    assert not all_true(check, "present", "ok").first().ok
+    assert not all_true(files_present(spark, files, []), "present", "ok").first().ok
+    assert "NestedLoop" not in plan_of(check) and "Cartesian" not in plan_of(check)
+
+
+def test_prefixes_exact(spark):
+    files = literal_table(spark, [("orders_1.csv",), ("extra_1.csv",)], "name string")
+    assert rows(prefixes_exact(spark, files, ["orders", "items"])) == [
+        ("extra", False, True, False), ("items", True, False, False), ("orders", True, True, True),
+    ]
+
+
+def test_key_coverage(spark):
+    df = literal_table(spark, [(1, 20), (1, 20), (1, 21), (2, 20)], "id int, day int")
+    assert rows(key_coverage(df, "id", "day", 4)) == [(3, 4, False)]
+    assert rows(key_coverage(df, "id", "day", 3, approximate=True)) == [(3, 3, True)]
+
+
+def test_join_runs_the_sql_as_it_is(spark):
+    orders = literal_table(spark, [(1, 1, 1, 1), (2, 2, 2, 3), (3, 2, 2, 5)],
+                           "orderId int, customerId int, itemId int, quantity int")
+    items = literal_table(spark, [(1, "bucket", 5.0), (2, "cup", 1.0), (3, "t-shirt", 2.0)],
+                          "itemId int, name string, price double")
+    joined = join_tables(
+        spark, {"orders": orders, "items": items},
+        'select o.orderId, o.customerId, o.itemId, quantity, i.name, i.price '
+        'from orders o, items i where o.itemId == i.itemId and i.name != "x"',
+    )
+    assert rows(joined) == [(1, 1, 1, 1, "bucket", 5.0), (2, 2, 2, 3, "cup", 1.0), (3, 2, 2, 5, "cup", 1.0)]
+    assert "Cartesian" not in plan_of(joined)
