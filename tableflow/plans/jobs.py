@@ -18,15 +18,23 @@ from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.files import read_batch, read_stream
 from tableflow.sources.manifest import manifest
 from tableflow.sources.schemas import load_schema
-from tableflow.sources.tables import read_table
+from tableflow.sources.tables import read_table, stored_table
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names
 from tableflow.streaming.queries import append_stream, archive_options, await_all, upsert_stream
 
 _LOAD_DATE = {"year", "month", "day"}
 
 
-def _tables(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
-    return {e.name: read_table(spark, job.output_format, job.table_path(e)) for e in job.entities}
+def _stored(
+    spark: SparkSession, job: LoadJob, schemas: Mapping[str, StructType], evolving: bool
+) -> dict[str, DataFrame]:
+    return {
+        e.name: stored_table(
+            spark, job.output_format, job.table_path(e), schemas[e.name], job.partition_by, evolving
+        )
+        for e in job.entities
+        if e.name in schemas
+    }
 
 
 # --- files to tables, batch ---------------------------------------------------------------------
@@ -37,16 +45,17 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
 
     With a keyed ``delta`` table the batch is merged; any other table is written whole, failing if
     it is there already unless the job overwrites. With a ledger only files not loaded before are
-    read, and a day without new files leaves its tables alone. The schema file, if there is one,
-    is used for reading; otherwise the schema is inferred.
+    read; an entity without new files is left alone and not returned. The schema file, if there is
+    one, is used for reading; otherwise the schema is inferred.
     """
+    schemas = {}
     for entity in job.entities:
         schema = load_schema(spark, job.schema_path, entity.name) if job.schema_path else None
-        files = None
-        if job.ledger_path:
+        ledger = f"{job.ledger_path}/{entity.name}" if job.ledger_path else None
+        if ledger:
             rows, files = read_pending(
-                spark, job.input_format, job.input_dir, f"{job.ledger_path}/{entity.name}",
-                schema, entity.glob, job.reader_options,
+                spark, job.input_format, job.input_dir, ledger, schema, entity.glob,
+                job.reader_options,
             )
             if rows is None:
                 continue
@@ -55,6 +64,7 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
                 spark, job.input_format, job.input_dir, schema, entity.glob, job.reader_options
             )
         rows = with_load_date(rows, job.ctx.execution_date)
+        schemas[entity.name] = rows.schema
         if job.output_format == "delta" and entity.key:
             merge_into(
                 spark, rows, job.table_path(entity), entity.key, job.partition_by,
@@ -66,9 +76,9 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
                 rows, job.output_format, job.table_path(entity), job.partition_by, job.overwrite,
                 cluster=not set(job.partition_by) <= _LOAD_DATE,
             )
-        if files is not None:
-            record_files(files, f"{job.ledger_path}/{entity.name}")
-    return _tables(spark, job)
+        if ledger:
+            record_files(files, ledger)
+    return _stored(spark, job, schemas, evolving=job.output_format == "delta")
 
 
 # --- files to tables, streaming -----------------------------------------------------------------
@@ -80,36 +90,43 @@ def stream_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
     Appends only. The checkpoint makes every file count once, so no ledger is needed.
     """
     archive = archive_options(job.input_path, job.ctx) if job.archive_sources else {}
-    queries = []
-    for entity in job.entities:
-        rows = read_stream(
+    streams = {
+        entity: read_stream(
             spark, job.input_format, job.input_dir,
             load_schema(spark, job.schema_path, entity.name), entity.glob,
             {**job.reader_options, **archive}, entity.name,
         )
-        queries.append(_append(rows, job, entity))
-    await_all(queries)
-    return _tables(spark, job)
+        for entity in job.entities
+    }
+    return _append_all(spark, job, streams)
 
 
 def stream_globs(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
     """As ``stream_files``, with each entity's pattern as part of the path, so it may span folders."""
-    queries = []
-    for entity in job.entities:
-        rows = read_stream(
+    streams = {
+        entity: read_stream(
             spark, job.input_format, f"{job.input_dir}/{entity.glob}",
             load_schema(spark, job.schema_path, entity.name), None, job.reader_options, entity.name,
         )
-        queries.append(_append(rows, job, entity))
-    await_all(queries)
-    return _tables(spark, job)
+        for entity in job.entities
+    }
+    return _append_all(spark, job, streams)
 
 
-def _append(rows: DataFrame, job: LoadJob, entity: EntitySpec):
-    return append_stream(
-        with_load_date(rows, job.ctx.execution_date), job.output_format, job.table_path(entity),
-        job.partition_by, job.trigger_interval_ms,
+def _append_all(
+    spark: SparkSession, job: LoadJob, streams: Mapping[EntitySpec, DataFrame]
+) -> dict[str, DataFrame]:
+    """Stamp and start every stream, then wait for all of them."""
+    stamped = {e: with_load_date(df, job.ctx.execution_date) for e, df in streams.items()}
+    await_all(
+        [
+            append_stream(
+                df, job.output_format, job.table_path(e), job.partition_by, job.trigger_interval_ms
+            )
+            for e, df in stamped.items()
+        ]
     )
+    return _stored(spark, job, {e.name: df.schema for e, df in stamped.items()}, evolving=False)
 
 
 # --- keyed ingest, batch or streaming -----------------------------------------------------------
@@ -122,7 +139,7 @@ def ingest_keyed(
 
     The same transform serves both modes: only the reader and the writer differ.
     """
-    queries = []
+    queries, schemas = [], {}
     for entity in job.entities:
         schema = load_schema(spark, job.schema_path, entity.name)
         path = f"{job.input_dir}/{entity.glob}"
@@ -133,6 +150,7 @@ def ingest_keyed(
                 spark, job.input_format, path, schema, None, job.reader_options, entity.name
             )
         rows = with_execution_date(rows, job.ctx.execution_date)
+        schemas[entity.name] = rows.schema
         table = job.table_path(entity)
         if batch:
             upsert_into(
@@ -147,7 +165,7 @@ def ingest_keyed(
                 )
             )
     await_all(queries)
-    return _tables(spark, job)
+    return _stored(spark, job, schemas, evolving=True)
 
 
 # --- join ---------------------------------------------------------------------------------------
@@ -166,22 +184,25 @@ def join_to_table(
     output_format: str = "parquet",
     overwrite: bool = False,
     upsert: bool = False,
+    schemas: Mapping[str, StructType] | None = None,
 ) -> DataFrame:
     """Join stored tables by SQL and save the result as the table ``<output>/<result.name>``.
 
     The result replaces the table if ``overwrite``, is upserted into it if ``upsert``, and
-    otherwise must not be there yet.
+    otherwise must not be there yet. ``schemas`` gives the types of partition columns where folder
+    names would not tell them.
     """
-    named = {t: read_table(spark, input_format, f"{ctx.job_dir(input_path)}/{t}") for t in tables}
+    named = {
+        t: read_table(spark, input_format, f"{ctx.job_dir(input_path)}/{t}", (schemas or {}).get(t))
+        for t in tables
+    }
     rows = with_execution_date(join_tables(spark, named, query), ctx.execution_date)
-    path = f"{output_path}/{result.name}"
+    path, parts = f"{output_path}/{result.name}", as_names(partition_by)
     if upsert:
-        upsert_into(
-            spark, rows, path, result.key, result.order, partition_by, output_format
-        )
+        upsert_into(spark, rows, path, result.key, result.order, parts, output_format)
     else:
-        write_files(rows, output_format, path, partition_by, overwrite)
-    return read_table(spark, output_format, path)
+        write_files(rows, output_format, path, parts, overwrite)
+    return stored_table(spark, output_format, path, rows.schema, parts)
 
 
 def ingest_then_join(
@@ -192,11 +213,11 @@ def ingest_then_join(
     partition_by: str | Iterable[str] = (),
 ) -> DataFrame:
     """Ingest every entity into its keyed table, then join these tables into another."""
-    ingest_keyed(spark, job, batch=True)
+    tables = ingest_keyed(spark, job, batch=True)
     return join_to_table(
-        spark, job.ctx, job.output_path, job.output_path, [e.name for e in job.entities], query,
-        result, as_names(partition_by) or job.partition_by, job.output_format, job.output_format,
-        overwrite=True,
+        spark, job.ctx, job.output_path, job.output_path, list(tables), query, result,
+        as_names(partition_by) or job.partition_by, job.output_format, job.output_format,
+        overwrite=True, schemas={name: df.schema for name, df in tables.items()},
     )
 
 
@@ -239,7 +260,7 @@ def stream_then_check(
 ) -> tuple[DataFrame, bool]:
     """Stream the day's files, then tell whether every entity has rows of the day.
 
-    Streamed tables carry the day in their load-date columns, so the check reads folders only.
+    Streamed tables carry the day in their load-date columns.
     """
     tables = stream_files(spark, job)
     year, month, day = as_names(date_columns)
@@ -263,13 +284,12 @@ def land_check_stream(
     check = files_present(spark, files, [f"{e.name}_" for e in job.entities])
     if not all_true(check, "present", "all_present").first()["all_present"]:
         return {}
-    queries = []
-    for entity in job.entities:
-        schema: StructType = load_schema(spark, job.schema_path, entity.name)
-        rows = landed_records(
-            landed_lines(spark, landing_path, job.ctx, stream=True), entity, schema,
-            (headers or {}).get(entity.name), job.reader_options,
+    streams = {
+        entity: landed_records(
+            landed_lines(spark, landing_path, job.ctx, stream=True), entity,
+            load_schema(spark, job.schema_path, entity.name), (headers or {}).get(entity.name),
+            job.reader_options,
         )
-        queries.append(_append(rows, job, entity))
-    await_all(queries)
-    return _tables(spark, job)
+        for entity in job.entities
+    }
+    return _append_all(spark, job, streams)

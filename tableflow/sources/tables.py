@@ -21,6 +21,26 @@ def read_table(
     return reader.load(path)
 
 
+def stored_table(
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    like: StructType,
+    partition_by: Sequence[str] = (),
+    evolving: bool = True,
+) -> DataFrame:
+    """A table to which rows of the schema ``like`` were written.
+
+    Text files carry no types and folder names only guess at them, so those come from ``like``.
+    A table that is not ``evolving`` has these columns and no others, and no footer is read.
+    """
+    actual = storage_format(spark, fmt)
+    if actual != "parquet":
+        return read_table(spark, fmt, path, like if actual in ("csv", "json") else None)
+    table = read_if_present(spark, path, like, partition_by, None if evolving else like)
+    return table if table is not None else empty_table(spark, like)
+
+
 def register_tables(spark: SparkSession, fmt: str, paths: Mapping[str, str]) -> None:
     """Name stored tables for SQL."""
     for name, path in paths.items():
@@ -59,11 +79,15 @@ def read_if_present(
         if schema is None:
             schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # A folder without files, such as a table no row has reached yet, is no table either.
+        if error.getCondition() == "PATH_NOT_FOUND" or "infer schema" in str(error):
             return None
         raise
     fields = [
-        StructField(f.name, like[f.name].dataType if f.name in partition_by else f.dataType)
+        StructField(
+            f.name,
+            like[f.name].dataType if f.name in partition_by and f.name in like.names else f.dataType,
+        )
         for f in schema.fields
     ]
     try:
