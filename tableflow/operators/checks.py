@@ -8,13 +8,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tableflow.functions.columns import first_token, on_date, tagged
 from tableflow.sources.tables import names_table
 
 
 def union_chunks(
-    spark: SparkSession, chunks: Iterable[DataFrame], schema: str
+    spark: SparkSession, chunks: Iterable[DataFrame], schema: StructType | str
 ) -> DataFrame:
     """All chunks one below the other; no chunk at all gives an empty table of ``schema``.
 

@@ -280,6 +280,16 @@ def land_check_stream(
 ) -> dict[str, DataFrame]:
     """Land the delivered files, require one per entity, then stream the landed lines into tables."""
     land_files(spark, delivery_path, [e.glob for e in job.entities], landing_path, job.ctx)
+    return stream_landed(spark, landing_path, job, headers)
+
+
+def stream_landed(
+    spark: SparkSession,
+    landing_path: str,
+    job: LoadJob,
+    headers: Mapping[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Stream the day's landed lines into tables, or nothing while an entity's file is missing."""
     files = landed_files(spark, landing_path, job.ctx)
     check = files_present(spark, files, [f"{e.name}_" for e in job.entities])
     if not all_true(check, "present", "all_present").first()["all_present"]:
