@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from tableflow.operators.merge import matched_rows, merge
 from tableflow.operators.upsert import upsert
 from tableflow.sinks.files import clustered, overwrite_partitions
-from tableflow.sinks.storage import delete_folders, replace_snapshot, restore_interrupted
+from tableflow.sources.storage import delete_folders, replace_snapshot, restore_interrupted
 from tableflow.sources.files import storage_format
 from tableflow.sources.tables import empty_table, read_if_present
 from tableflow.specs import as_names

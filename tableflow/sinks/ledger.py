@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +11,7 @@ from pyspark.sql.types import StructType
 from tableflow.session import scratch_dir
 from tableflow.sources.files import read_batch
 from tableflow.sources.manifest import manifest
+from tableflow.sources.storage import has_files
 
 LEDGER_SCHEMA = "path string, uri string, modified_at timestamp"
 
@@ -20,12 +20,9 @@ PATHS_LIMIT = 10000
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not has_files(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def pending_files(files: DataFrame, ledger: DataFrame) -> DataFrame:

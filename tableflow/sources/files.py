@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -17,15 +16,19 @@ EXACT_TIMESTAMPS = {
 }
 
 
+_available: dict[tuple[str, str], bool] = {}
+
+
 def source_available(spark: SparkSession, name: str) -> bool:
-    """Whether the session's class path has a data source of this name."""
-    try:
-        spark.read.format(name).schema("probe int").load([])
-    except AnalysisException as error:
-        return error.getCondition() != "DATA_SOURCE_NOT_FOUND"
-    except Exception as error:  # a source that resolves but refuses an empty path list
-        return "DATA_SOURCE_NOT_FOUND" not in str(error)
-    return True
+    """Whether the session's class path has a data source of this name; asked once per application."""
+    known = (spark.conf.get("spark.app.id"), name)
+    if known not in _available:
+        try:
+            spark.read.format(name).schema("probe int").load([])
+            _available[known] = True
+        except Exception as error:  # a source may resolve and still refuse an empty path list
+            _available[known] = "DATA_SOURCE_NOT_FOUND" not in str(error)
+    return _available[known]
 
 
 def storage_format(spark: SparkSession, name: str) -> str:

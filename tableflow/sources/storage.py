@@ -18,6 +18,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything a reader would look at, from its top level alone."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(
+        not status.getPath().getName().startswith(("_", ".")) for status in fs.listStatus(p)
+    )
+
+
 def rename(spark: SparkSession, source: str, destination: str) -> None:
     fs, src = _hadoop(spark, source)
     _, dst = _hadoop(spark, destination)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tableflow.sources.files import storage_format
+from tableflow.sources.storage import has_files
 
 
 def read_table(
@@ -75,14 +75,10 @@ def read_if_present(
     ``like``: Spark would read a stored string such as ``01`` or ``2015-01-01`` back as a number
     or a date.
     """
-    try:
-        if schema is None:
-            schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except AnalysisException as error:
-        # A folder without files, such as a table no row has reached yet, is no table either.
-        if error.getCondition() == "PATH_NOT_FOUND" or "infer schema" in str(error):
-            return None
-        raise
+    if not has_files(spark, path):
+        return None
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     fields = [
         StructField(
             f.name,
@@ -90,9 +86,4 @@ def read_if_present(
         )
         for f in schema.fields
     ]
-    try:
-        return spark.read.schema(StructType(fields)).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(StructType(fields)).parquet(path)

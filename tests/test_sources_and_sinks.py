@@ -12,7 +12,7 @@ from tableflow.sinks.files import insert_overwrite, overwrite_partitions, save_m
 from tableflow.sinks.keyed import merge_into, upsert_into
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
 from tableflow.sinks.ledger import read_pending, record_files
-from tableflow.sinks.storage import exists, replace_snapshot, restore_interrupted
+from tableflow.sources.storage import exists, replace_snapshot, restore_interrupted
 from tableflow.sources.files import (
     EXACT_TIMESTAMPS, combined_options, read_batch, read_stream, source_available, storage_format,
 )
