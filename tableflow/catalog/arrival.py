@@ -75,8 +75,6 @@ def _event_lines(spark, sf_dir):
     """Events as text lines of one file per type and day."""
     return table(spark, sf_dir, "events").select(
         F.concat_ws(",", "event_id", "user_id", "event_type").alias("value"),
-        F.lit(LANDING.job_id).alias("job_id"),
-        F.lit(LANDING.execution_date.isoformat()).alias("execution_date"),
         F.concat(
             "event_type", F.lit("_"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv")
         ).alias("file_name"),
@@ -85,7 +83,7 @@ def _event_lines(spark, sf_dir):
 
 def _landed(spark, sf_dir, name):
     folder = scratch_dir(spark, name)
-    land_lines(clustered(_event_lines(spark, sf_dir), "file_name"), folder)
+    land_lines(clustered(_event_lines(spark, sf_dir), "file_name"), folder, LANDING)
     return folder
 
 
@@ -136,7 +134,7 @@ def file_manifest(spark, sf_dir):
 @query(
     f"""
     select case when event_type = 'error' then {_LINE} || ',again' else {_LINE} end as value,
-           'landing' as job_id, '2024-02-01' as execution_date, {_FILE} as file_name
+           {_FILE} as file_name
     from events
     """
 )
@@ -145,7 +143,7 @@ def raw_landing(spark, sf_dir):
     folder = _landed(spark, sf_dir, "raw_landing")
     again = _event_lines(spark, sf_dir).where(F.col("value").endswith(",error"))
     again = again.withColumn("value", F.concat("value", F.lit(",again")))
-    land_lines(clustered(again, "file_name"), folder)
+    land_lines(clustered(again, "file_name"), folder, LANDING)
     return landed_lines(spark, folder, LANDING)
 
 
@@ -154,8 +152,10 @@ def files_landed(spark, sf_dir):
     """Delivered files, picked by pattern, copied line by line; twice is the same as once."""
     folder = scratch_dir(spark, "files_landed")
     _event_lines(spark, sf_dir).select("value").write.text(f"{folder}/in")
-    for _ in range(2):
-        land_files(spark, f"{folder}/in", ("*.txt", "part-0*"), f"{folder}/landing", LANDING)
+    for ledger in (None, f"{folder}/ledger", f"{folder}/ledger"):
+        land_files(
+            spark, f"{folder}/in", ("*.txt", "part-0*"), f"{folder}/landing", LANDING, ledger
+        )
     names = manifest(spark, f"{folder}/in").select(F.col("name").alias("file_name"))
     lines = landed_lines(spark, f"{folder}/landing", LANDING)
     return lines.join(names, "file_name", "left_semi").select("value")

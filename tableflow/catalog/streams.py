@@ -161,11 +161,9 @@ def land_check_stream(spark, sf_dir):
         lines = header.unionByName(rows.select(F.to_csv(F.struct("*")).alias("value")))
         land_lines(
             lines.select(
-                "value", F.lit(job.ctx.job_id).alias("job_id"),
-                F.lit(job.ctx.execution_date.isoformat()).alias("execution_date"),
-                F.lit(f"{name}_{job.ctx.execution_date}.csv").alias("file_name"),
+                "value", F.lit(f"{name}_{job.ctx.execution_date}.csv").alias("file_name")
             ),
-            landing,
+            landing, job.ctx,
         )
     tables = stream_landed(spark, landing, job, headers)
     return tables["customer"].select(

@@ -33,15 +33,18 @@ def matched_rows(target: DataFrame, updates: DataFrame, key: str | Iterable[str]
     return target.join(batch, _equal(key, "__upd_"), "left_semi")
 
 
+def _has_key(key: tuple[str, ...]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in key])
+
+
 def _newest(updates: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """Newest row per key; rows without a key are left alone.
 
     The rebalance gives the join below a shuffle of its own, without which AQE could not split a
     hot key on the table's side.
     """
-    keyed = latest_per_key(updates.dropna(subset=list(key)), key, order).hint("rebalance")
-    keyless = updates.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
-    return keyed.unionByName(keyless)
+    keyed = latest_per_key(updates.where(_has_key(key)), key, order).hint("rebalance")
+    return keyed.unionByName(updates.where(~_has_key(key)))
 
 
 def _no_rows_or_fail(updates: DataFrame, hits: DataFrame, key: tuple[str, ...]) -> DataFrame:
@@ -53,7 +56,7 @@ def _no_rows_or_fail(updates: DataFrame, hits: DataFrame, key: tuple[str, ...])
     claims = (
         updates.select(*key, F.lit(1).alias("__claims"), F.lit(0).alias("__stored"))
         .unionByName(hits.select(*key, F.lit(0).alias("__claims"), F.lit(1).alias("__stored")))
-        .dropna(subset=list(key))
+        .where(_has_key(key))
         .groupBy(*key)
         .agg(F.sum("__claims").alias("__claims"), F.sum("__stored").alias("__stored"))
     )
@@ -96,7 +99,7 @@ def merge(
     source, stored = updates.schema, target.schema
     columns = stored.names + [c for c in source.names if c not in stored.names]
 
-    incoming = updates.dropna(subset=list(key)).select(
+    incoming = updates.select(
         *_prefixed(updates, key, "__upd_"), F.struct(*updates.columns).alias("__new")
     )
     joined = target.join(incoming, _equal(key, "__upd_"), "left")
@@ -115,8 +118,10 @@ def merge(
         return _assign(name, F.col(name), source, stored).alias(name)
 
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
-    # anti-join is never larger than the batch.
-    hits = matched_rows(target.select(*key), updates, key).distinct()
+    # anti-join is never larger than the batch. Keys are made distinct as one struct: that takes a
+    # shuffle of its own, which lets AQE split a hot key in the semi-join before it.
+    hits = matched_rows(target.select(*key), updates, key)
+    hits = hits.select(F.struct(*key).alias("__key")).distinct().select("__key.*")
     unmatched = updates.join(
         hits.select(*_prefixed(hits, key, "__old_")), _equal(key, "__old_"), "left_anti"
     )

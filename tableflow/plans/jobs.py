@@ -18,6 +18,7 @@ from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.files import read_batch, read_stream
 from tableflow.sources.manifest import manifest
 from tableflow.sources.schemas import load_schema
+from tableflow.sources.storage import has_files
 from tableflow.sources.tables import read_table, stored_table
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names
 from tableflow.streaming.queries import append_stream, archive_options, await_all, upsert_stream
@@ -278,8 +279,12 @@ def land_check_stream(
     job: LoadJob,
     headers: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Land the delivered files, require one per entity, then stream the landed lines into tables."""
-    land_files(spark, delivery_path, [e.glob for e in job.entities], landing_path, job.ctx)
+    """Land the delivered files, require one per entity, then stream the landed lines into tables.
+
+    A delivered file is landed once, so running the job again adds nothing.
+    """
+    ledger = job.ledger_path or f"{landing_path}/_landed"
+    land_files(spark, delivery_path, [e.glob for e in job.entities], landing_path, job.ctx, ledger)
     return stream_landed(spark, landing_path, job, headers)
 
 
@@ -290,6 +295,8 @@ def stream_landed(
     headers: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Stream the day's landed lines into tables, or nothing while an entity's file is missing."""
+    if not has_files(spark, landing_path):
+        return {}
     files = landed_files(spark, landing_path, job.ctx)
     check = files_present(spark, files, [f"{e.name}_" for e in job.entities])
     if not all_true(check, "present", "all_present").first()["all_present"]:

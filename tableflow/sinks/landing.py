@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.specs import EntitySpec, JobContext
 
-LANDED_SCHEMA = "value string, job_id string, execution_date string, file_name string"
+LINE = StructType().add("value", "string")
+
+
+def _day_folder(landing_path: str, ctx: JobContext) -> str:
+    return f"{landing_path}/job_id={ctx.job_id}/execution_date={ctx.execution_date.isoformat()}"
 
 
 def land_files(
@@ -19,31 +24,41 @@ def land_files(
     globs: Iterable[str],
     landing_path: str,
     ctx: JobContext,
+    ledger_path: str | None = None,
 ) -> None:
     """Copy the lines of matching files to ``<landing>/job_id=/execution_date=/file_name=``.
 
-    Landing a file again replaces that file's lines only. A large file is split over tasks like any
-    text scan, so one delivery of any size is no single task's work.
+    Landing a file again replaces that file's lines only; with a ledger, files landed before are
+    left alone. A large file is split over tasks like any text scan, so one delivery of any size
+    is no single task's work.
     """
     patterns = list(dict.fromkeys(globs))
     pattern = patterns[0] if len(patterns) == 1 else "{" + ",".join(patterns) + "}"
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(input_path)
-        .select(
+    taken = None
+    if ledger_path:
+        lines, taken = read_pending(
+            spark, "text", input_path, ledger_path, LINE, pattern, name_column="file_name"
+        )
+        if lines is None:
+            return
+    else:
+        lines = spark.read.option("pathGlobFilter", pattern).text(input_path)
+        lines = lines.select("value", F.col("_metadata.file_name").alias("file_name"))
+    land_lines(lines, landing_path, ctx)
+    if taken is not None:
+        record_files(taken, ledger_path)
+
+
+def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
+    """Land lines given as ``value`` and ``file_name``."""
+    (
+        lines.select(
             "value",
             F.lit(ctx.job_id).alias("job_id"),
             F.lit(ctx.execution_date.isoformat()).alias("execution_date"),
-            F.col("_metadata.file_name").alias("file_name"),
+            "file_name",
         )
-    )
-    land_lines(lines, landing_path)
-
-
-def land_lines(lines: DataFrame, landing_path: str) -> None:
-    """Write lines that carry ``job_id``, ``execution_date`` and ``file_name``."""
-    (
-        lines.write.mode("overwrite")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("job_id", "execution_date", "file_name")
         .text(landing_path)
@@ -53,22 +68,27 @@ def land_lines(lines: DataFrame, landing_path: str) -> None:
 def landed_lines(
     spark: SparkSession, landing_path: str, ctx: JobContext, stream: bool = False
 ) -> DataFrame:
-    """Landed lines of one job and date; the condition prunes folders."""
+    """Landed lines of one job and date, and no folder of another day is listed."""
     reader = spark.readStream if stream else spark.read
     return (
         reader.format("text")
-        .schema(LANDED_SCHEMA)
-        .load(landing_path)
-        .where(
-            (F.col("job_id") == ctx.job_id)
-            & (F.col("execution_date") == ctx.execution_date.isoformat())
-        )
+        .schema("value string, file_name string")
+        .load(_day_folder(landing_path, ctx))
     )
 
 
 def landed_files(spark: SparkSession, landing_path: str, ctx: JobContext) -> DataFrame:
-    """Names of the landed files, from the folder names alone."""
-    return landed_lines(spark, landing_path, ctx).select(F.col("file_name").alias("name")).distinct()
+    """Names of the files landed for a job and date, from a listing: no line is read."""
+    return (
+        spark.read.format("binaryFile")
+        .schema(
+            "path string, modificationTime timestamp, length bigint, content binary, "
+            "file_name string"
+        )
+        .load(_day_folder(landing_path, ctx))
+        .select(F.col("file_name").alias("name"))
+        .distinct()
+    )
 
 
 def landed_records(

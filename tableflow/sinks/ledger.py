@@ -43,8 +43,12 @@ def read_pending(
     schema: StructType | None = None,
     glob: str = "*",
     options: Mapping[str, str] | None = None,
+    name_column: str | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Rows of the files not loaded yet (None if there are none) and the list of these files."""
+    """Rows of the files not loaded yet (None if there are none) and the list of these files.
+
+    ``name_column`` adds the name of the file a row came from.
+    """
     pending = pending_files(manifest(spark, path, glob), read_ledger(spark, ledger_path))
     # The list is written down first: what is loaded now must be what is recorded later, whatever
     # arrives in between.
@@ -54,11 +58,13 @@ def read_pending(
     paths = [r["path"] for r in taken.select("path").limit(PATHS_LIMIT + 1).collect()]
     if not paths:
         return None, taken
+    named = {name_column: F.col("_metadata.file_name")} if name_column else {}
     if len(paths) <= PATHS_LIMIT:
-        return read_batch(spark, fmt, paths, schema, None, options), taken
+        return read_batch(spark, fmt, paths, schema, None, options).withColumns(named), taken
     everything = read_batch(spark, fmt, path, schema, glob, options)
     rows = everything.withColumns(
         {
+            **named,
             "__uri": F.col("_metadata.file_path"),
             "__modified_at": F.col("_metadata.file_modification_time"),
         }

@@ -32,7 +32,12 @@ def source_available(spark: SparkSession, name: str) -> bool:
 
 
 def storage_format(spark: SparkSession, name: str) -> str:
-    """The format to store a table in: keyed formats fall back to Parquet without their jar."""
+    """The format to store a table in: keyed formats fall back to Parquet without their jar.
+
+    Raw lines (``text``) are read for landing but are no table format a job may name.
+    """
+    if name == "text":
+        return name
     check_format(name)
     if name in KEYED_FORMATS and not source_available(spark, name):
         return "parquet"

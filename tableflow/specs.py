@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -68,6 +69,10 @@ class JobContext:
     job_id: str
     execution_date: dt.date
 
+    def __post_init__(self):
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", self.job_id):
+            raise ValueError(f"job id '{self.job_id}' names a folder: letters, digits, _ . - only")
+
     def dated_dir(self, root: str) -> str:
         return f"{root}/{self.job_id}/{self.execution_date.isoformat()}"
 

@@ -20,7 +20,7 @@ from tableflow.sources.generator import generated_items, generated_orders
 from tableflow.sources.manifest import manifest, manifest_of
 from tableflow.sources.schemas import load_schema
 from tableflow.sources.tables import literal_table, read_if_present, read_table, register_tables
-from tableflow.specs import EntitySpec, LoadJob, check_format, entity_glob
+from tableflow.specs import EntitySpec, JobContext, LoadJob, check_format, entity_glob
 
 INSERTED = [
     ("100", "2015-01-01", "2015-01-01T13:51:39.340396Z"),
@@ -44,6 +44,8 @@ def test_specs(ctx):
     job = LoadJob(ctx, "/in", "/out", (entity,))
     assert job.input_dir == "/in/shop/2021-06-21" and job.table_path(entity) == "/out/shop/items"
     assert entity_glob("items", ctx.execution_date) == "items_*2021-06-21.csv"
+    with pytest.raises(ValueError, match="names a folder"):
+        JobContext("a/b", ctx.execution_date)
     with pytest.raises(ValueError, match="unknown file format 'xml'"):
         check_format("xml")
     with pytest.raises(ValueError):
