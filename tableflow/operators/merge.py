@@ -22,15 +22,21 @@ def _prefixed(df: DataFrame, key: tuple[str, ...], prefix: str) -> list[Column]:
     return [df[k].alias(f"{prefix}{k}") for k in key]
 
 
-def matched_rows(target: DataFrame, updates: DataFrame, key: str | Iterable[str]) -> DataFrame:
-    """Rows of ``target`` whose key occurs in ``updates``.
+def stored_matches(
+    target: DataFrame,
+    updates: DataFrame,
+    key: str | Iterable[str],
+    columns: str | Iterable[str] = (),
+) -> DataFrame:
+    """Distinct keys (and further columns) of ``target`` whose key occurs in ``updates``.
 
-    A semi-join: Spark broadcasts the keys of a small batch on their measured size, and the table
-    itself is then not shuffled; otherwise a hot key of the table is split by AQE.
+    Distinct comes first, so a hot key leaves each task as one row. Where the batch is small enough
+    to broadcast, Spark moves the semi-join below it and only matching keys are shuffled.
     """
     key = as_names(key)
+    stored = target.select(*dict.fromkeys(key + as_names(columns))).distinct()
     batch = updates.select(*_prefixed(updates, key, "__upd_"))
-    return target.join(batch, _equal(key, "__upd_"), "left_semi")
+    return stored.join(batch, _equal(key, "__upd_"), "left_semi")
 
 
 def _has_key(key: tuple[str, ...]) -> Column:
@@ -118,10 +124,8 @@ def merge(
         return _assign(name, F.col(name), source, stored).alias(name)
 
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
-    # anti-join is never larger than the batch. Keys are made distinct as one struct: that takes a
-    # shuffle of its own, which lets AQE split a hot key in the semi-join before it.
-    hits = matched_rows(target.select(*key), updates, key)
-    hits = hits.select(F.struct(*key).alias("__key")).distinct().select("__key.*")
+    # anti-join is never larger than the batch.
+    hits = stored_matches(target, updates, key)
     unmatched = updates.join(
         hits.select(*_prefixed(hits, key, "__old_")), _equal(key, "__old_"), "left_anti"
     )

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from tableflow.functions.dates import with_execution_date, with_load_date
 from tableflow.operators.checks import all_true, data_received, files_present, prefixes_exact
 from tableflow.operators.sqljoin import join_tables
+from tableflow.session import stored_once
 from tableflow.sinks.files import write_files
 from tableflow.sinks.keyed import merge_into, upsert_into
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
@@ -200,6 +201,7 @@ def join_to_table(
     rows = with_execution_date(join_tables(spark, named, query), ctx.execution_date)
     path, parts = f"{output_path}/{result.name}", as_names(partition_by)
     if upsert:
+        rows = stored_once(spark, rows, result.name)
         upsert_into(spark, rows, path, result.key, result.order, parts, output_format)
     else:
         write_files(rows, output_format, path, parts, overwrite)

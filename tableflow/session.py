@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -46,6 +46,14 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def stored_once(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Rows written to the scratch folder and read back, for results that are costly to compute
+    and used several times. A lost executor costs a file read, not the computation."""
+    folder = scratch_dir(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run; all of an application's folders share one parent."""
     app = spark.conf.get("spark.app.id")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tableflow.operators.merge import matched_rows, merge
+from tableflow.operators.merge import merge, stored_matches
 from tableflow.operators.upsert import upsert
 from tableflow.sinks.files import clustered, overwrite_partitions
 from tableflow.sources.storage import delete_folders, replace_snapshot, restore_interrupted
@@ -39,16 +39,42 @@ def _listed(ids: DataFrame) -> list[str] | None:
     return [r[0] for r in rows] if len(rows) <= PRUNING_LIMIT else None
 
 
-def in_partitions(df: DataFrame, ids: DataFrame, parts: tuple[str, ...]) -> DataFrame:
-    """Rows in the given partitions.
+def _folders(table: DataFrame, parts: tuple[str, ...], listed: list[str]) -> dict[str, str]:
+    """Folder of each listed partition that exists; the scan prunes the others and reads no column."""
+    found = (
+        table.where(_partition_id(parts).isin(listed))
+        .select(
+            _partition_id(parts).alias("id"),
+            F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
+        )
+        .distinct()
+        .collect()
+    )
+    return {row["id"]: unquote(row["folder"]) for row in found}
+
 
-    As a list of values the condition prunes folders before anything is read. A list too long for
-    that becomes a semi-join, which gives the same rows.
+def _touched_rows(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    parts: tuple[str, ...],
+    schema: StructType | None,
+) -> DataFrame | None:
+    """Stored rows of the partitions a batch has rows for; None if there are none.
+
+    Only these folders' footers are looked at. A list of partitions too long for that becomes a
+    semi-join over the whole table, which gives the same rows.
     """
+    table = read_if_present(spark, path, updates.schema, parts, schema, all_columns=False)
+    if table is None:
+        return None
+    ids = _partition_ids(updates, parts)
     listed = _listed(ids)
-    if listed is not None:
-        return df.where(_partition_id(parts).isin(listed))
-    return df.join(ids, _partition_id(parts) == F.col("__partition"), "left_semi")
+    if listed is None:
+        table = read_if_present(spark, path, updates.schema, parts, schema)
+        return table.join(ids, _partition_id(parts) == F.col("__partition"), "left_semi")
+    folders = list(_folders(table, parts, listed).values())
+    return read_if_present(spark, path, updates.schema, parts, schema, folders) if folders else None
 
 
 def _write_snapshot(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:
@@ -69,20 +95,20 @@ def upsert_into(
     """Upsert a batch into the table at ``path``, creating it if need be.
 
     Running it again with the same batch changes nothing, so a failed run is simply repeated.
-    ``schema``, if known, saves reading the footers of a large table.
+    The batch is read more than once, so one that is costly to compute should be stored first.
+    ``schema``, if known, saves looking at the footers of the partitions concerned.
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
     if fmt == "hudi" and storage_format(spark, fmt) == "hudi":
         _hudi_upsert(updates, path, key, order, parts)
         return
     restore_interrupted(spark, path)
-    stored = read_if_present(spark, path, updates.schema, parts, schema)
     if not parts:
+        stored = read_if_present(spark, path, updates.schema, parts, schema)
         result = upsert(stored, updates, key, order, (), compare_with_stored)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
         return
-    if stored is not None:
-        stored = in_partitions(stored, _partition_ids(updates, parts), parts)
+    stored = _touched_rows(spark, path, updates, parts, schema)
     overwrite_partitions(
         upsert(stored, updates, key, order, parts, compare_with_stored), path, parts
     )
@@ -109,38 +135,33 @@ def merge_into(
         _delta_merge(spark, updates, path, key, parts, schema)
         return
     restore_interrupted(spark, path)
-    stored = read_if_present(spark, path, schema or updates.schema, parts)
-    target = stored if stored is not None else empty_table(spark, schema or updates.schema)
-
+    like = schema or updates.schema
+    table = read_if_present(spark, path, like, parts, all_columns=False)
     touched = None
-    if stored is not None and parts:
-        left = matched_rows(stored.select(*dict.fromkeys(key + parts)), updates, key)
+    if table is not None and parts:
         touched = _listed(
-            _partition_ids(left, parts).union(_partition_ids(updates, parts)).distinct()
+            _partition_ids(stored_matches(table, updates, key, parts), parts).union(_partition_ids(updates, parts)).distinct()
         )
     if touched is None:
+        target = read_if_present(spark, path, like, parts)
+        if target is None:
+            target = empty_table(spark, like)
         result = merge(target, updates, key, on_duplicate, order)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
         return
 
     # Partitions outside the list hold no matching key, so they cannot change.
-    target = stored.where(_partition_id(parts).isin(touched))
-    folders = {
-        row["id"]: row["folder"]
-        for row in target.select(
-            _partition_id(parts).alias("id"),
-            F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
-        )
-        .distinct()
-        .collect()
-    }
+    folders = _folders(table, parts, touched)
+    target = empty_table(spark, table.schema)
+    if folders:
+        target = read_if_present(spark, path, like, parts, None, list(folders.values()))
     written = Observation("written partitions")
     result = merge(target, updates, key, on_duplicate, order)
     overwrite_partitions(
         result.observe(written, F.collect_set(_partition_id(parts)).alias("ids")), path, parts
     )
     emptied = [folder for id_, folder in folders.items() if id_ not in written.get["ids"]]
-    delete_folders(spark, [unquote(folder) for folder in emptied])
+    delete_folders(spark, emptied)
 
 
 def _delta_merge(spark, updates, path, key, parts, schema) -> None:

@@ -67,18 +67,22 @@ def read_if_present(
     like: StructType,
     partition_by: Sequence[str] = (),
     schema: StructType | None = None,
+    folders: Sequence[str] = (),
+    all_columns: bool = True,
 ) -> DataFrame | None:
-    """A stored Parquet table, or None when there is none yet.
+    """A stored Parquet table, or the given folders of it, or None when there is none yet.
 
-    Columns may differ between partitions after schema evolution, so the footers are merged (a
-    distributed pass) unless the caller knows the ``schema``. Partition columns keep the types of
-    ``like``: Spark would read a stored string such as ``01`` or ``2015-01-01`` back as a number
-    or a date.
+    Columns may differ between partitions after schema evolution. To have ``all_columns`` the
+    footers of what is read are merged in a distributed pass; otherwise one footer speaks for all.
+    A given ``schema`` needs neither. Partition columns keep the types of ``like``: Spark would
+    read a stored string such as ``01`` or ``2015-01-01`` back as a number or a date.
     """
     if not has_files(spark, path):
         return None
+    paths = list(folders) or [path]
     if schema is None:
-        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+        reader = spark.read.option("basePath", path).option("mergeSchema", all_columns)
+        schema = reader.parquet(*paths).schema
     fields = [
         StructField(
             f.name,
@@ -86,4 +90,4 @@ def read_if_present(
         )
         for f in schema.fields
     ]
-    return spark.read.schema(StructType(fields)).parquet(path)
+    return spark.read.option("basePath", path).schema(StructType(fields)).parquet(*paths)
