@@ -10,8 +10,9 @@ from tableflow.catalog.registry import DAY_ONE, query, table
 from tableflow.operators.checks import all_true, data_received, key_coverage, prefixes_exact
 from tableflow.operators.checks import files_present as check_files_present
 from tableflow.operators.latest import latest_per_key
+from tableflow.plans.jobs import check_data, check_files
 from tableflow.session import scratch_dir
-from tableflow.sinks.files import clustered
+from tableflow.sinks.files import clustered, write_files
 from tableflow.sinks.landing import land_files, land_lines, landed_files, landed_lines
 from tableflow.sources.generator import generated_items as items_from
 from tableflow.sources.generator import generated_orders as orders_from
@@ -56,6 +57,42 @@ def data_received_verdict(spark, sf_dir):
     return all_true(_received(spark, sf_dir), "received", "all_received")
 
 
+@query(
+    """
+    select w.entity, count(d.entity) as rows, count(d.entity) > 0 as received
+    from (values ('orders'), ('lineitem')) w(entity)
+    left join (
+        select 'orders' as entity from orders where o_orderdate = timestamp '2024-02-01'
+        union all
+        select 'lineitem' from lineitem where l_shipdate = timestamp '2024-02-01'
+    ) d on w.entity = d.entity
+    group by w.entity
+    """
+)
+def stored_data_not_received(spark, sf_dir):
+    """The check as a job over stored tables, on a day none of them has rows for."""
+    root = scratch_dir(spark, "stored_data_not_received")
+    for name, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        rows = table(spark, sf_dir, name).withColumn("date", F.to_date(column))
+        rows.write.parquet(f"{LANDING.job_dir(root)}/{name}")
+    return check_data(spark, LANDING, root, ("orders", "lineitem"), "date")
+
+
+@query(
+    """
+    select 'part-' as prefix, count(*) > 0 as present from orders
+    union all
+    select 'orders-', false
+    """
+)
+def delivered_files_present(spark, sf_dir):
+    """The check as a job over a delivery folder; Spark names its files ``part-``."""
+    root = scratch_dir(spark, "delivered_files_present")
+    write_files(table(spark, sf_dir, "orders"), "csv", LANDING.dated_dir(root))
+    found = check_files(spark, LANDING, root, ("part-", "orders-"), "*.csv")
+    return found.select("prefix", "present")
+
+
 @query(
     "select count(distinct o_custkey || '_' || month(o_orderdate)) as found, "
     "cast(1000 as bigint) as expected, "

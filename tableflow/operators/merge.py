@@ -81,6 +81,29 @@ def _assign(name: str, value: Column, source: StructType, stored: StructType) ->
     return value
 
 
+def deduplicated(
+    updates: DataFrame, key: tuple[str, ...], on_duplicate: str, order: str | Iterable[str]
+) -> DataFrame:
+    """The batch as it is to be merged; with "error" it stays, and repeats are found later."""
+    if on_duplicate not in ("error", "latest"):
+        raise ValueError(f"on_duplicate is 'error' or 'latest', not '{on_duplicate}'")
+    return updates if on_duplicate == "error" else _newest(updates, key, as_names(order))
+
+
+def as_inserted(updates: DataFrame, stored: StructType) -> DataFrame:
+    """Rows of a batch as they are inserted: the table's columns and types, then new columns."""
+    source = updates.schema
+    columns = stored.names + [c for c in source.names if c not in stored.names]
+    return updates.select(
+        *[
+            _assign(c, F.col(c), source, stored).alias(c)
+            if c in source.names
+            else F.lit(None).cast(stored[c].dataType).alias(c)
+            for c in columns
+        ]
+    )
+
+
 def merge(
     target: DataFrame,
     updates: DataFrame,
@@ -97,13 +120,9 @@ def merge(
     * Columns the updates lack keep their stored value; columns the table lacks are added, null
       on rows the batch does not touch.
     """
-    key, order = as_names(key), as_names(order)
-    if on_duplicate not in ("error", "latest"):
-        raise ValueError(f"on_duplicate is 'error' or 'latest', not '{on_duplicate}'")
-    if on_duplicate == "latest":
-        updates = _newest(updates, key, order)
+    key = as_names(key)
+    updates = deduplicated(updates, key, on_duplicate, order)
     source, stored = updates.schema, target.schema
-    columns = stored.names + [c for c in source.names if c not in stored.names]
 
     incoming = updates.select(
         *_prefixed(updates, key, "__upd_"), F.struct(*updates.columns).alias("__new")
@@ -118,24 +137,17 @@ def merge(
             return new.alias(name)
         return F.when(F.col("__new").isNotNull(), new).otherwise(F.col(name)).alias(name)
 
-    def as_inserted(name: str) -> Column:
-        if name not in source.names:
-            return F.lit(None).cast(stored[name].dataType).alias(name)
-        return _assign(name, F.col(name), source, stored).alias(name)
-
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
     # anti-join is never larger than the batch.
     hits = stored_matches(target, updates, key)
     unmatched = updates.join(
         hits.select(*_prefixed(hits, key, "__old_")), _equal(key, "__old_"), "left_anti"
     )
-
-    result = joined.select(*[after_update(c) for c in columns]).unionByName(
-        unmatched.select(*[as_inserted(c) for c in columns])
-    )
+    inserted = as_inserted(unmatched, stored)
+    result = joined.select(*[after_update(c) for c in inserted.columns]).unionByName(inserted)
     if on_duplicate == "error":
         clash = _no_rows_or_fail(updates, hits, key)
-        result = result.unionByName(clash.select(*[
-            F.lit(None).cast(result.schema[c].dataType).alias(c) for c in columns
-        ]))
+        result = result.unionByName(
+            clash.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema])
+        )
     return result

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tableflow.operators.merge import merge, stored_matches
+from tableflow.operators.merge import as_inserted, deduplicated, merge, stored_matches
 from tableflow.operators.upsert import upsert
 from tableflow.sinks.files import clustered, overwrite_partitions
 from tableflow.sources.storage import delete_folders, replace_snapshot, restore_interrupted
@@ -137,15 +137,17 @@ def merge_into(
     restore_interrupted(spark, path)
     like = schema or updates.schema
     table = read_if_present(spark, path, like, parts, all_columns=False)
+    if table is None:
+        first = as_inserted(deduplicated(updates, key, on_duplicate, order), like)
+        replace_snapshot(spark, path, lambda staging: _write_snapshot(first, staging, parts))
+        return
     touched = None
-    if table is not None and parts:
+    if parts:
         touched = _listed(
             _partition_ids(stored_matches(table, updates, key, parts), parts).union(_partition_ids(updates, parts)).distinct()
         )
     if touched is None:
         target = read_if_present(spark, path, like, parts)
-        if target is None:
-            target = empty_table(spark, like)
         result = merge(target, updates, key, on_duplicate, order)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
         return
