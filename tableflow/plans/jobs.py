@@ -24,7 +24,10 @@ from tableflow.sources.tables import read_table, stored_table
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names
 from tableflow.streaming.queries import append_stream, archive_options, await_all, upsert_stream
 
+# Columns with one value per run. A write partitioned by these alone goes to one folder, so there
+# is nothing to bring together before it.
 _LOAD_DATE = {"year", "month", "day"}
+_EXECUTION_DATE = {"execution_year", "execution_month", "execution_day"}
 
 
 def _stored(
@@ -75,7 +78,6 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
                 job.output_format, rows.schema,
             )
         else:
-            # Partitioned by the load date alone, all rows go to one folder: nothing to cluster.
             write_files(
                 rows, job.output_format, job.table_path(entity), job.partition_by, job.overwrite,
                 cluster=not set(job.partition_by) <= _LOAD_DATE,
@@ -144,6 +146,7 @@ def ingest_keyed(
     The same transform serves both modes: only the reader and the writer differ.
     """
     queries, schemas = [], {}
+    one_partition = set(job.partition_by) <= _EXECUTION_DATE
     for entity in job.entities:
         schema = load_schema(spark, job.schema_path, entity.name)
         path = f"{job.input_dir}/{entity.glob}"
@@ -159,13 +162,14 @@ def ingest_keyed(
         if batch:
             upsert_into(
                 spark, rows, table, entity.key, entity.order, job.partition_by,
-                job.output_format, compare_with_stored,
+                job.output_format, compare_with_stored, one_partition=one_partition,
             )
         else:
             queries.append(
                 upsert_stream(
                     rows, table, entity.key, entity.order, job.partition_by,
                     job.trigger_interval_ms, job.output_format, compare_with_stored,
+                    one_partition,
                 )
             )
     await_all(queries)
@@ -202,11 +206,16 @@ def join_to_table(
     }
     rows = with_execution_date(join_tables(spark, named, query), ctx.execution_date)
     path, parts = f"{output_path}/{result.name}", as_names(partition_by)
+    one_partition = set(parts) <= _EXECUTION_DATE
     if upsert:
+        # An upsert goes over its batch several times: run the join only once.
         rows = stored_once(spark, rows, result.name)
-        upsert_into(spark, rows, path, result.key, result.order, parts, output_format)
+        upsert_into(
+            spark, rows, path, result.key, result.order, parts, output_format,
+            one_partition=one_partition,
+        )
     else:
-        write_files(rows, output_format, path, parts, overwrite)
+        write_files(rows, output_format, path, parts, overwrite, cluster=not one_partition)
     return stored_table(spark, output_format, path, rows.schema, parts)
 
 

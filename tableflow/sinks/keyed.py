@@ -15,8 +15,10 @@ from pyspark.sql.types import StructType
 from tableflow.operators.merge import as_inserted, deduplicated, merge, stored_matches
 from tableflow.operators.upsert import upsert
 from tableflow.sinks.files import clustered, overwrite_partitions
-from tableflow.sources.storage import delete_folders, replace_snapshot, restore_interrupted
 from tableflow.sources.files import storage_format
+from tableflow.sources.storage import (
+    delete_folders, exists, replace_snapshot, restore_interrupted,
+)
 from tableflow.sources.tables import empty_table, read_if_present
 from tableflow.specs import as_names
 
@@ -26,7 +28,8 @@ PRUNING_LIMIT = 5000
 
 def _partition_id(parts: tuple[str, ...]) -> Column:
     """All partition values as one string. Two partitions that agree on it are both read."""
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(p).cast("string"), F.lit("\u0002")) for p in parts])
+    values = [F.coalesce(F.col(p).cast("string"), F.lit("\u0002")) for p in parts]
+    return F.concat_ws("\u0001", *values)
 
 
 def _partition_ids(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
@@ -39,6 +42,13 @@ def _listed(ids: DataFrame) -> list[str] | None:
     return [r[0] for r in rows] if len(rows) <= PRUNING_LIMIT else None
 
 
+def _check_owned(spark: SparkSession, path: str) -> None:
+    """Refuse a table whose files are listed by an append stream's log: rewrites would not show."""
+    if exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is written by an append stream and cannot be changed by key")
+    restore_interrupted(spark, path)
+
+
 def _folders(table: DataFrame, parts: tuple[str, ...], listed: list[str]) -> dict[str, str]:
     """Folder of each listed partition that exists; the scan prunes the others and reads no column."""
     found = (
@@ -59,6 +69,7 @@ def _touched_rows(
     updates: DataFrame,
     parts: tuple[str, ...],
     schema: StructType | None,
+    one_partition: bool,
 ) -> DataFrame | None:
     """Stored rows of the partitions a batch has rows for; None if there are none.
 
@@ -69,7 +80,7 @@ def _touched_rows(
     if table is None:
         return None
     ids = _partition_ids(updates, parts)
-    listed = _listed(ids)
+    listed = _listed(updates.select(_partition_id(parts)).limit(1) if one_partition else ids)
     if listed is None:
         table = read_if_present(spark, path, updates.schema, parts, schema)
         return table.join(ids, _partition_id(parts) == F.col("__partition"), "left_semi")
@@ -91,27 +102,29 @@ def upsert_into(
     fmt: str = "parquet",
     compare_with_stored: bool = False,
     schema: StructType | None = None,
+    one_partition: bool = False,
 ) -> None:
     """Upsert a batch into the table at ``path``, creating it if need be.
 
     Running it again with the same batch changes nothing, so a failed run is simply repeated.
     The batch is read more than once, so one that is costly to compute should be stored first.
-    ``schema``, if known, saves looking at the footers of the partitions concerned.
+    ``schema``, if known, saves looking at the footers of the partitions concerned. A batch whose
+    rows all have the same partition values, such as an execution date, is ``one_partition``:
+    neither the search for its partitions nor the shuffle by partition is needed.
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
     if fmt == "hudi" and storage_format(spark, fmt) == "hudi":
         _hudi_upsert(updates, path, key, order, parts)
         return
-    restore_interrupted(spark, path)
+    _check_owned(spark, path)
     if not parts:
         stored = read_if_present(spark, path, updates.schema, parts, schema)
         result = upsert(stored, updates, key, order, (), compare_with_stored)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
         return
-    stored = _touched_rows(spark, path, updates, parts, schema)
-    overwrite_partitions(
-        upsert(stored, updates, key, order, parts, compare_with_stored), path, parts
-    )
+    stored = _touched_rows(spark, path, updates, parts, schema, one_partition)
+    result = upsert(stored, updates, key, order, parts, compare_with_stored)
+    overwrite_partitions(result, path, parts, cluster=not one_partition)
 
 
 def merge_into(
@@ -132,9 +145,10 @@ def merge_into(
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
     if fmt == "delta" and storage_format(spark, fmt) == "delta":
-        _delta_merge(spark, updates, path, key, parts, schema)
+        batch = deduplicated(updates, key, on_duplicate, order)
+        _delta_merge(spark, batch, path, key, parts, schema)
         return
-    restore_interrupted(spark, path)
+    _check_owned(spark, path)
     like = schema or updates.schema
     table = read_if_present(spark, path, like, parts, all_columns=False)
     if table is None:
@@ -143,9 +157,10 @@ def merge_into(
         return
     touched = None
     if parts:
-        touched = _listed(
-            _partition_ids(stored_matches(table, updates, key, parts), parts).union(_partition_ids(updates, parts)).distinct()
-        )
+        left = _partition_ids(stored_matches(table, updates, key, parts), parts)
+        touched = _listed(left.union(_partition_ids(updates, parts)).distinct())
+        if touched == []:  # an empty batch
+            return
     if touched is None:
         target = read_if_present(spark, path, like, parts)
         result = merge(target, updates, key, on_duplicate, order)

@@ -60,6 +60,7 @@ def upsert_stream(
     interval_ms: int = -1,
     fmt: str = "parquet",
     compare_with_stored: bool = False,
+    one_partition: bool = False,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a partitioned keyed table.
 
@@ -71,7 +72,8 @@ def upsert_stream(
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         upsert_into(
-            batch.sparkSession, batch, table_path, key, order, parts, fmt, compare_with_stored
+            batch.sparkSession, batch, table_path, key, order, parts, fmt, compare_with_stored,
+            one_partition=one_partition,
         )
 
     return (

@@ -221,6 +221,35 @@ def test_merge_into_moves_rows_between_partitions(spark, tmp_path, monkeypatch,
         assert {p.name for p in Path(path).glob("day=e/*.parquet")} == untouched
 
 
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "id int, day string, v string"
+    first = literal_table(spark, [(1, "a", "x")], ddl)
+    empty = literal_table(spark, [], ddl)
+    merge_into(spark, first, path, "id", "day")
+    merge_into(spark, empty, path, "id", "day")
+    for one_partition in (False, True):
+        upsert_into(spark, empty, path, "id", "v", "day", one_partition=one_partition)
+    assert rows(spark.read.parquet(path), "id", "day", "v") == [(1, "a", "x")]
+
+
+def test_a_batch_of_one_partition(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "id int, day string, v int"
+    for batch in ([(1, "a", 1), (2, "a", 1)], [(2, "a", 2), (3, "a", 2)], [(1, "b", 3)]):
+        upsert_into(spark, literal_table(spark, batch, ddl), path, "id", "v", "day", one_partition=True)
+    assert rows(spark.read.parquet(path), "id", "day", "v") == [
+        (1, "a", 1), (1, "b", 3), (2, "a", 2), (3, "a", 2),
+    ]
+
+
+def test_a_streams_table_is_not_rewritten_by_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    (tmp_path / "t" / "_spark_metadata").mkdir(parents=True)
+    batch = literal_table(spark, [(1, "a")], "id int, day string")
+    for write in (upsert_into, merge_into):
+        with pytest.raises(ValueError, match="append stream"):
+            write(spark, batch, path, "id", partition_by="day")
+
+
 def test_merge_into_creates_the_table_with_its_schema(spark, tmp_path):
     from pyspark.sql.types import StructType
     schema = StructType.fromDDL("id int, v string, later int")
