@@ -27,7 +27,7 @@ def on_date(df: DataFrame, column: str, date: dt.date) -> DataFrame:
     """Rows whose column, named at run time, equals a date.
 
     The literal takes the column's type, so the comparison reaches the scan and a string column
-    is never cast row by row.
+    is never cast row by row. A timestamp equals a date at midnight.
     """
     is_text = isinstance(df.schema[column].dataType, StringType)
     literal = F.lit(date.isoformat()) if is_text else F.lit(date)

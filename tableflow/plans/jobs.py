@@ -72,11 +72,11 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
         schemas[entity.name] = rows.schema
         if job.output_format == "delta" and entity.key:
             # A merge goes over its batch several times: parse text only once.
-            rows = stored_once(spark, rows, entity.name)
-            merge_into(
-                spark, rows, job.table_path(entity), entity.key, job.partition_by,
-                job.output_format, rows.schema,
-            )
+            with stored_once(spark, rows, entity.name) as batch:
+                merge_into(
+                    spark, batch, job.table_path(entity), entity.key, job.partition_by,
+                    job.output_format, rows.schema,
+                )
         else:
             write_files(
                 rows, job.output_format, job.table_path(entity), job.partition_by, job.overwrite,
@@ -209,11 +209,11 @@ def join_to_table(
     one_partition = set(parts) <= _EXECUTION_DATE
     if upsert:
         # An upsert goes over its batch several times: run the join only once.
-        rows = stored_once(spark, rows, result.name)
-        upsert_into(
-            spark, rows, path, result.key, result.order, parts, output_format,
-            one_partition=one_partition,
-        )
+        with stored_once(spark, rows, result.name) as batch:
+            upsert_into(
+                spark, batch, path, result.key, result.order, parts, output_format,
+                one_partition=one_partition,
+            )
     else:
         write_files(rows, output_format, path, parts, overwrite, cluster=not one_partition)
     return stored_table(spark, output_format, path, rows.schema, parts)

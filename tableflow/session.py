@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tableflow.sources.storage import delete_folders
+
 _local_roots: dict[str, str] = {}
 
 
@@ -46,12 +50,19 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def stored_once(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Rows written to the scratch folder and read back, for results that are costly to compute
-    and used several times. A lost executor costs a file read, not the computation."""
+@contextmanager
+def stored_once(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Rows written to the scratch folder and read back while the block runs.
+
+    For results that are costly to compute and used several times: a lost executor costs a file
+    read, not the computation.
+    """
     folder = scratch_dir(spark, name)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        delete_folders(spark, [folder])
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
