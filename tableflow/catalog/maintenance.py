@@ -23,7 +23,7 @@ def _with_year(lines):
     return lines.withColumn("ship_year", F.year("l_shipdate"))
 
 
-def _upserted_lines(extra_key: str = "", same_year: str = "") -> str:
+def upserted_lines(extra_key: str = "", same_year: str = "") -> str:
     return f"""
     with incoming as ({newest_lines(ARRIVING, extra_key)}),
          stored as ({newest_lines(STORED, extra_key)})
@@ -44,13 +44,13 @@ def latest_per_key_lines(spark, sf_dir):
     return latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER)
 
 
-@query(_upserted_lines())
+@query(upserted_lines())
 def upsert_precombine(spark, sf_dir):
     stored = latest_per_key(stored_lines(spark, sf_dir), LINE_KEY, LINE_ORDER)
     return upsert(stored, arriving_lines(spark, sf_dir), LINE_KEY, LINE_ORDER)
 
 
-@query(f"select *, {YEAR} as ship_year from ({_upserted_lines(', year(l_shipdate)', SAME_YEAR)})")
+@query(f"select *, {YEAR} as ship_year from ({upserted_lines(', year(l_shipdate)', SAME_YEAR)})")
 def upsert_partition_scoped(spark, sf_dir):
     """A record is identified by its key within its partition."""
     stored = _with_year(stored_lines(spark, sf_dir))
@@ -68,7 +68,7 @@ def upsert_keeps_newer_stored(spark, sf_dir):
     return upsert(stored, late, LINE_KEY, LINE_ORDER, compare_with_stored=True)
 
 
-@query(f"select *, {YEAR} as ship_year from ({_upserted_lines(', year(l_shipdate)', SAME_YEAR)})")
+@query(f"select *, {YEAR} as ship_year from ({upserted_lines(', year(l_shipdate)', SAME_YEAR)})")
 def upsert_into_table(spark, sf_dir):
     """The same through a stored table: only the partitions the batch touches are rewritten."""
     path = scratch_dir(spark, "upsert_into_table")
@@ -78,7 +78,7 @@ def upsert_into_table(spark, sf_dir):
     return stored_table(spark, "parquet", path, rows.schema, ("ship_year",), evolving=False)
 
 
-@query(_upserted_lines())
+@query(upserted_lines())
 def upsert_into_snapshot(spark, sf_dir):
     """A keyed table without partitions: a new snapshot replaces the old one."""
     path = scratch_dir(spark, "upsert_into_snapshot")
@@ -188,7 +188,7 @@ def merge_many_rows_per_key(spark, sf_dir):
     return merge(lines, parts, "part_key")
 
 
-@query(_upserted_lines())
+@query(upserted_lines())
 def merge_newest(spark, sf_dir):
     """A batch that repeats its keys, merged by its newest rows."""
     stored = latest_per_key(stored_lines(spark, sf_dir), LINE_KEY, LINE_ORDER)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tableflow.catalog.maintenance import SAME_YEAR, YEAR, _upserted_lines
+from tableflow.catalog.maintenance import SAME_YEAR, YEAR, upserted_lines
 from tableflow.catalog.registry import (
     LINE_KEY, LINE_ORDER, arriving_lines, deliver, new_job, query, save_schema, stored_lines, table,
 )
@@ -100,7 +100,7 @@ def _keyed_lines(spark, sf_dir, name, batch):
 
 _KEYED = (
     f"select *, {YEAR} as ship_year, 2024 as execution_year, 2 as execution_month, "
-    f"1 as execution_day from ({_upserted_lines(', year(l_shipdate)', SAME_YEAR)})"
+    f"1 as execution_day from ({upserted_lines(', year(l_shipdate)', SAME_YEAR)})"
 )
 
 

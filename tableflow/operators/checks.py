@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tableflow.functions.columns import first_token, on_date, tagged
-from tableflow.sources.tables import names_table
+from tableflow.sources.tables import empty_table, names_table
 
 
 def union_chunks(
@@ -21,7 +21,7 @@ def union_chunks(
 
     The empty relation is typed, so that it cannot widen or narrow the columns of the chunks.
     """
-    return reduce(DataFrame.unionByName, chunks, spark.createDataFrame([], schema))
+    return reduce(DataFrame.unionByName, chunks, empty_table(spark, schema))
 
 
 def data_received(
@@ -67,7 +67,7 @@ def files_present(spark: SparkSession, files: DataFrame, prefixes: Iterable[str]
     """
     prefixes = list(dict.fromkeys(prefixes))
     if not prefixes:
-        return spark.createDataFrame([], "prefix string, files bigint, present boolean")
+        return empty_table(spark, "prefix string, files bigint, present boolean")
     literal = F.array(*[F.lit(p) for p in prefixes])
     found = (
         files.select(

@@ -12,6 +12,7 @@ from tableflow.session import scratch_dir
 from tableflow.sources.files import read_batch
 from tableflow.sources.manifest import manifest
 from tableflow.sources.storage import has_files
+from tableflow.sources.tables import empty_table
 
 LEDGER_SCHEMA = "path string, uri string, modified_at timestamp"
 
@@ -21,7 +22,7 @@ PATHS_LIMIT = 10000
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if not has_files(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return empty_table(spark, LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 

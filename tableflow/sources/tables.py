@@ -57,8 +57,11 @@ def names_table(spark: SparkSession, column: str, names: Iterable[str]) -> DataF
     return spark.range(0, 1, 1, 1).select(F.explode(literal).alias(column))
 
 
-def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """No rows of a schema, in a form the optimizer knows to be empty and drops from a union."""
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    nothing = spark.range(0, 1, 1, 1).where(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def read_if_present(

@@ -143,6 +143,18 @@ def test_ingest_keyed(spark, delivery, ctx, batch):
     assert second == [(1, "newest", 20), (1, "other day", 19)]
 
 
+def test_a_replayed_micro_batch_changes_nothing(spark, delivery, ctx):
+    add_file(delivery, ctx, "items_b_2021-06-21.csv", ITEM + "1,a,1,2021,6,20,1\n1,b,2,2021,6,20,2\n")
+    job = load_job(delivery, ctx, ["items"], output_format="hudi")
+    before = rows(ingest_keyed(spark, job, batch=False)["items"])
+    # As if the run had died after writing the table and before noting so.
+    commits = Path(job.table_path(job.entities[0])) / "_checkpoints" / "commits"
+    for file in [*commits.glob("0"), *commits.glob(".0.crc")]:
+        file.unlink()
+    assert rows(ingest_keyed(spark, job, batch=False)["items"]) == before
+    assert (commits / "0").exists() and len(before) == 4
+
+
 def test_batch_and_stream_give_the_same_table(spark, delivery, ctx):
     results = []
     for batch in (True, False):

@@ -190,6 +190,10 @@ def test_data_received(spark):
 def test_union_chunks_keeps_types(spark):
     empty = union_chunks(spark, [], "a date, b string")
     assert empty.count() == 0 and empty.schema["a"].dataType.simpleString() == "date"
+    chunk = literal_table(spark, [(dt.date(2021, 6, 21), "x")], "a date, b string")
+    both = union_chunks(spark, [chunk, chunk], "a date, b string")
+    assert both.schema == chunk.schema and both.count() == 2
+    assert "Union" not in plan_of(union_chunks(spark, [chunk], "a date, b string"))
 
 
 def test_files_present(spark):
