@@ -7,7 +7,8 @@ import dataclasses
 from pyspark.sql import functions as F
 
 from tableflow.catalog.registry import (
-    DAY_ONE, DAY_TWO, new_job, query, save_schema, table,
+    DAY_ONE, DAY_TWO, EARLY_AND_LATE, LATE, early_orders, late_orders, matching, new_job, query,
+    save_schema, table,
 )
 from tableflow.functions.columns import tagged
 from tableflow.functions.dates import with_execution_date, with_load_date
@@ -21,10 +22,6 @@ from tableflow.sources.schemas import load_schema
 from tableflow.sources.tables import stored_table
 from tableflow.specs import EntitySpec, JobContext
 
-EARLY_ORDERS = "o_orderdate < timestamp '2000-01-01'"
-LATE_ORDERS = "o_orderdate >= timestamp '1999-01-01'"
-
-
 @query("select *, 2024 as year, 2 as month, 1 as day from events")
 def execution_date_columns(spark, sf_dir):
     """Year, month and day of the load."""
@@ -141,10 +138,7 @@ def file_to_table(spark, sf_dir):
 
 
 @query(
-    f"""
-    with early as (select * from orders where {EARLY_ORDERS}),
-         late as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 as o_totalprice,
-                         o_orderdate, o_orderpriority from orders where {LATE_ORDERS})
+    f"""{EARLY_AND_LATE}
     select *, 2024 as year, 2 as month, 2 as day from late
     union all
     select *, 2024 as year, 2 as month, 1 as day from early
@@ -161,9 +155,8 @@ def file_to_merged_table(spark, sf_dir):
     )
     second = dataclasses.replace(first, ctx=JobContext(first.ctx.job_id, DAY_TWO))
     save_schema(spark, orders, first.schema_path, "orders")
-    write_files(orders.where(EARLY_ORDERS), "csv", first.input_dir)
-    raised = orders.where(LATE_ORDERS).withColumn("o_totalprice", F.col("o_totalprice") + 1000)
-    write_files(raised, "csv", second.input_dir)
+    write_files(early_orders(spark, sf_dir), "csv", first.input_dir)
+    write_files(late_orders(spark, sf_dir), "csv", second.input_dir)
     load_files(spark, first)
     return load_files(spark, second)["orders"]
 
@@ -177,7 +170,8 @@ def pending_files(spark, sf_dir):
     folder = scratch_dir(spark, "pending_files")
     inbox, ledger, loaded = f"{folder}/in", f"{folder}/ledger", f"{folder}/table"
     orders = table(spark, sf_dir, "orders")
-    deliveries = [orders.where("o_orderdate < timestamp '1999-01-01'"), orders.where(LATE_ORDERS), None]
+    first = matching(orders, "o_orderdate < timestamp '1999-01-01'")
+    deliveries = [first, matching(orders, LATE), None]
     for run, delivery in enumerate(deliveries, start=1):
         if delivery is not None:
             delivery.write.mode("append").parquet(inbox)

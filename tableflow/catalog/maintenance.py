@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableflow.catalog.registry import (
-    ARRIVING, LINE_KEY, LINE_ORDER, STORED, arriving_lines, newest_lines, query,
-    stored_lines, table,
+    ARRIVING, EARLY_AND_LATE, LINE_KEY, LINE_ORDER, STORED, arriving_lines, early_orders,
+    late_orders, newest_lines, query, stored_lines, table,
 )
 from tableflow.functions.collapse import first_non_null, first_non_null_sql
 from tableflow.operators.latest import latest_per_key
@@ -87,36 +87,19 @@ def upsert_into_snapshot(spark, sf_dir):
     return spark.read.schema(batch.schema).parquet(path)
 
 
-def _early_orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_orderdate < timestamp_ntz '2000-01-01'")
-
-
-def _late_orders(spark, sf_dir):
-    late = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '1999-01-01'")
-    return late.withColumn("o_totalprice", F.col("o_totalprice") + 1000)
-
-
-_EARLY_LATE = """
-    with early as (select * from orders where o_orderdate < timestamp '2000-01-01'),
-         late as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 as o_totalprice,
-                         o_orderdate, o_orderpriority
-                  from orders where o_orderdate >= timestamp '1999-01-01')
-"""
-
-
 @query(
-    f"""{_EARLY_LATE}
+    f"""{EARLY_AND_LATE}
     select * from late
     union all
     select * from early where o_orderkey not in (select o_orderkey from late)
     """
 )
 def merge_update_insert(spark, sf_dir):
-    return merge(_early_orders(spark, sf_dir), _late_orders(spark, sf_dir), "o_orderkey")
+    return merge(early_orders(spark, sf_dir), late_orders(spark, sf_dir), "o_orderkey")
 
 
 @query(
-    f"""{_EARLY_LATE}
+    f"""{EARLY_AND_LATE}
     select coalesce(l.o_orderkey, e.o_orderkey) as o_orderkey,
            case when l.o_orderkey is not null then l.o_custkey else e.o_custkey end as o_custkey,
            e.o_orderstatus as o_orderstatus,
@@ -133,8 +116,8 @@ def merge_update_insert(spark, sf_dir):
 )
 def merge_evolving_schema(spark, sf_dir):
     """The batch lacks one column of the table and brings another."""
-    late = _late_orders(spark, sf_dir).withColumn("order_year", F.year("o_orderdate"))
-    return merge(_early_orders(spark, sf_dir), late.drop("o_orderstatus"), "o_orderkey")
+    late = late_orders(spark, sf_dir).withColumn("order_year", F.year("o_orderdate"))
+    return merge(early_orders(spark, sf_dir), late.drop("o_orderstatus"), "o_orderkey")
 
 
 @query(
@@ -196,7 +179,7 @@ def merge_newest(spark, sf_dir):
 
 
 @query(
-    f"""{_EARLY_LATE}
+    f"""{EARLY_AND_LATE}
     select *, cast(year(o_orderdate) as int) + 1 as load_year from late
     union all
     select *, cast(year(o_orderdate) as int) as load_year from early
@@ -206,8 +189,8 @@ def merge_newest(spark, sf_dir):
 def merge_into_table(spark, sf_dir):
     """A stored table partitioned by a column the batch changes: rows move between folders."""
     path = scratch_dir(spark, "merge_into_table")
-    early = _early_orders(spark, sf_dir).withColumn("load_year", F.year("o_orderdate"))
-    late = _late_orders(spark, sf_dir).withColumn("load_year", F.year("o_orderdate") + 1)
+    early = early_orders(spark, sf_dir).withColumn("load_year", F.year("o_orderdate"))
+    late = late_orders(spark, sf_dir).withColumn("load_year", F.year("o_orderdate") + 1)
     for batch in (early, late):
         merge_into(spark, batch, path, "o_orderkey", "load_year", schema=early.schema)
     return stored_table(spark, "parquet", path, early.schema, ("load_year",), evolving=False)

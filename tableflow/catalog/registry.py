@@ -23,10 +23,18 @@ DAY_TWO = dt.date(2024, 2, 2)
 # The line items split into what is stored and what arrives later; together they are all rows.
 LINE_KEY = ("l_orderkey", "l_linenumber")
 LINE_ORDER = ("l_shipdate", "l_partkey")
-SPLIT = dt.datetime(1999, 7, 1)
 STORED = "l_shipdate < timestamp '1999-07-01'"
 ARRIVING = "l_shipdate >= timestamp '1999-07-01'"
 
+# Orders split with an overlap: the early ones are stored, the late ones update and insert.
+EARLY = "o_orderdate < timestamp '2000-01-01'"
+LATE = "o_orderdate >= timestamp '1999-01-01'"
+EARLY_AND_LATE = f"""
+    with early as (select * from orders where {EARLY}),
+         late as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 as o_totalprice,
+                         o_orderdate, o_orderpriority from orders where {LATE})
+"""
+
 LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
     "l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -51,12 +59,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def matching(df: DataFrame, condition: str) -> DataFrame:
+    """Rows that meet a condition of the SQL below. The tables' timestamps have no time zone, and
+    with literals of the same kind the condition reaches the scan."""
+    return df.where(condition.replace("timestamp '", "timestamp_ntz '"))
+
+
 def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.lit(SPLIT))
+    return matching(table(spark, sf_dir, "lineitem"), STORED)
 
 
 def arriving_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(SPLIT))
+    return matching(table(spark, sf_dir, "lineitem"), ARRIVING)
+
+
+def early_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching(table(spark, sf_dir, "orders"), EARLY)
+
+
+def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the last years at a higher price; a year of them is among the early ones too."""
+    late = matching(table(spark, sf_dir, "orders"), LATE)
+    return late.withColumn("o_totalprice", F.col("o_totalprice") + 1000)
 
 
 def newest_lines(condition: str, extra_key: str = "") -> str:

@@ -1,7 +1,5 @@
 """Hot keys and hot partitions: a third of the rows, or more, must not end in one task."""
 
-from pathlib import Path
-
 import pytest
 from pyspark.sql import functions as F
 
