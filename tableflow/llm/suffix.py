@@ -81,7 +81,7 @@ def _buffers(*arrays: np.ndarray) -> list[pa.Array]:
     return [pa.array([a.tobytes()], pa.binary()) for a in arrays]
 
 
-def _collect_runs(length: int, parts: int):
+def _collect_runs(length: int, parts: int, most: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("__id").to_numpy()
@@ -111,7 +111,7 @@ def _collect_runs(length: int, parts: int):
             # Of a gram with very many regions one goes where the gram is dealt, marked as hot.
             heads = np.flatnonzero(_firsts(gram))
             sizes = np.diff(np.append(heads, len(gram)))
-            hot = np.repeat(sizes > HOT, sizes)
+            hot = np.repeat(sizes > most, sizes)
             known_doc.append(doc[hot])
             known.append(code[hot] | DEALT)
             send = ~hot
@@ -424,7 +424,9 @@ def kept_bytes(text: Column, spans: Column) -> Column:
     return cut(text, spans)
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, hot: int = HOT
+) -> DataFrame:
     """The rows of ``docs`` with ``spans``: the bytes of the text (from, to, from, to, ...) that are covered by
     a string of ``length`` bytes which also starts earlier, that is in a document with a smaller id, or before in the same one.
     Strings don't cross documents and may overlap; all are judged on the input.
@@ -453,7 +455,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = docs.select(*ID, F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(total // PART_BYTES, 8 * spark.sparkContext.defaultParallelism)
-    runs = texts.mapInArrow(_collect_runs(length, parts), _RUNS)
+    runs = texts.mapInArrow(_collect_runs(length, parts, hot), _RUNS)
     found = runs.groupBy("part").applyInArrow(_iterated(_compare_runs), _FOUND)
     codes = stored(spark, found, "runs").groupBy(*ID).agg(F.collect_list("code").alias("__codes"))
     # Both uses have all columns, so that one exchange of the texts serves the cut and the result.
