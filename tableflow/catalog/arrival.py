@@ -1,4 +1,4 @@
-"""Checks that data and files arrived, raw landing, listings and generated records."""
+"""Checks that data and files arrived, raw landing and listings."""
 
 from __future__ import annotations
 
@@ -6,16 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tableflow.catalog.registry import DAY_ONE, query, table
+from tableflow.catalog.registry import DAY_ONE, deliver_named, query, table
+from tableflow.functions.dates import parsed_date_lit
 from tableflow.operators.checks import all_true, data_received, key_coverage, prefixes_exact
 from tableflow.operators.checks import files_present as check_files_present
-from tableflow.operators.latest import latest_per_key
 from tableflow.plans.jobs import check_data, check_files
 from tableflow.session import scratch_dir
 from tableflow.sinks.files import clustered, write_files
 from tableflow.sinks.landing import land_files, land_lines, landed_files, landed_lines
-from tableflow.sources.generator import generated_items as items_from
-from tableflow.sources.generator import generated_orders as orders_from
 from tableflow.sources.manifest import manifest, manifest_of
 from tableflow.specs import JobContext
 
@@ -78,6 +76,47 @@ def stored_data_not_received(spark, sf_dir):
     return check_data(spark, LANDING, root, ("orders", "lineitem"), "date")
 
 
+@query(
+    """
+    select w.entity, count(d.entity) as rows, count(d.entity) > 0 as received
+    from (values ('orders'), ('lineitem')) w(entity)
+    left join (
+        select 'orders' as entity from orders where cast(o_orderdate as date) = date '1999-04-14'
+        union all
+        select 'lineitem' from lineitem where cast(l_shipdate as date) = date '1999-04-14'
+    ) d on w.entity = d.entity
+    group by w.entity
+    """
+)
+def stored_data_received(spark, sf_dir):
+    """The same job on a day with rows, given as text."""
+    root = scratch_dir(spark, "stored_data_received")
+    day = spark.range(1).select(parsed_date_lit("14.04.1999", "dd.MM.yyyy")).first()[0]
+    ctx = JobContext("landing", day)
+    for name, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        rows = table(spark, sf_dir, name).withColumn("date", F.to_date(column))
+        rows.write.parquet(f"{ctx.job_dir(root)}/{name}")
+    return check_data(spark, ctx, root, ("orders", "lineitem"), "date")
+
+
+@query(
+    """
+    select coalesce(w.prefix, f.prefix) as prefix, w.prefix is not null as expected,
+           f.prefix is not null as found, w.prefix is not null and f.prefix is not null as matches
+    from (values ('view'), ('purchase'), ('refund')) w(prefix)
+    full join (select distinct event_type as prefix from events) f on w.prefix = f.prefix
+    """
+)
+def delivered_files_exact(spark, sf_dir):
+    """The check as a job that allows no other files: one delivered file per kind of event."""
+    root = scratch_dir(spark, "delivered_files_exact")
+    events, day = table(spark, sf_dir, "events"), LANDING.dated_dir(root)
+    events.write.partitionBy("event_type").json(f"{root}/kinds")
+    for kind in sorted(r[0] for r in events.select("event_type").distinct().collect()):
+        deliver_named(spark, f"{root}/kinds/event_type={kind}", day, f"{kind}_", ".json")
+    return check_files(spark, LANDING, root, ("view", "purchase", "refund"), "*.json", exact=True)
+
+
 @query(
     """
     select 'part-' as prefix, count(*) > 0 as present from orders
@@ -94,9 +133,8 @@ def delivered_files_present(spark, sf_dir):
 
 
 @query(
-    "select count(distinct o_custkey || '_' || month(o_orderdate)) as found, "
-    "cast(1000 as bigint) as expected, "
-    "count(distinct o_custkey || '_' || month(o_orderdate)) >= 1000 as complete from orders"
+    "select count(distinct (o_custkey, month(o_orderdate))) as found, cast(1000 as bigint) as expected, "
+    "count(distinct (o_custkey, month(o_orderdate))) >= 1000 as complete from orders"
 )
 def key_coverage_orders(spark, sf_dir):
     """Distinct key and month against an expected total."""
@@ -188,75 +226,13 @@ def raw_landing(spark, sf_dir):
 def files_landed(spark, sf_dir):
     """Delivered files, picked by pattern, copied line by line; twice is the same as once."""
     folder = scratch_dir(spark, "files_landed")
-    _event_lines(spark, sf_dir).select("value").write.text(f"{folder}/in")
+    lines = _event_lines(spark, sf_dir).select("value")
+    lines.write.text(f"{folder}/in")
+    lines.write.mode("append").json(f"{folder}/in")  # no pattern takes these
     for ledger in (None, f"{folder}/ledger", f"{folder}/ledger"):
         land_files(
-            spark, f"{folder}/in", ("*.txt", "part-0*"), f"{folder}/landing", LANDING, ledger
+            spark, f"{folder}/in", ("*.txt", "part-0*.t{x,s}t"), f"{folder}/landing", LANDING, ledger
         )
     names = manifest(spark, f"{folder}/in").select(F.col("name").alias("file_name"))
     lines = landed_lines(spark, f"{folder}/landing", LANDING)
     return lines.join(names, "file_name", "left_semi").select("value")
-
-
-_HEX = "cast('0x' || substr({h}, {at}, {n}) as bigint)"
-
-
-def _drawn(h: str, slot: int, digits: int = 7) -> str:
-    return _HEX.format(h=h, at=1 + slot * digits, n=digits)
-
-
-_ORDERS = f"""
-    select cast({_drawn('h', 0)} % 1000 + 1 as int) as "orderId",
-           cast({_drawn('h', 1)} % 100 + 1 as int) as "customerId",
-           cast({_drawn('h', 2)} % 1000 + 1 as int) as "itemId",
-           cast({_drawn('h', 3)} % 19 + 2 as int) as quantity,
-           2021 as year, 7 as month, cast({_drawn('d', 0)} % 6 + 20 as int) as day,
-           cast(1626739200000 + l_row as bigint) as last_update_time
-    from (select l_row, md5('order-' || l_row) as h, md5('day-' || l_row) as d
-          from (select l_orderkey * 8 + l_linenumber as l_row from lineitem))
-"""
-_ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'"
-_NAME = " || ".join(
-    f"substr({_ALPHABET}, cast({_drawn('n', i, 3)} % 52 as int) + 1, 1)" for i in range(10)
-)
-
-
-def _row_ids(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("l_row")
-    )
-
-
-@query(_ORDERS)
-def generated_orders(spark, sf_dir):
-    """An order record per line item, with many repeats per order id."""
-    return orders_from(_row_ids(spark, sf_dir), "l_row", 1626739200000)
-
-
-@query(
-    f"""
-    select cast({_drawn('h', 0)} % 1000 + 1 as int) as "itemId", {_NAME} as name,
-           cast(0.1 as double) + ({_drawn('h', 1)} / cast(268435455 as double))
-               * cast(49.9 as double) as price,
-           2021 as year, 7 as month, cast({_drawn('h', 2)} % 6 + 20 as int) as day,
-           cast(1626739200000 + p_partkey as bigint) as last_update_time
-    from (select p_partkey, md5('item-' || p_partkey) as h, md5('name-' || p_partkey) as n
-          from part)
-    """
-)
-def generated_items(spark, sf_dir):
-    return items_from(table(spark, sf_dir, "part"), "p_partkey", 1626739200000)
-
-
-@query(
-    f"""
-    select count(distinct "orderId" || '_' || day) as found, cast(6000 as bigint) as expected,
-           count(distinct "orderId" || '_' || day) >= 6000 as complete from ({_ORDERS})
-    """
-)
-def generated_orders_coverage(spark, sf_dir):
-    """Newest generated order per id and day, then how many of the possible ones there are."""
-    newest = latest_per_key(
-        generated_orders(spark, sf_dir), ("orderId", "day"), "last_update_time"
-    )
-    return key_coverage(newest, "orderId", "day", 6000)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tableflow.catalog.registry import (
     DAY_ONE, LINE_KEY, LINE_ORDER, deliver, new_job, newest_lines, query, save_schema, table,
 )
+from tableflow.operators.latest import latest_per_key
 from tableflow.operators.sqljoin import join_tables
 from tableflow.plans.jobs import ingest_then_join as ingest_and_join
 from tableflow.plans.jobs import join_to_table
@@ -116,3 +117,31 @@ def ingest_then_join(spark, sf_dir):
     return ingest_and_join(
         spark, job, LINES_WITH_PARTS, TableSpec("lines_with_parts", LINE_KEY, "l_shipdate")
     )
+
+
+@query(
+    f"""
+    with newest as ({newest_lines("true")})
+    select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate,
+           case when l.l_linenumber = 1 then l.l_quantity + 1 else l.l_quantity end as l_quantity,
+           p.p_name, p.p_retailprice, 2024 as execution_year, 2 as execution_month, 1 as execution_day
+    from newest l, part p where l.l_partkey = p.p_partkey
+    """
+)
+def join_upserted(spark, sf_dir):
+    """A join saved as a keyed table, then part of it joined again and upserted."""
+    root = scratch_dir(spark, "join_upserted")
+    ctx = JobContext("join_upserted", DAY_ONE)
+    lines = latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER)
+    lines.write.parquet(f"{ctx.job_dir(root)}/lineitem")
+    table(spark, sf_dir, "part").write.parquet(f"{ctx.job_dir(root)}/part")
+
+    def join(query):
+        return join_to_table(
+            spark, ctx, root, f"{root}/joined", ("lineitem", "part"), query,
+            TableSpec("lines_with_parts", LINE_KEY, "l_shipdate"), "execution_year", upsert=True,
+        )
+
+    join(LINES_WITH_PARTS)
+    raised = LINES_WITH_PARTS.replace("l_quantity", "l_quantity + 1 as l_quantity")
+    return join(f"{raised} and l.l_linenumber = 1")

@@ -7,8 +7,8 @@ import dataclasses
 from pyspark.sql import functions as F
 
 from tableflow.catalog.registry import (
-    DAY_ONE, DAY_TWO, EARLY_AND_LATE, LATE, early_orders, late_orders, matching, new_job, query,
-    save_schema, table,
+    DAY_ONE, DAY_TWO, EARLY_AND_LATE, LATE, deliver_named, early_orders, late_orders, matching,
+    new_job, query, save_schema, table,
 )
 from tableflow.functions.columns import tagged
 from tableflow.functions.dates import with_execution_date, with_load_date
@@ -20,7 +20,8 @@ from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.files import EXACT_TIMESTAMPS, read_batch
 from tableflow.sources.schemas import load_schema
 from tableflow.sources.tables import stored_table
-from tableflow.specs import EntitySpec, JobContext
+from tableflow.specs import EntitySpec, JobContext, entity_glob
+
 
 @query("select *, 2024 as year, 2 as month, 1 as day from events")
 def execution_date_columns(spark, sf_dir):
@@ -182,6 +183,41 @@ def pending_files(spark, sf_dir):
     return spark.read.parquet(loaded)
 
 
+@query(
+    "select o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus, "
+    "case when o_orderdate < timestamp '1999-01-01' then 1 else 2 end as load_run from orders"
+)
+def pending_in_dated_folders(spark, sf_dir):
+    """The same from hive-style input folders, whose values are columns."""
+    folder = scratch_dir(spark, "pending_in_dated_folders")
+    inbox, ledger, loaded = f"{folder}/in", f"{folder}/ledger", f"{folder}/table"
+    orders = table(spark, sf_dir, "orders")
+    first = matching(orders, "o_orderdate < timestamp '1999-01-01'")
+    for run, delivery in enumerate([first, matching(orders, LATE), None], start=1):
+        if delivery is not None:
+            delivery.write.mode("append").partitionBy("o_orderstatus").parquet(inbox)
+        rows, files = read_pending(spark, "parquet", inbox, ledger, orders.schema, "*.parquet")
+        if rows is not None:
+            rows.withColumn("load_run", F.lit(run)).write.mode("append").parquet(loaded)
+            record_files(files, ledger)
+    return spark.read.parquet(loaded)
+
+
+@query("select *, 2024 as year, 2 as month, 1 as day from supplier")
+def dated_delivery(spark, sf_dir):
+    """Files found by the naming rule of a daily delivery, beside those of another day."""
+    supplier = table(spark, sf_dir, "supplier")
+    job = new_job(
+        spark, "dated_delivery", [EntitySpec("supplier", entity_glob("supplier", DAY_ONE, "json"))],
+        input_format="json", partition_by=("year", "month", "day"),
+    )
+    save_schema(spark, supplier, job.schema_path, "supplier")
+    for day in (DAY_ONE, DAY_TWO):
+        supplier.write.json(f"{job.input_path}/written/{day}")
+        deliver_named(spark, f"{job.input_path}/written/{day}", job.input_dir, "supplier_", f"_{day}.json")
+    return load_files(spark, job)["supplier"]
+
+
 @query(
     """
     select 'customer' as entity, c_custkey as id, c_name as name, c_acctbal as balance,

@@ -196,6 +196,113 @@ def merge_into_table(spark, sf_dir):
     return stored_table(spark, "parquet", path, early.schema, ("load_year",), evolving=False)
 
 
+@query(
+    f"""{EARLY_AND_LATE}
+    select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as int) as order_month from late
+    union all
+    select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as int) from early
+    where o_orderkey not in (select o_orderkey from late)
+    """
+)
+def merge_into_many_partitions(spark, sf_dir):
+    """A table with a folder per month, merged twice with the same batch."""
+    path = scratch_dir(spark, "merge_into_many_partitions")
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int")
+    early, late = (
+        df(spark, sf_dir).withColumn("order_month", month) for df in (early_orders, late_orders)
+    )
+    for batch in (early, late, late):
+        merge_into(spark, batch, path, "o_orderkey", "order_month", schema=early.schema)
+    return stored_table(spark, "parquet", path, early.schema, ("order_month",), evolving=False)
+
+
+_SEGMENT = (
+    "case c_mktsegment when 'BUILDING' then null when 'MACHINERY' then '' "
+    "when 'FURNITURE' then '__HIVE_DEFAULT_PARTITION__' else c_mktsegment end"
+)
+
+
+@query(
+    """
+    select c_custkey, c_name, c_nationkey, c_acctbal + 3 as c_acctbal,
+           case when c_mktsegment not in ('BUILDING', 'MACHINERY', 'FURNITURE') then c_mktsegment end as segment
+    from customer
+    """
+)
+def null_like_partitions(spark, sf_dir):
+    """Partition values that share the folder of null: no row is lost by upserts and merges."""
+    path = scratch_dir(spark, "null_like_partitions")
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", F.expr(_SEGMENT).alias("segment")
+    )
+    even = F.col("c_custkey") % 2 == 0
+    raised = [customer.withColumn("c_acctbal", F.col("c_acctbal") + i) for i in range(4)]
+    upsert_into(spark, raised[1].where(even), path, "c_custkey", "c_acctbal", "segment")
+    upsert_into(spark, raised[2].where(~even), path, "c_custkey", "c_acctbal", "segment")
+    merge_into(spark, raised[3].where(even), path, "c_custkey", "segment")
+    merge_into(spark, raised[3].where(~even), path, "c_custkey", "segment")
+    return stored_table(spark, "parquet", path, customer.schema, ("segment",))
+
+
+@query(
+    """
+    select cast(p_partkey as bigint) as p_partkey, p_brand, cast(p_size as int) as p_size,
+           case when p_partkey % 3 = 0 then p_retailprice end as p_retailprice
+    from part
+    """
+)
+def upsert_wider_types(spark, sf_dir):
+    """A batch with a wider type and a new column, then the first batch's columns again."""
+    path = scratch_dir(spark, "upsert_wider_types")
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", F.col("p_size").cast("int").alias("p_size"), "p_retailprice"
+    )
+    third = F.col("p_partkey") % 3
+    upsert_into(spark, part.where(third != 2).drop("p_retailprice"), path, "p_partkey", "p_size", "p_brand")
+    wider = part.where(third == 0).withColumn("p_size", F.col("p_size").cast("bigint"))
+    upsert_into(spark, wider, path, "p_partkey", "p_size", "p_brand")
+    upsert_into(spark, part.where(third == 2).drop("p_retailprice"), path, "p_partkey", "p_size", "p_brand")
+    return stored_table(spark, "parquet", path, part.schema, ("p_brand",))
+
+
+@query(
+    """
+    select user_id, ts, event_id, props as prop, value as amount, event_type as kind
+    from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events)
+    where r = 1
+    """
+)
+def latest_with_maps(spark, sf_dir):
+    """Newest event per user, with a map among its columns and a dot in a name."""
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id", F.create_map(F.lit("props"), F.col("props")).alias("more.texts"),
+        F.create_map(F.col("event_type"), F.col("value")).alias("amounts"),
+    )
+    newest = latest_per_key(events, "user_id", ("ts", "event_id"))
+    return newest.select(
+        "user_id", "ts", "event_id", F.col("`more.texts`")["props"].alias("prop"),
+        F.map_values("amounts")[0].alias("amount"), F.map_keys("amounts")[0].alias("kind"),
+    )
+
+
+@query(
+    """
+    select user_id, first(event_type order by ts, event_id) filter (where event_type <> 'view') as kind,
+           first(value order by ts, event_id) filter (where event_type <> 'view') as amount
+    from events group by user_id
+    """
+)
+def first_non_null_maps(spark, sf_dir):
+    """The first map per user; the values can't be compared, the order can."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(
+        F.col("event_type") != "view", F.create_map("event_type", "value")
+    ).alias("a.mounts"))
+    first = first_non_null(events, "user_id", ("ts", "event_id"), ["a.mounts"])
+    return first.select(
+        "user_id", F.map_keys("`a.mounts`")[0].alias("kind"), F.map_values("`a.mounts`")[0].alias("amount")
+    )
+
+
 _SPARSE_EVENTS = """
     select user_id, ts, event_id,
            case when event_type = 'purchase' then value end as purchase_value,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tableflow.session import scratch_dir
 from tableflow.sinks.files import write_files
+from tableflow.sources.storage import delete_folders, entries, make_folder, rename
 from tableflow.specs import EntitySpec, JobContext, LoadJob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +99,14 @@ def deliver(df: DataFrame, root: str, ctx: JobContext, entity: str, fmt: str = "
     write_files(df, fmt, f"{ctx.dated_dir(root)}/{entity}", overwrite=True)
 
 
+def deliver_named(spark: SparkSession, written: str, folder: str, stem: str, ending: str) -> None:
+    """Move the files of a written folder into another, named by a stem and a number."""
+    make_folder(spark, folder)
+    for i, name in enumerate(sorted(n for n in entries(spark, written) if n.startswith("part-"))):
+        delete_folders(spark, [f"{folder}/{stem}{i}{ending}"])
+        rename(spark, f"{written}/{name}", f"{folder}/{stem}{i}{ending}")
+
+
 def save_schema(spark: SparkSession, df: DataFrame, root: str, entity: str) -> None:
     text = spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1)
     text.write.mode("overwrite").text(f"{root}/{entity}.json")

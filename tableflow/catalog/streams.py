@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tableflow.catalog.maintenance import SAME_YEAR, YEAR, upserted_lines
 from tableflow.catalog.registry import (
-    LINE_KEY, LINE_ORDER, arriving_lines, deliver, new_job, query, save_schema, stored_lines, table,
+    LINE_KEY, LINE_ORDER, arriving_lines, deliver, deliver_named, new_job, query, save_schema, stored_lines, table,
 )
-from tableflow.plans.jobs import ingest_keyed, stream_files, stream_globs, stream_landed
+from tableflow.plans.jobs import ingest_keyed, stream_files, stream_globs
+from tableflow.plans.jobs import land_check_stream as land_and_stream
 from tableflow.plans.jobs import stream_then_check as stream_and_check
 from tableflow.sinks.files import write_files
-from tableflow.sinks.landing import land_lines
 from tableflow.sources.files import EXACT_TIMESTAMPS
 from tableflow.specs import EntitySpec
 
@@ -35,9 +37,9 @@ def stream_append(spark, sf_dir):
 
 @query(
     f"""
-    select 'orders' as entity, o_orderkey as id, o_totalprice as amount, {STAMPED} from orders
-    union all
-    select 'customer', c_custkey, c_acctbal, 2024, 2, 1 from customer
+    select 'orders' as entity, *, {STAMPED} from orders
+    union all by name
+    select 'customer' as entity, *, {STAMPED} from customer
     """
 )
 def stream_globs_concurrently(spark, sf_dir):
@@ -52,16 +54,7 @@ def stream_globs_concurrently(spark, sf_dir):
         save_schema(spark, rows, job.schema_path, name)
         deliver(rows, job.input_path, job.ctx, name, "json")
     tables = stream_globs(spark, job)
-    orders, customers = tables["orders"], tables["customer"]
-    return orders.select(
-        F.lit("orders").alias("entity"), F.col("o_orderkey").alias("id"),
-        F.col("o_totalprice").alias("amount"), *BY_DATE,
-    ).unionByName(
-        customers.select(
-            F.lit("customer").alias("entity"), F.col("c_custkey").alias("id"),
-            F.col("c_acctbal").alias("amount"), *BY_DATE,
-        )
-    )
+    return _by_name(tables)
 
 
 @query(f"select *, {STAMPED} from customer")
@@ -140,38 +133,34 @@ def stream_then_check(spark, sf_dir):
 
 @query(
     f"""
-    select 'customer' as entity, c_custkey as id, c_name as name, {STAMPED} from customer
-    union all
-    select 'part', p_partkey, p_name, 2024, 2, 1 from part
+    select 'customer' as entity, *, {STAMPED} from customer
+    union all by name
+    select 'part' as entity, *, {STAMPED} from part
     """
 )
 def land_check_stream(spark, sf_dir):
-    """Raw lines landed per file, required to be complete, parsed and streamed into tables."""
+    """Delivered files landed line by line, required to be complete, parsed and streamed into tables.
+    The first delivery has some of the rows; the second has all, in files of the same names."""
     job = new_job(
         spark, "land_check_stream",
-        [EntitySpec("customer", "customer_*.csv"), EntitySpec("part", "part_*.csv")],
+        [EntitySpec("customer", "customer_*.csv"), EntitySpec("part", "p{art,iece}_[0-9]*.csv")],
         partition_by=BY_DATE,
     )
-    landing, headers = f"{job.output_path}/landing", {}
-    for name in ("customer", "part"):
-        rows = table(spark, sf_dir, name)
-        save_schema(spark, rows, job.schema_path, name)
-        headers[name] = ",".join(rows.columns)
-        header = spark.range(0, 1, 1, 1).select(F.lit(headers[name]).alias("value"))
-        lines = header.unionByName(rows.select(F.to_csv(F.struct("*")).alias("value")))
-        land_lines(
-            lines.select(
-                "value", F.lit(f"{name}_{job.ctx.execution_date}.csv").alias("file_name")
-            ),
-            landing, job.ctx,
-        )
-    tables = stream_landed(spark, landing, job, headers)
-    return tables["customer"].select(
-        F.lit("customer").alias("entity"), F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("name"), *BY_DATE,
-    ).unionByName(
-        tables["part"].select(
-            F.lit("part").alias("entity"), F.col("p_partkey").alias("id"),
-            F.col("p_name").alias("name"), *BY_DATE,
-        )
-    )
+    delivery, headers = job.input_dir, {}
+    for share in (2, 1):
+        for name, key in (("customer", "c_custkey"), ("part", "p_partkey")):
+            rows = table(spark, sf_dir, name)
+            save_schema(spark, rows, job.schema_path, name)
+            headers[name] = ",".join(rows.columns)
+            written = f"{job.input_path}/written/{name}{share}"
+            some = rows.where(F.col(key) % share == 0).repartition(3)
+            some.write.option("header", True).csv(written)
+            deliver_named(spark, written, delivery, f"{name}_", ".csv")
+        tables = land_and_stream(spark, delivery, f"{job.output_path}/landing", job, headers)
+    return _by_name(tables)
+
+
+def _by_name(tables):
+    """The tables one below the other, each with its own columns."""
+    chunks = [df.withColumn("entity", F.lit(name)).drop("file_name") for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chunks)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+from tableflow.functions.columns import all_quoted, comparable, is_orderable, quoted
 from tableflow.specs import as_names
 
 
@@ -25,13 +27,17 @@ def first_non_null(
     """
     keys, order = as_names(keys), as_names(order)
     columns = [c for c in (columns or df.columns) if c not in keys]
-    first = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("__value"))))
-        .getField("__value")
-        .alias(c)
-        for c in columns
-    ]
-    return df.groupBy(*keys).agg(F.struct(*keys, *first).alias("collapsed")).select("collapsed.*")
+    first = [_first(c, df.schema[c].dataType, order).alias(c) for c in columns]
+    return df.groupBy(*all_quoted(keys)).agg(*first)
+
+
+def _first(column: str, kind: DataType, order: tuple[str, ...]) -> Column:
+    value = quoted(column)
+    rank = F.struct(*all_quoted(order), comparable(value, kind).alias("__value"))
+    rank = F.when(value.isNotNull(), rank)
+    if is_orderable(kind):
+        return F.min(rank).getField("__value")
+    return F.min_by(value, rank)  # rows without a rank don't count
 
 
 def first_non_null_sql(

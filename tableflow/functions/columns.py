@@ -3,10 +3,36 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import (
+    ArrayType, DataType, MapType, StringType, StructType, VariantType,
+)
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def all_quoted(names: Iterable[str]) -> list[Column]:
+    return [quoted(n) for n in names]
+
+
+def is_orderable(kind: DataType) -> bool:
+    """Whether Spark can compare values of a type."""
+    if isinstance(kind, ArrayType):
+        return is_orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(is_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def comparable(column: Column, kind: DataType) -> Column:
+    """The column, or its JSON text (entries of maps in the order they are stored) where values of its type can't be compared."""
+    return column if is_orderable(kind) else F.to_json(F.struct(column.alias("v")))
 
 
 def base_name(path: str | Column) -> Column:

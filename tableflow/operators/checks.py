@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tableflow.functions.columns import first_token, on_date, tagged
+from tableflow.functions.columns import all_quoted, first_token, on_date, tagged
 from tableflow.sources.tables import empty_table, names_table
 
 
@@ -103,9 +104,16 @@ def prefixes_exact(spark: SparkSession, files: DataFrame, prefixes: Iterable[str
 def key_coverage(
     df: DataFrame, key: str, day: str, expected: int, approximate: bool = False
 ) -> DataFrame:
-    """Distinct (key, day) pairs against an expected total: ``(found, expected, complete)``."""
-    pair = F.concat_ws("_", key, day)
-    found = F.approx_count_distinct(pair) if approximate else F.count_distinct(pair)
+    """Distinct (key, day) pairs against an expected total: ``(found, expected, complete)``.
+
+    A row whose key or day is null counts for no pair.
+    """
+    parts = all_quoted((key, day))
+    if approximate:
+        whole = reduce(and_, [p.isNotNull() for p in parts])
+        found = F.approx_count_distinct(F.when(whole, F.struct(*parts)))
+    else:
+        found = F.count_distinct(*parts)
     return df.agg(found.alias("found")).select(
         "found",
         F.lit(expected).cast("bigint").alias("expected"),

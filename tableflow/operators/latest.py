@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.functions.columns import all_quoted, comparable, is_orderable, quoted
 from tableflow.specs import as_names
 
 
@@ -23,5 +24,16 @@ def latest_per_key(
     rest = [c for c in df.columns if c not in key and c not in order]
     if not order and not rest:
         return df.dropDuplicates(list(key))
-    newest = F.max(F.struct(*order, *rest)).alias("__newest")
-    return df.groupBy(*key).agg(newest).select(*key, "__newest.*").select(*df.columns)
+    # Payloads that can't be compared (maps) are carried along, and their text settles ties.
+    carried = [c for c in rest if not is_orderable(df.schema[c].dataType)]
+    rank = F.struct(
+        *all_quoted(order), *[comparable(quoted(c), df.schema[c].dataType).alias(c) for c in rest]
+    )
+    if carried:
+        payload = F.struct(*all_quoted([*order, *rest]))
+        newest = F.max_by(payload, rank).alias("__newest")
+    else:
+        newest = F.max(rank).alias("__newest")
+    found = df.groupBy(*all_quoted(key)).agg(newest)
+    fields = [F.col("__newest").getField(c).alias(c) for c in [*order, *rest]]
+    return found.select(*all_quoted(key), *fields).select(*all_quoted(df.columns))

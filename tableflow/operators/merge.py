@@ -10,16 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tableflow.functions.columns import all_quoted, quoted
 from tableflow.operators.latest import latest_per_key
 from tableflow.specs import as_names
 
 
 def _equal(key: tuple[str, ...], prefix: str) -> Column:
-    return reduce(and_, [F.col(k) == F.col(f"{prefix}{k}") for k in key])
+    return reduce(and_, [quoted(k) == quoted(f"{prefix}{k}") for k in key])
 
 
 def _prefixed(df: DataFrame, key: tuple[str, ...], prefix: str) -> list[Column]:
-    return [df[k].alias(f"{prefix}{k}") for k in key]
+    return [quoted(k).alias(f"{prefix}{k}") for k in key]
 
 
 def stored_matches(
@@ -34,13 +35,13 @@ def stored_matches(
     to broadcast, Spark moves the semi-join below it and only matching keys are shuffled.
     """
     key = as_names(key)
-    stored = target.select(*dict.fromkeys(key + as_names(columns))).distinct()
+    stored = target.select(*all_quoted(dict.fromkeys(key + as_names(columns)))).distinct()
     batch = updates.select(*_prefixed(updates, key, "__upd_"))
     return stored.join(batch, _equal(key, "__upd_"), "left_semi")
 
 
 def _has_key(key: tuple[str, ...]) -> Column:
-    return reduce(and_, [F.col(k).isNotNull() for k in key])
+    return reduce(and_, [quoted(k).isNotNull() for k in key])
 
 
 def _newest(updates: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
@@ -60,13 +61,15 @@ def _no_rows_or_fail(updates: DataFrame, hits: DataFrame, key: tuple[str, ...])
     comparison with the counts, so the optimizer cannot move it to where unmatched keys pass.
     """
     claims = (
-        updates.select(*key, F.lit(1).alias("__claims"), F.lit(0).alias("__stored"))
-        .unionByName(hits.select(*key, F.lit(0).alias("__claims"), F.lit(1).alias("__stored")))
+        updates.select(*all_quoted(key), F.lit(1).alias("__claims"), F.lit(0).alias("__stored"))
+        .unionByName(
+            hits.select(*all_quoted(key), F.lit(0).alias("__claims"), F.lit(1).alias("__stored"))
+        )
         .where(_has_key(key))
-        .groupBy(*key)
+        .groupBy(*all_quoted(key))
         .agg(F.sum("__claims").alias("__claims"), F.sum("__stored").alias("__stored"))
     )
-    message = F.concat(F.lit("several updates for the row with key "), F.to_json(F.struct(*key)))
+    message = F.concat(F.lit("several updates for the row with key "), F.to_json(F.struct(*all_quoted(key))))
     allowed = F.when(
         (F.col("__stored") > 0) & (F.col("__claims") > 1), F.raise_error(message).cast("bigint")
     ).otherwise(F.col("__claims"))
@@ -96,7 +99,7 @@ def as_inserted(updates: DataFrame, stored: StructType) -> DataFrame:
     columns = stored.names + [c for c in source.names if c not in stored.names]
     return updates.select(
         *[
-            _assign(c, F.col(c), source, stored).alias(c)
+            _assign(c, quoted(c), source, stored).alias(c)
             if c in source.names
             else F.lit(None).cast(stored[c].dataType).alias(c)
             for c in columns
@@ -125,17 +128,17 @@ def merge(
     source, stored = updates.schema, target.schema
 
     incoming = updates.select(
-        *_prefixed(updates, key, "__upd_"), F.struct(*updates.columns).alias("__new")
+        *_prefixed(updates, key, "__upd_"), F.struct(*all_quoted(updates.columns)).alias("__new")
     )
     joined = target.join(incoming, _equal(key, "__upd_"), "left")
 
     def after_update(name: str) -> Column:
         if name not in source.names:
-            return F.col(name)
+            return quoted(name)
         new = _assign(name, F.col("__new").getField(name), source, stored)
         if name not in stored.names:
             return new.alias(name)
-        return F.when(F.col("__new").isNotNull(), new).otherwise(F.col(name)).alias(name)
+        return F.when(F.col("__new").isNotNull(), new).otherwise(quoted(name)).alias(name)
 
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
     # anti-join is never larger than the batch.

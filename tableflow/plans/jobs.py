@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from contextlib import nullcontext
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +15,19 @@ from tableflow.operators.checks import all_true, data_received, files_present, p
 from tableflow.operators.sqljoin import join_tables
 from tableflow.session import stored_once
 from tableflow.sinks.files import write_files
+from tableflow.sinks.formats import hudi_options
 from tableflow.sinks.keyed import merge_into, upsert_into
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
 from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.files import read_batch, read_stream
 from tableflow.sources.manifest import manifest
 from tableflow.sources.schemas import load_schema
-from tableflow.sources.storage import has_files
+from tableflow.sources.storage import delete_folders, has_files, partition_folder
 from tableflow.sources.tables import read_table, stored_table
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names
-from tableflow.streaming.queries import append_stream, archive_options, await_all, upsert_stream
+from tableflow.streaming.queries import (
+    append_stream, archive_options, await_all, replace_stream, start_all, upsert_stream,
+)
 
 # Columns with one value per run. A write partitioned by these alone goes to one folder, so there
 # is nothing to bring together before it.
@@ -125,12 +130,13 @@ def _append_all(
     """Stamp and start every stream, then wait for all of them."""
     stamped = {e: with_load_date(df, job.ctx.execution_date) for e, df in streams.items()}
     await_all(
-        [
-            append_stream(
-                df, job.output_format, job.table_path(e), job.partition_by, job.trigger_interval_ms
+        start_all(
+            partial(
+                append_stream, df, job.output_format, job.table_path(e), job.partition_by,
+                job.trigger_interval_ms,
             )
             for e, df in stamped.items()
-        ]
+        )
     )
     return _stored(spark, job, {e.name: df.schema for e, df in stamped.items()}, evolving=False)
 
@@ -145,8 +151,8 @@ def ingest_keyed(
 
     The same transform serves both modes: only the reader and the writer differ.
     """
-    queries, schemas = [], {}
-    one_partition = set(job.partition_by) <= _EXECUTION_DATE
+    loads, schemas = [], {}
+    one_partition = bool(job.partition_by) and set(job.partition_by) <= _EXECUTION_DATE
     for entity in job.entities:
         schema = load_schema(spark, job.schema_path, entity.name)
         path = f"{job.input_dir}/{entity.glob}"
@@ -158,24 +164,34 @@ def ingest_keyed(
             )
         rows = with_execution_date(rows, job.ctx.execution_date)
         schemas[entity.name] = rows.schema
-        table = job.table_path(entity)
-        if batch:
-            upsert_into(
-                spark, rows, table, entity.key, entity.order, job.partition_by,
-                job.output_format, compare_with_stored, one_partition=one_partition,
-            )
-        else:
-            queries.append(
-                upsert_stream(
-                    rows, table, entity.key, entity.order, job.partition_by,
-                    job.trigger_interval_ms, job.output_format, compare_with_stored,
-                    one_partition,
+        loads.append((entity, rows))
+    if batch:
+        for entity, rows in loads:
+            # An upsert goes over its batch several times: parse text only once.
+            with _parsed_once(spark, job, rows, entity.name) as parsed:
+                upsert_into(
+                    spark, parsed, job.table_path(entity), entity.key, entity.order, job.partition_by,
+                    job.output_format, compare_with_stored, one_partition=one_partition,
+                )
+    else:
+        await_all(
+            start_all(
+                partial(
+                    upsert_stream, rows, job.table_path(entity), entity.key, entity.order,
+                    job.partition_by, job.trigger_interval_ms, job.output_format,
+                    compare_with_stored, one_partition,
                 )
+                for entity, rows in loads
             )
-    await_all(queries)
+        )
     return _stored(spark, job, schemas, evolving=True)
 
 
+def _parsed_once(spark: SparkSession, job: LoadJob, rows: DataFrame, name: str):
+    is_text = job.input_format in ("csv", "json")
+    return stored_once(spark, rows, name) if is_text else nullcontext(rows)
+
+
 # --- join ---------------------------------------------------------------------------------------
 
 
@@ -206,7 +222,7 @@ def join_to_table(
     }
     rows = with_execution_date(join_tables(spark, named, query), ctx.execution_date)
     path, parts = f"{output_path}/{result.name}", as_names(partition_by)
-    one_partition = set(parts) <= _EXECUTION_DATE
+    one_partition = bool(parts) and set(parts) <= _EXECUTION_DATE
     if upsert:
         # An upsert goes over its batch several times: run the join only once.
         with stored_once(spark, rows, result.name) as batch:
@@ -215,8 +231,11 @@ def join_to_table(
                 one_partition=one_partition,
             )
     else:
-        write_files(rows, output_format, path, parts, overwrite, cluster=not one_partition)
-    return stored_table(spark, output_format, path, rows.schema, parts)
+        options = None
+        if output_format == "hudi":
+            options = hudi_options(result.name, result.key, result.order, parts, "bulk_insert")
+        write_files(rows, output_format, path, parts, overwrite, options, cluster=not one_partition)
+    return stored_table(spark, output_format, path, rows.schema, parts, evolving=upsert)
 
 
 def ingest_then_join(
@@ -307,19 +326,55 @@ def stream_landed(
     job: LoadJob,
     headers: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Stream the day's landed lines into tables, or nothing while an entity's file is missing."""
+    """Stream the day's landed lines into tables, or nothing while an entity's file is missing.
+
+    A file landed again replaces its rows: tables have the column ``file_name`` for that, as the
+    last partition. The first run after a change brings the table up to date.
+    """
     if not has_files(spark, landing_path):
         return {}
     files = landed_files(spark, landing_path, job.ctx)
     check = files_present(spark, files, [f"{e.name}_" for e in job.entities])
     if not all_true(check, "present", "all_present").first()["all_present"]:
         return {}
-    streams = {
-        entity: landed_records(
-            landed_lines(spark, landing_path, job.ctx, stream=True), entity,
-            load_schema(spark, job.schema_path, entity.name), (headers or {}).get(entity.name),
-            job.reader_options,
+    parts = (*job.partition_by, "file_name")
+
+    def records(entity: EntitySpec, schema: StructType, names: DataFrame | None = None) -> DataFrame:
+        lines = landed_lines(spark, landing_path, job.ctx, stream=names is None)
+        if names is not None:
+            lines = lines.join(names, "file_name", "left_semi")
+        parsed = landed_records(
+            lines, entity, schema, (headers or {}).get(entity.name), job.reader_options, with_name=True
         )
-        for entity in job.entities
+        return with_load_date(parsed, job.ctx.execution_date)
+
+    schemas = {e: load_schema(spark, job.schema_path, e.name) for e in job.entities}
+    # All plans are made before the first stream starts, so that a bad one starts none.
+    streams = {e: records(e, schema) for e, schema in schemas.items()}
+    await_all(
+        start_all(
+            partial(
+                replace_stream, df, partial(records, e, schemas[e]), job.table_path(e), "file_name",
+                job.partition_by, job.trigger_interval_ms,
+            )
+            for e, df in streams.items()
+        )
+    )
+    if set(job.partition_by) <= _LOAD_DATE:
+        _drop_emptied(spark, job, files)
+    return {
+        e.name: stored_table(
+            spark, job.output_format, job.table_path(e), df.schema, parts, evolving=False
+        )
+        for e, df in streams.items()
     }
-    return _append_all(spark, job, streams)
+
+
+def _drop_emptied(spark: SparkSession, job: LoadJob, files: DataFrame) -> None:
+    """Rows of files that have been landed again without a line: no stream tells of those."""
+    day = job.ctx.execution_date
+    dated = {"year": day.year, "month": day.month, "day": day.day}
+    for row in files.where("length = 0").toLocalIterator():
+        values = [*((p, str(dated[p])) for p in job.partition_by), ("file_name", row["name"])]
+        for entity in job.entities:
+            delete_folders(spark, [partition_folder(spark, job.table_path(entity), values)])

@@ -1,45 +1,65 @@
 """Keyed, mutable tables on plain Parquet folders, or on a table format when its jar is there.
 
-An upsert or merge reads and rewrites only the partitions it touches. One writer at a time.
+An upsert or merge reads and rewrites only the partitions it touches. Their folders follow from
+the partition values, so no row is read and nothing else is listed to find them; the driver holds
+one short text per touched partition, less than Spark's own listing of it. One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from urllib.parse import unquote
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
+from tableflow.functions.columns import all_quoted, is_orderable, quoted
 from tableflow.operators.merge import as_inserted, deduplicated, merge, stored_matches
-from tableflow.operators.upsert import upsert
+from tableflow.operators.upsert import in_stored_types, upsert
 from tableflow.sinks.files import clustered, overwrite_partitions
-from tableflow.sources.files import storage_format
+from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_options, native_format
 from tableflow.sources.storage import (
-    delete_folders, exists, replace_snapshot, restore_interrupted,
+    delete_folders, exists, partition_folder, replace_snapshot, restore_interrupted,
+)
+from tableflow.sources.tables import (
+    empty_table, evolved, read_folders, read_if_present, save_schema, saved_schema, table_schema,
 )
-from tableflow.sources.tables import empty_table, read_if_present
 from tableflow.specs import as_names
 
-# Partition values listed on the driver to prune a scan; beyond it a join does the same.
-PRUNING_LIMIT = 5000
+# Fixed value: the folder name that stands for a null.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def as_stored(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """The batch with partition values as a table gives them back: an empty text and the name of the
+    null folder are null, and minus zero is zero."""
+    changed = {}
+    for p in parts:
+        kind, value = df.schema[p].dataType, quoted(p)
+        if isinstance(kind, StringType):
+            changed[p] = F.when(~value.isin("", _NULL_PARTITION), value)
+        elif isinstance(kind, (DoubleType, FloatType)):
+            changed[p] = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
+    return df.withColumns(changed) if changed else df
 
 
-def _partition_id(parts: tuple[str, ...]) -> Column:
-    """All partition values as one string. Two partitions that agree on it are both read."""
-    values = [F.coalesce(F.col(p).cast("string"), F.lit("\u0002")) for p in parts]
-    return F.concat_ws("\u0001", *values)
+def _as_text(parts: tuple[str, ...]) -> Column:
+    """The partition values as Spark names folders by them."""
+    return F.array(*[quoted(p).cast("string") for p in parts])
 
 
-def _partition_ids(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
-    return df.select(_partition_id(parts).alias("__partition")).distinct()
+def _folders(
+    spark: SparkSession, path: str, parts: tuple[str, ...], values: Iterable[tuple]
+) -> dict[tuple, str]:
+    """Folder of each partition, of those that exist."""
+    named = {v: partition_folder(spark, path, zip(parts, v, strict=True)) for v in values}
+    return {v: folder for v, folder in named.items() if exists(spark, folder)}
 
 
-def _listed(ids: DataFrame) -> list[str] | None:
-    """The partitions as a list, or None if there are more than may be listed."""
-    rows = ids.limit(PRUNING_LIMIT + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= PRUNING_LIMIT else None
+def _partitions(df: DataFrame, parts: tuple[str, ...]) -> set[tuple]:
+    return {tuple(r[0]) for r in df.select(_as_text(parts).alias("v")).distinct().collect()}
 
 
 def _check_owned(spark: SparkSession, path: str) -> None:
@@ -49,49 +69,15 @@ def _check_owned(spark: SparkSession, path: str) -> None:
     restore_interrupted(spark, path)
 
 
-def _folders(table: DataFrame, parts: tuple[str, ...], listed: list[str]) -> dict[str, str]:
-    """Folder of each listed partition that exists; the scan prunes the others and reads no column."""
-    found = (
-        table.where(_partition_id(parts).isin(listed))
-        .select(
-            _partition_id(parts).alias("id"),
-            F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
-        )
-        .distinct()
-        .collect()
-    )
-    return {row["id"]: unquote(row["folder"]) for row in found}
-
-
-def _touched_rows(
-    spark: SparkSession,
-    path: str,
-    updates: DataFrame,
-    parts: tuple[str, ...],
-    schema: StructType | None,
-    one_partition: bool,
-) -> DataFrame | None:
-    """Stored rows of the partitions a batch has rows for; None if there are none.
-
-    Only these folders' footers are looked at. A list of partitions too long for that becomes a
-    semi-join over the whole table, which gives the same rows.
-    """
-    table = read_if_present(spark, path, updates.schema, parts, schema, all_columns=False)
-    if table is None:
-        return None
-    ids = _partition_ids(updates, parts)
-    listed = _listed(updates.select(_partition_id(parts)).limit(1) if one_partition else ids)
-    if listed is None:
-        table = read_if_present(spark, path, updates.schema, parts, schema)
-        return table.join(ids, _partition_id(parts) == F.col("__partition"), "left_semi")
-    folders = list(_folders(table, parts, listed).values())
-    return read_if_present(spark, path, updates.schema, parts, schema, folders) if folders else None
-
-
 def _write_snapshot(df: DataFrame, path: str, parts: tuple[str, ...]) -> None:
     clustered(df, parts).write.partitionBy(*parts).parquet(path)
 
 
+def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    if saved_schema(spark, path) != schema:
+        save_schema(spark, path, schema)
+
+
 def upsert_into(
     spark: SparkSession,
     updates: DataFrame,
@@ -108,25 +94,54 @@ def upsert_into(
 
     Running it again with the same batch changes nothing, so a failed run is simply repeated.
     The batch is read more than once, so one that is costly to compute should be stored first.
-    ``schema``, if known, saves looking at the footers of the partitions concerned. A batch whose
-    rows all have the same partition values, such as an execution date, is ``one_partition``:
-    neither the search for its partitions nor the shuffle by partition is needed.
+    Columns the table has keep its types; new ones are added. ``schema``, if known, saves looking
+    at the footers of a table that another writer made. A batch whose rows all have the same
+    partition values, such as an execution date, is ``one_partition``: neither the search for
+    its partitions nor the shuffle by partition is needed.
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
-    if fmt == "hudi" and storage_format(spark, fmt) == "hudi":
-        _hudi_upsert(updates, path, key, order, parts)
+    if native_format(spark, fmt, "hudi"):
+        table = path.rstrip("/").rsplit("/", 1)[-1]
+        options = hudi_options(table, key, order, parts, "upsert", compare_with_stored)
+        updates.write.format("hudi").options(**options).mode("append").save(path)
         return
     _check_owned(spark, path)
+    updates = as_stored(updates, parts)
+    known = saved_schema(spark, path) or schema or table_schema(spark, path, updates.schema, parts)
+    if known is not None:
+        updates = as_stored(in_stored_types(updates, known), parts)
+    columns = evolved(known, updates.schema) if known is not None else updates.schema
     if not parts:
-        stored = read_if_present(spark, path, updates.schema, parts, schema)
+        stored = read_if_present(spark, path, updates.schema, parts, known)
         result = upsert(stored, updates, key, order, (), compare_with_stored)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
+        _keep_schema(spark, path, columns)
+        return
+    touched = _partitions(updates.limit(1) if one_partition else updates, parts)
+    if not touched:
         return
-    stored = _touched_rows(spark, path, updates, parts, schema, one_partition)
+    folders = list(_folders(spark, path, parts, touched).values())
+    stored = read_folders(spark, path, known, folders) if folders else None
     result = upsert(stored, updates, key, order, parts, compare_with_stored)
+    _keep_schema(spark, path, columns)  # before the rows: a column no file has yet reads as null
     overwrite_partitions(result, path, parts, cluster=not one_partition)
 
 
+def _within(df: DataFrame, key: tuple[str, ...]) -> Column:
+    """That a row's key lies between the least and the greatest of the batch, as literals, so that it
+    reaches the statistics of the stored files."""
+    ranged = [k for k in key if is_orderable(df.schema[k].dataType)]
+    bounds = df.agg(*[f(quoted(k)) for k in ranged for f in (F.min, F.max)]).first()
+    tests = []
+    for i, k in enumerate(ranged):
+        low, high = bounds[2 * i], bounds[2 * i + 1]
+        if low is None:  # no key at all: nothing matches
+            return F.lit(False)
+        kind = df.schema[k].dataType
+        tests.append(quoted(k).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    return reduce(and_, tests, F.lit(True))
+
+
 def merge_into(
     spark: SparkSession,
     updates: DataFrame,
@@ -141,72 +156,59 @@ def merge_into(
     """Merge a batch into the table at ``path``, creating it with ``schema`` if there is none.
 
     A matched row takes the batch's partition values too, so it may move to another folder; the
-    partitions it leaves are rewritten as well.
+    partitions it leaves are rewritten as well, and no others.
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
-    if fmt == "delta" and storage_format(spark, fmt) == "delta":
+    if native_format(spark, fmt, "delta"):
         batch = deduplicated(updates, key, on_duplicate, order)
         _delta_merge(spark, batch, path, key, parts, schema)
         return
     _check_owned(spark, path)
-    like = schema or updates.schema
-    table = read_if_present(spark, path, like, parts, all_columns=False)
-    if table is None:
-        first = as_inserted(deduplicated(updates, key, on_duplicate, order), like)
+    updates = as_stored(updates, parts)
+    known = table_schema(spark, path, schema or updates.schema, parts)
+    if known is None:
+        like = schema or updates.schema
+        first = as_stored(as_inserted(deduplicated(updates, key, on_duplicate, order), like), parts)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(first, staging, parts))
+        _keep_schema(spark, path, first.schema)
         return
-    touched = None
-    if parts:
-        left = _partition_ids(stored_matches(table, updates, key, parts), parts)
-        touched = _listed(left.union(_partition_ids(updates, parts)).distinct())
-        if touched == []:  # an empty batch
-            return
-    if touched is None:
-        target = read_if_present(spark, path, like, parts)
+    updates = as_stored(in_stored_types(updates, known), parts)
+    if not parts:
+        target = read_folders(spark, path, known)
         result = merge(target, updates, key, on_duplicate, order)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
+        _keep_schema(spark, path, result.schema)
         return
 
-    # Partitions outside the list hold no matching key, so they cannot change.
-    folders = _folders(table, parts, touched)
-    target = empty_table(spark, table.schema)
+    # Keys of the whole table are searched, but only where the batch's range of keys can be.
+    keys = read_folders(spark, path, known).where(_within(updates, key))
+    left = stored_matches(keys, updates, key, parts)
+    touched = _partitions(left.select(*all_quoted(parts)).union(updates.select(*all_quoted(parts))), parts)
+    if not touched:  # an empty batch
+        return
+    # Partitions outside hold no matching key, so they cannot change.
+    folders = _folders(spark, path, parts, touched)
+    target = empty_table(spark, known)
     if folders:
-        target = read_if_present(spark, path, like, parts, None, list(folders.values()))
+        target = read_folders(spark, path, known, list(folders.values()))
     written = Observation("written partitions")
     result = merge(target, updates, key, on_duplicate, order)
+    _keep_schema(spark, path, result.schema)
     overwrite_partitions(
-        result.observe(written, F.collect_set(_partition_id(parts)).alias("ids")), path, parts
+        result.observe(written, F.collect_set(F.struct(_as_text(parts))).alias("ids")), path, parts
     )
-    emptied = [folder for id_, folder in folders.items() if id_ not in written.get["ids"]]
-    delete_folders(spark, emptied)
+    kept = {tuple(row[0]) for row in written.get["ids"]}
+    delete_folders(spark, [folder for v, folder in folders.items() if v not in kept])
 
 
 def _delta_merge(spark, updates, path, key, parts, schema) -> None:
     """The same through the table format's own MERGE."""
-    columns = (schema or updates.schema).toDDL()
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS delta.`{path}` ({columns}) USING delta"
-        + (f" PARTITIONED BY ({', '.join(parts)})" if parts else "")
-    )
+    spark.sql(delta_create_sql(path, (schema or updates.schema).toDDL(), parts))
     updates.createOrReplaceTempView("tableflow_updates")
-    same = " AND ".join(f"target.`{k}` = updates.`{k}`" for k in key)
-    spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
-    spark.sql(
-        f"MERGE INTO delta.`{path}` AS target USING tableflow_updates AS updates ON {same} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
-
-
-def _hudi_upsert(updates, path, key, order, parts) -> None:
-    """The same through the table format's own upsert."""
-    (
-        updates.write.format("hudi")
-        .option("hoodie.table.name", path.rstrip("/").rsplit("/", 1)[-1])
-        .option("hoodie.datasource.write.operation", "upsert")
-        .option("hoodie.datasource.write.recordkey.field", ",".join(key))
-        .option("hoodie.datasource.write.precombine.field", ",".join(order))
-        .option("hoodie.datasource.write.partitionpath.field", ",".join(parts))
-        .option("hoodie.datasource.write.hive_style_partitioning", "true")
-        .mode("append")
-        .save(path)
-    )
+    setting = "spark.databricks.delta.schema.autoMerge.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        spark.sql(delta_merge_sql(path, "tableflow_updates", key))
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tableflow.sinks.ledger import read_pending, record_files
+from tableflow.sources.manifest import manifest
+from tableflow.sources.storage import delete_folders, partition_folder, write_text
 from tableflow.specs import EntitySpec, JobContext
 
 LINE = StructType().add("value", "string")
@@ -29,8 +32,8 @@ def land_files(
     """Copy the lines of matching files to ``<landing>/job_id=/execution_date=/file_name=``.
 
     Landing a file again replaces that file's lines only; with a ledger, files landed before are
-    left alone. A large file is split over tasks like any text scan, so one delivery of any size
-    is no single task's work.
+    left alone. A file without lines lands as an empty file. A large file is split over tasks like
+    any text scan, so one delivery of any size is no single task's work.
     """
     patterns = list(dict.fromkeys(globs))
     pattern = patterns[0] if len(patterns) == 1 else "{" + ",".join(patterns) + "}"
@@ -45,10 +48,20 @@ def land_files(
         lines = spark.read.option("pathGlobFilter", pattern).text(input_path)
         lines = lines.select("value", F.col("_metadata.file_name").alias("file_name"))
     land_lines(lines, landing_path, ctx)
+    files = taken if taken is not None else manifest(spark, input_path, pattern)
+    for row in files.where("length = 0").select("name").toLocalIterator():
+        _land_empty(spark, landing_path, ctx, row["name"])
     if taken is not None:
         record_files(taken, ledger_path)
 
 
+def _land_empty(spark: SparkSession, landing_path: str, ctx: JobContext, name: str) -> None:
+    """A file without lines in place of whatever was landed under its name."""
+    folder = partition_folder(spark, _day_folder(landing_path, ctx), [("file_name", name)])
+    delete_folders(spark, [folder])
+    write_text(spark, f"{folder}/part-empty", "")
+
+
 def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
     """Land lines given as ``value`` and ``file_name``."""
     (
@@ -78,7 +91,7 @@ def landed_lines(
 
 
 def landed_files(spark: SparkSession, landing_path: str, ctx: JobContext) -> DataFrame:
-    """Names of the files landed for a job and date, from a listing: no line is read."""
+    """Names and sizes of the files landed for a job and date, from a listing: no line is read."""
     return (
         spark.read.format("binaryFile")
         .schema(
@@ -86,8 +99,8 @@ def landed_files(spark: SparkSession, landing_path: str, ctx: JobContext) -> Dat
             "file_name string"
         )
         .load(_day_folder(landing_path, ctx))
-        .select(F.col("file_name").alias("name"))
-        .distinct()
+        .groupBy(F.col("file_name").alias("name"))
+        .agg(F.sum("length").alias("length"))
     )
 
 
@@ -97,20 +110,59 @@ def landed_records(
     schema: StructType,
     header: str | None = None,
     options: Mapping[str, str] | None = None,
+    with_name: bool = False,
 ) -> DataFrame:
-    """Parse an entity's landed CSV lines.
+    """Parse an entity's landed CSV lines; ``with_name`` keeps the column ``file_name``.
 
     Lines of one file may lie in several parts, so a header is recognised by its text and not by
     its position; pass it as it stands in the files. Blank lines are skipped, as in a CSV scan.
+    For the same reason a record can't go over several lines; such files are loaded, not landed.
     """
-    wanted = lines.where(F.col("file_name").like(_like(entity.glob)) & (F.trim("value") != ""))
+    if str({k.lower(): v for k, v in (options or {}).items()}.get("multiline", False)).lower() == "true":
+        raise ValueError("landed lines are parsed one by one, load multi-line records from their files")
+    wanted = lines.where(F.col("file_name").rlike(glob_pattern(entity.glob)) & (F.trim("value") != ""))
     if header is not None:
         wanted = wanted.where(F.col("value") != header)
     parsed = F.from_csv("value", schema.simpleString(), dict(options or {}))
-    return wanted.select(parsed.alias("record")).select("record.*")
+    name = ["file_name"] if with_name else []
+    return wanted.select(parsed.alias("record"), *name).select("record.*", *name)
 
 
-def _like(glob: str) -> str:
-    """A file pattern with ``*`` and ``?`` as a SQL LIKE pattern."""
-    escaped = glob.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return escaped.replace("*", "%").replace("?", "_")
+def glob_pattern(glob: str) -> str:
+    """A file pattern as a regular expression of the whole name.
+
+    ``*`` and ``?`` stand for any characters and one character, ``[a-c]``, ``[^a]`` and ``[!a]`` for one of
+    a set or outside it, ``{x,y}`` for alternatives, and a backslash takes away such meaning.
+    """
+    out, depth, at = [], 0, 0
+    while at < len(glob):
+        c = glob[at]
+        at += 1
+        if c == "\\" and at < len(glob):
+            out.append(re.escape(glob[at]))
+            at += 1
+        elif c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and "]" in glob[at + 1 :]:
+            end = glob.index("]", at + 1)
+            members = glob[at:end]
+            outside = members[0] in "!^"
+            members = members[1:] if outside else members
+            escaped = re.sub(r"([\\\[\]&^])", r"\\\1", members)
+            out.append(f"[{'^' if outside else ''}{escaped}]")
+            at = end + 1
+        elif c == "{":
+            out.append("(?:")
+            depth += 1
+        elif c == "}" and depth:
+            out.append(")")
+            depth -= 1
+        elif c == "," and depth:
+            out.append("|")
+        else:
+            out.append(re.escape(c))
+    if depth:
+        raise ValueError(f"a brace is open in the file pattern '{glob}'")
+    return f"^{''.join(out)}$"

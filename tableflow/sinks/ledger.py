@@ -16,9 +16,6 @@ from tableflow.sources.tables import empty_table
 
 LEDGER_SCHEMA = "path string, uri string, modified_at timestamp"
 
-# Files named one by one in a scan; beyond it the scan takes the folder and drops what is done.
-PATHS_LIMIT = 10000
-
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if not has_files(spark, path):
@@ -48,6 +45,9 @@ def read_pending(
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of the files not loaded yet (None if there are none) and the list of these files.
 
+    The folder is scanned by the name pattern and by the age of the oldest pending file, which
+    reaches the listing; rows of files that are not pending are dropped by a semi-join on the file
+    they come from. Names are never taken as patterns, however many files there are.
     ``name_column`` adds the name of the file a row came from.
     """
     pending = pending_files(manifest(spark, path, glob), read_ledger(spark, ledger_path))
@@ -56,22 +56,16 @@ def read_pending(
     listing = scratch_dir(spark, "pending-files")
     pending.write.parquet(listing)
     taken = spark.read.schema(pending.schema).parquet(listing)
-    paths = [r["path"] for r in taken.select("path").limit(PATHS_LIMIT + 1).collect()]
-    if not paths:
+    # The bound is in whole seconds, takes files that are newer, and is read in the reader's zone.
+    zoned = any(name.lower() == "timezone" for name in options or {})
+    margin = F.expr("interval 27 hours" if zoned else "interval 1 second")
+    oldest = F.date_format(F.min("modified_at") - margin, "yyyy-MM-dd'T'HH:mm:ss")
+    after = taken.agg(oldest).first()[0]
+    if after is None:
         return None, taken
+    rows = read_batch(spark, fmt, path, schema, glob, {**(options or {}), "modifiedAfter": after})
     named = {name_column: F.col("_metadata.file_name")} if name_column else {}
-    if len(paths) <= PATHS_LIMIT:
-        return read_batch(spark, fmt, paths, schema, None, options).withColumns(named), taken
-    everything = read_batch(spark, fmt, path, schema, glob, options)
-    rows = everything.withColumns(
-        {
-            **named,
-            "__uri": F.col("_metadata.file_path"),
-            "__modified_at": F.col("_metadata.file_modification_time"),
-        }
-    ).join(
-        taken.select("uri", "modified_at"),
-        (F.col("__uri") == F.col("uri")) & (F.col("__modified_at") == F.col("modified_at")),
-        "left_semi",
-    )
+    source = {"__uri": F.col("_metadata.file_path"), "__modified_at": F.col("_metadata.file_modification_time")}
+    listed = taken.select(F.col("uri").alias("__uri"), F.col("modified_at").alias("__modified_at"))
+    rows = rows.withColumns({**named, **source}).join(listed, ["__uri", "__modified_at"], "left_semi")
     return rows.drop("__uri", "__modified_at"), taken

@@ -85,7 +85,7 @@ def read_stream(
 ) -> DataFrame:
     """Unbounded scan of a folder. A stream never infers its schema."""
     if schema is None:
-        raise ValueError(f"a schema is required for a streaming query to load entity '{entity}'")
+        raise ValueError(f"no schema given for the stream of entity '{entity}'; streams do not infer one")
     job = {"pathGlobFilter": glob} if glob else {}
     return (
         spark.readStream.format(storage_format(spark, fmt))

@@ -1,9 +1,9 @@
-"""Folder operations on whatever file system a path is on (metadata only, never data)."""
+"""Folder and small-file operations on whatever file system a path is on (never table data)."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -18,14 +18,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def entries(spark: SparkSession, path: str) -> Iterator[str]:
+    """Names in a folder, one after another as the file system gives them."""
+    fs, p = _hadoop(spark, path)
+    statuses = fs.listStatusIterator(p)
+    while statuses.hasNext():
+        yield statuses.next().getPath().getName()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+
+
+def _is_hidden(name: str) -> bool:
+    return name.startswith(("_", "."))
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds anything a reader would look at, from its top level alone."""
-    fs, p = _hadoop(spark, path)
-    if not fs.exists(p):
-        return False
-    return any(
-        not status.getPath().getName().startswith(("_", ".")) for status in fs.listStatus(p)
-    )
+    return exists(spark, path) and any(not _is_hidden(n) for n in entries(spark, path))
 
 
 def rename(spark: SparkSession, source: str, destination: str) -> None:
@@ -41,23 +53,76 @@ def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
         fs.delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small file, or None if there is none."""
+    if not exists(spark, path):
+        return None
+    fs, p = _hadoop(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place, then move it there."""
+    fs, p = _hadoop(spark, path)
+    folder, _, name = path.rpartition("/")
+    _, temporary = _hadoop(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(temporary, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(temporary, p):
+        raise OSError(f"could not write {path}")
+
+
+def partition_folder(spark: SparkSession, path: str, values: Iterable[tuple[str, str | None]]) -> str:
+    """Where Spark keeps the rows with these partition values (name, value as text)."""
+    named = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path.rstrip("/"), *(named.getPartitionPathString(n, v) for n, v in values)])
+
+
 def restore_interrupted(spark: SparkSession, path: str) -> None:
-    """Put the previous snapshot back if a swap stopped between its two renames."""
-    if not exists(spark, path) and exists(spark, f"{path}__previous"):
-        rename(spark, f"{path}__previous", path)
+    """Put the previous snapshot back if a swap stopped between its renames."""
+    previous = f"{path}__previous"
+    if exists(spark, path) or not exists(spark, previous):
+        return
+    parent, _, name = path.rstrip("/").rpartition("/")
+    for entry in list(entries(spark, parent)):
+        if entry.startswith(f"{name}__staging_"):
+            _move_hidden(spark, f"{parent}/{entry}", previous)
+            delete_folders(spark, [f"{parent}/{entry}"])
+    rename(spark, previous, path)
+
+
+def _move_hidden(spark: SparkSession, source: str, destination: str) -> None:
+    """Move what readers ignore, such as a stream's progress or the table's schema."""
+    for name in list(entries(spark, source)):
+        if _is_hidden(name) and name != "_SUCCESS" and not name.endswith(".crc"):
+            if not exists(spark, f"{destination}/{name}"):
+                rename(spark, f"{source}/{name}", f"{destination}/{name}")
 
 
 def replace_snapshot(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Write a whole new snapshot beside the table, then swap the folders.
 
-    The new snapshot may read the old one. One writer at a time; a reader may miss the table
-    between the two renames, and on object stores a rename is a copy - use a table format there.
+    The new snapshot may read the old one; what readers ignore moves over. A write that fails
+    leaves no copy behind. One writer at a time; a reader may miss the table between the renames,
+    and on object stores a rename is a copy - use a table format there.
     """
-    staging = f"{path}__staging_{uuid.uuid4().hex}"
-    write(staging)
-    previous = f"{path}__previous"
+    staging, previous = f"{path}__staging_{uuid.uuid4().hex}", f"{path}__previous"
+    try:
+        write(staging)
+    except BaseException:
+        delete_folders(spark, [staging])
+        raise
     if exists(spark, path):
         delete_folders(spark, [previous])
         rename(spark, path, previous)
+        _move_hidden(spark, previous, staging)
     rename(spark, staging, path)
     delete_folders(spark, [previous])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tableflow.sources.files import storage_format
-from tableflow.sources.storage import has_files
+from tableflow.sources.storage import has_files, read_text, write_text
 
 
 def read_table(
@@ -32,7 +33,8 @@ def stored_table(
     """A table to which rows of the schema ``like`` were written.
 
     Text files carry no types and folder names only guess at them, so those come from ``like``.
-    A table that is not ``evolving`` has these columns and no others, and no footer is read.
+    A table that is not ``evolving`` has these columns and no others, and no footer is read; nor is
+    one for a keyed table, which keeps its schema beside its rows.
     """
     actual = storage_format(spark, fmt)
     if actual != "parquet":
@@ -64,33 +66,62 @@ def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
     return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
+_SCHEMA_FILE = "_schema.json"
+
+
+def saved_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema kept beside a keyed table, if it has one."""
+    text = read_text(spark, f"{path}/{_SCHEMA_FILE}")
+    return StructType.fromJson(json.loads(text)) if text else None
+
+
+def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    write_text(spark, f"{path}/{_SCHEMA_FILE}", schema.json())
+
+
+def table_schema(
+    spark: SparkSession, path: str, like: StructType, partition_by: Sequence[str] = ()
+) -> StructType | None:
+    """All columns of a stored Parquet table, or None when there is none yet.
+
+    Keyed tables keep their schema beside their rows. For others the footers are merged in a
+    distributed pass. Partition columns then have the types of ``like``: Spark would read a stored
+    string such as ``01`` or ``2015-01-01`` back as a number or a date.
+    """
+    if not has_files(spark, path):
+        return None
+    saved = saved_schema(spark, path)
+    if saved is not None:
+        return saved
+    found = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path).schema
+    typed = [
+        like[f.name].dataType if f.name in partition_by and f.name in like.names else f.dataType
+        for f in found.fields
+    ]
+    return StructType([StructField(f.name, t) for f, t in zip(found.fields, typed, strict=True)])
+
+
+def evolved(stored: StructType, batch: StructType) -> StructType:
+    """The table's columns and types, then those that a batch brings."""
+    return StructType([*stored.fields, *(f for f in batch.fields if f.name not in stored.names)])
+
+
+def read_folders(
+    spark: SparkSession, path: str, schema: StructType, folders: Sequence[str] = ()
+) -> DataFrame:
+    """A table, or some of its folders, of a known schema: no footer is read, nothing else listed."""
+    return spark.read.option("basePath", path).schema(schema).parquet(*(folders or [path]))
+
+
 def read_if_present(
     spark: SparkSession,
     path: str,
     like: StructType,
     partition_by: Sequence[str] = (),
     schema: StructType | None = None,
-    folders: Sequence[str] = (),
-    all_columns: bool = True,
 ) -> DataFrame | None:
-    """A stored Parquet table, or the given folders of it, or None when there is none yet.
-
-    Columns may differ between partitions after schema evolution. To have ``all_columns`` the
-    footers of what is read are merged in a distributed pass; otherwise one footer speaks for all.
-    A given ``schema`` needs neither. Partition columns keep the types of ``like``: Spark would
-    read a stored string such as ``01`` or ``2015-01-01`` back as a number or a date.
-    """
-    if not has_files(spark, path):
+    """A stored Parquet table, or None when there is none yet. A given ``schema`` is taken as it is."""
+    schema = schema or table_schema(spark, path, like, partition_by)
+    if schema is None or not has_files(spark, path):
         return None
-    paths = list(folders) or [path]
-    if schema is None:
-        reader = spark.read.option("basePath", path).option("mergeSchema", all_columns)
-        schema = reader.parquet(*paths).schema
-    fields = [
-        StructField(
-            f.name,
-            like[f.name].dataType if f.name in partition_by and f.name in like.names else f.dataType,
-        )
-        for f in schema.fields
-    ]
-    return spark.read.option("basePath", path).schema(StructType(fields)).parquet(*paths)
+    return read_folders(spark, path, schema)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tableflow.sinks.files import overwrite_partitions
 from tableflow.sinks.keyed import upsert_into
 from tableflow.sources.files import storage_format
 from tableflow.specs import JobContext, as_names
@@ -20,9 +21,23 @@ def trigger_of(interval_ms: int) -> dict[str, object]:
     return {"processingTime": f"{interval_ms} milliseconds"}
 
 
-def checkpoint_of(table_path: str) -> str:
-    """Progress is kept inside the table's folder, where readers ignore it."""
-    return f"{table_path}/_checkpoints"
+def checkpoint_of(table_path: str, swapped: bool = False) -> str:
+    """Progress is kept inside the table's folder, where readers ignore it; beside it for a table
+    that is ``swapped`` as a whole while the stream runs."""
+    return f"{table_path}__checkpoints" if swapped else f"{table_path}/_checkpoints"
+
+
+def start_all(starts: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
+    """Start queries one after another; if one can't start, those before it are stopped."""
+    started: list[StreamingQuery] = []
+    try:
+        for start in starts:
+            started.append(start())
+    except BaseException:
+        for query in started:
+            query.stop()
+        raise
+    return started
 
 
 def archive_options(input_path: str, ctx: JobContext) -> dict[str, str]:
@@ -62,13 +77,11 @@ def upsert_stream(
     compare_with_stored: bool = False,
     one_partition: bool = False,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a partitioned keyed table.
+    """Upsert every micro-batch into a keyed table.
 
     A micro-batch may be replayed after a failure; the upsert of the same rows changes nothing.
     """
     parts = as_names(partition_by)
-    if not parts:
-        raise ValueError("a streaming upsert needs partition columns")
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         upsert_into(
@@ -78,13 +91,41 @@ def upsert_stream(
 
     return (
         df.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint_of(table_path))
+        .option("checkpointLocation", checkpoint_of(table_path, swapped=not parts))
         .trigger(**trigger_of(interval_ms))
         .foreachBatch(upsert_batch)
         .start()
     )
 
 
+def replace_stream(
+    df: DataFrame,
+    contents: Callable[[DataFrame], DataFrame],
+    table_path: str,
+    name_column: str,
+    partition_by: str | Iterable[str] = (),
+    interval_ms: int = -1,
+) -> StreamingQuery:
+    """Keep a table equal to files that may be delivered again under their names.
+
+    A micro-batch only tells which names have news: ``contents`` gives all current rows of these
+    names, and they replace the table's folders of the names. So a file that came in two parts, or a
+    second time with other lines, is in the table once, as it is now.
+    """
+    parts = (*as_names(partition_by), name_column)
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(contents(batch.select(name_column).distinct()), table_path, parts)
+
+    return (
+        df.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint_of(table_path))
+        .trigger(**trigger_of(interval_ms))
+        .foreachBatch(replace)
+        .start()
+    )
+
+
 def await_all(queries: Iterable[StreamingQuery], poll_seconds: float = 0.2) -> None:
     """Wait until all queries have ended; the first failure stops the others and is raised."""
     running = list(queries)

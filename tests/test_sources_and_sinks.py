@@ -16,7 +16,7 @@ from tableflow.sources.storage import exists, replace_snapshot, restore_interrup
 from tableflow.sources.files import (
     EXACT_TIMESTAMPS, combined_options, read_batch, read_stream, source_available, storage_format,
 )
-from tableflow.sources.generator import generated_items, generated_orders
+from generator import generated_items, generated_orders
 from tableflow.sources.manifest import manifest, manifest_of
 from tableflow.sources.schemas import load_schema
 from tableflow.sources.tables import literal_table, read_if_present, read_table, register_tables
