@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.losertree import decode, front_code, merge
 from tableflow.llm.rows import keyed, stored
-from tableflow.llm.text import chunks, mix, prefix_hashes, span_hashes
+from tableflow.llm.text import chunks, mix, prefix_hashes, slices, span_hashes
 
 GRAM = 32
 HOT = 256  # regions of one gram in a batch beyond which its windows are dealt one by one
 PART_BYTES = 64 << 20
+BATCH_BYTES = 8 << 20  # of text whose runs a task sorts together
 ID = ("__id", "__version")
 # What a run of windows is to be: repeated as a whole, looked at by suffixes, or window by window.
 REPEATED, SORTED, DEALT = range(3)
@@ -83,7 +84,7 @@ def _buffers(*arrays: np.ndarray) -> list[pa.Array]:
 
 def _collect_runs(length: int, parts: int, most: int):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             ids = batch.column("__id").to_numpy()
             versions = batch.column("__version").to_numpy()
             # Rows that repeat id and text are one document.
@@ -201,7 +202,7 @@ def _cut_regions(column: str, length: int, parts: int):
     compare, sorted and front-coded, with the bytes before them; or hashes of single windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column, BATCH_BYTES)):
             ids = batch.column("__id").to_numpy()
             versions = batch.column("__version").to_numpy()
             suffixes: list[tuple[int, bytes, bytes, int, int]] = []

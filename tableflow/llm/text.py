@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 # Per byte: what it becomes in a word, or 0 where it separates words.
 _space = [0x20, *range(0x09, 0x0E)]
@@ -33,18 +33,35 @@ def fold(doc_id: Column, folds: int) -> Column:
 def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of rows of about ``size`` bytes (a longer row is a run of its own): the number of rows,
     their bytes, and where each row begins. A null is an empty text."""
+    begins, data = _bytes(texts)
+    for row, end in _cuts(begins, size):
+        yield end - row, data[begins[row] : begins[end]], begins[row : end + 1] - begins[row]
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``size`` bytes of a text column."""
+    begins, _ = _bytes(batch.column(column))
+    for row, end in _cuts(begins, size):
+        yield batch.slice(row, end - row)
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text begins (and the last one ends), and all bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
-        return
+        return np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint8)
     _, where, data = texts.buffers()
     begins = np.frombuffer(where, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    bytes_ = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-    row = 0
-    while row < len(texts):
+    return begins, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+
+
+def _cuts(begins: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    row, last = 0, len(begins) - 1
+    while row < last:
         end = max(row + 1, int(np.searchsorted(begins, begins[row] + size, side="right")) - 1)
-        yield end - row, bytes_[begins[row] : begins[end]], begins[row : end + 1] - begins[row]
+        yield row, end
         row = end
 
 

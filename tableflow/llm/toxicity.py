@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.rows import stored
-from tableflow.llm.text import ALPHANUMERIC, CHUNK_BYTES, Words, chunks, mix, prefix_hashes, span_hashes
+from tableflow.llm.text import ALPHANUMERIC, Words, chunks, mix, prefix_hashes, span_hashes
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
@@ -186,10 +186,6 @@ class Grammar:
         return np.log1p(out)
 
 
-def _bounded(texts: pa.Array):
-    return chunks(texts, CHUNK_BYTES // 2)
-
-
 # ---- learning ----------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -209,7 +205,7 @@ class Model:
             model = shared.value
             matcher = Grammar(model.keys, model.lexicon)
             for texts in batches:
-                found = [matcher.features(*c) for c in _bounded(texts)]
+                found = [matcher.features(*c) for c in chunks(texts)]
                 x = np.concatenate(found) if found else np.zeros((0, 4))
                 z = np.clip(x @ model.coefficients[:-1] + model.coefficients[-1], -30, 30)
                 yield pa.array(1 / (1 + np.exp(-z)))
@@ -328,7 +324,7 @@ def _measured(rows: DataFrame, keys: np.ndarray, lexicon: np.ndarray) -> tuple[n
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Grammar(keys, lexicon)
         for batch in batches:
-            found = [matcher.features(*c) for c in _bounded(batch.column("text"))]
+            found = [matcher.features(*c) for c in chunks(batch.column("text"))]
             if found:
                 x = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(
