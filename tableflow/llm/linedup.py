@@ -189,7 +189,8 @@ def remove_repeated_blocks(
     )
     gone = stored(spark, gone, "gone")
     # The split text is used twice, so the optimizer keeps it a column and splits once.
-    out = docs.join(gone, list(ID), "left").withColumns({
+    # Texts move once and aren't sorted; the plan is the same whatever the number of deletions.
+    out = docs.join(gone.hint("shuffle_hash"), list(ID), "left").withColumns({
         "removed": F.coalesce("__gone", F.array().cast("array<int>")), "__parts": F.split(text, "\n"),
     })
     kept = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("removed"))
