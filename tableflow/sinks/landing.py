@@ -11,8 +11,11 @@ from pyspark.sql.types import StructType
 
 from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.manifest import manifest
-from tableflow.sources.storage import delete_folders, partition_folder, write_text
-from tableflow.specs import EntitySpec, JobContext
+from tableflow.sources.storage import (
+    delete_folders, empty_files, partition_folder, partition_value, write_text,
+)
+from tableflow.sources.tables import names_table
+from tableflow.specs import EntitySpec, JobContext, glob_pattern
 
 LINE = StructType().add("value", "string")
 
@@ -42,12 +45,13 @@ def land_files(
         lines, taken = read_pending(
             spark, "text", input_path, ledger_path, LINE, pattern, name_column="file_name"
         )
-        if lines is None:
+        if lines is None and not taken.head(1):
             return
     else:
         lines = spark.read.option("pathGlobFilter", pattern).text(input_path)
         lines = lines.select("value", F.col("_metadata.file_name").alias("file_name"))
-    land_lines(lines, landing_path, ctx)
+    if lines is not None:
+        land_lines(lines, landing_path, ctx)
     files = taken if taken is not None else manifest(spark, input_path, pattern)
     for row in files.where("length = 0").select("name").toLocalIterator():
         _land_empty(spark, landing_path, ctx, row["name"])
@@ -92,16 +96,23 @@ def landed_lines(
 
 def landed_files(spark: SparkSession, landing_path: str, ctx: JobContext) -> DataFrame:
     """Names and sizes of the files landed for a job and date, from a listing: no line is read."""
-    return (
+    folder = _day_folder(landing_path, ctx)
+    listed = (
         spark.read.format("binaryFile")
         .schema(
             "path string, modificationTime timestamp, length bigint, content binary, "
             "file_name string"
         )
-        .load(_day_folder(landing_path, ctx))
-        .groupBy(F.col("file_name").alias("name"))
-        .agg(F.sum("length").alias("length"))
+        .load(folder)
+        .select(F.col("file_name").alias("name"), "length")
     )
+    empty = [
+        (partition_value(spark, file.split("/")[-2]),) for file, _ in empty_files(spark, folder)
+    ]
+    if empty:
+        nothing = names_table(spark, "name", [name for name, in empty])
+        listed = listed.unionByName(nothing.withColumn("length", F.lit(0).cast("long")))
+    return listed.groupBy("name").agg(F.sum("length").alias("length"))
 
 
 def landed_records(
@@ -126,43 +137,3 @@ def landed_records(
     parsed = F.from_csv("value", schema.simpleString(), dict(options or {}))
     name = ["file_name"] if with_name else []
     return wanted.select(parsed.alias("record"), *name).select("record.*", *name)
-
-
-def glob_pattern(glob: str) -> str:
-    """A file pattern as a regular expression of the whole name.
-
-    ``*`` and ``?`` stand for any characters and one character, ``[a-c]``, ``[^a]`` and ``[!a]`` for one of
-    a set or outside it, ``{x,y}`` for alternatives, and a backslash takes away such meaning.
-    """
-    out, depth, at = [], 0, 0
-    while at < len(glob):
-        c = glob[at]
-        at += 1
-        if c == "\\" and at < len(glob):
-            out.append(re.escape(glob[at]))
-            at += 1
-        elif c == "*":
-            out.append("[^/]*")
-        elif c == "?":
-            out.append("[^/]")
-        elif c == "[" and "]" in glob[at + 1 :]:
-            end = glob.index("]", at + 1)
-            members = glob[at:end]
-            outside = members[0] in "!^"
-            members = members[1:] if outside else members
-            escaped = re.sub(r"([\\\[\]&^])", r"\\\1", members)
-            out.append(f"[{'^' if outside else ''}{escaped}]")
-            at = end + 1
-        elif c == "{":
-            out.append("(?:")
-            depth += 1
-        elif c == "}" and depth:
-            out.append(")")
-            depth -= 1
-        elif c == "," and depth:
-            out.append("|")
-        else:
-            out.append(re.escape(c))
-    if depth:
-        raise ValueError(f"a brace is open in the file pattern '{glob}'")
-    return f"^{''.join(out)}$"

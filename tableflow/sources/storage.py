@@ -40,6 +40,32 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return exists(spark, path) and any(not _is_hidden(n) for n in entries(spark, path))
 
 
+def empty_files(spark: SparkSession, path: str, recursive: bool = False) -> list[tuple[str, int]]:
+    """(path, modification time in milliseconds) of the files without a byte, which Spark's scans
+    leave out. Without ``recursive`` only hive-style folders are gone into, as scans do."""
+    fs, p = _hadoop(spark, path)
+    out = []
+    for root in fs.globStatus(p) or ():
+        prefix = root.getPath().toString().rstrip("/")
+        files = fs.listFiles(root.getPath(), True)
+        while files.hasNext():
+            status = files.next()
+            if status.getLen() > 0:
+                continue
+            found = status.getPath().toString()
+            *folders, name = found.removeprefix(prefix).strip("/").split("/")
+            shown = not any(_is_hidden(n) for n in (*folders, name) if n)
+            if shown and (recursive or all("=" in n for n in folders)):
+                out.append((found, status.getModificationTime()))
+    return out
+
+
+def partition_value(spark: SparkSession, folder: str) -> str:
+    """The value in a partition folder's name."""
+    named = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return named.unescapePathName(folder.partition("=")[2])
+
+
 def rename(spark: SparkSession, source: str, destination: str) -> None:
     fs, src = _hadoop(spark, source)
     _, dst = _hadoop(spark, destination)

@@ -32,6 +32,46 @@ def entity_glob(name: str, date: dt.date, extension: str = "csv") -> str:
     return f"{name}_*{date.isoformat()}.{extension}"
 
 
+def glob_pattern(glob: str) -> str:
+    """A file pattern as a regular expression of the whole name.
+
+    ``*`` and ``?`` stand for any characters and one character, ``[a-c]``, ``[^a]`` and ``[!a]`` for one of
+    a set or outside it, ``{x,y}`` for alternatives, and a backslash takes away such meaning.
+    """
+    out, depth, at = [], 0, 0
+    while at < len(glob):
+        c = glob[at]
+        at += 1
+        if c == "\\" and at < len(glob):
+            out.append(re.escape(glob[at]))
+            at += 1
+        elif c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and "]" in glob[at + 1 :]:
+            end = glob.index("]", at + 1)
+            members = glob[at:end]
+            outside = members[0] in "!^"
+            members = members[1:] if outside else members
+            escaped = re.sub(r"([\\\[\]&^])", r"\\\1", members)
+            out.append(f"[{'^' if outside else ''}{escaped}]")
+            at = end + 1
+        elif c == "{":
+            out.append("(?:")
+            depth += 1
+        elif c == "}" and depth:
+            out.append(")")
+            depth -= 1
+        elif c == "," and depth:
+            out.append("|")
+        else:
+            out.append(re.escape(c))
+    if depth:
+        raise ValueError(f"a brace is open in the file pattern '{glob}'")
+    return f"^{''.join(out)}$"
+
+
 @dataclass(frozen=True)
 class EntitySpec:
     """A named dataset: which files hold it, what identifies a row, which row is newer.

@@ -1,5 +1,9 @@
 import dataclasses
 import datetime as dt
+import os
+import threading
+import time
+from functools import partial
 from pathlib import Path
 
 import pytest
@@ -14,7 +18,7 @@ from tableflow.plans.jobs import (
 from tableflow.operators.checks import all_true
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, entity_glob
 from tableflow.streaming.queries import (
-    append_stream, archive_options, await_all, trigger_of, upsert_stream,
+    append_stream, archive_options, await_all, start_all, trigger_of, upsert_stream,
 )
 
 ENTITIES = ("items", "orders", "customers")
@@ -256,8 +260,80 @@ def test_the_first_failure_is_raised_and_stops_the_rest(spark, tmp_path):
     assert not endless.isActive
 
 
-def test_streaming_upsert_needs_partitions(spark, tmp_path):
+def test_streaming_upsert_into_a_table_without_partitions(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    source = spark.readStream.schema("v int").json(str(tmp_path / "in"))
-    with pytest.raises(ValueError, match="partition"):
-        upsert_stream(source, str(tmp_path / "t"), "v", (), ())
+    source = spark.readStream.schema("k int, v int").json(str(tmp_path / "in"))
+    for v in (1, 2):  # the progress lies outside the folder that each run swaps
+        (tmp_path / "in" / f"{v}.json").write_text(f'{{"k": 1, "v": {v}}}\n{{"k": {v + 1}, "v": 0}}\n')
+        await_all([upsert_stream(source, str(tmp_path / "t"), "k", "v", ())])
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == [(1, 2), (2, 0), (3, 0)]
+
+
+def test_no_stream_goes_on_after_a_start_failure(spark, delivery, ctx):
+    job = load_job(delivery, ctx, trigger_interval_ms=100)
+    (delivery / "schema" / "customers.json").unlink()
+    for run in (stream_files, stream_globs, lambda s, j: ingest_keyed(s, j, batch=False)):
+        with pytest.raises(ValueError, match="customers"):
+            run(spark, job)
+        assert spark.streams.active == []
+    # A query that only fails when it is started.
+    source = spark.readStream.schema("v int").json(str(delivery / "in"))
+    starts = [
+        partial(append_stream, source, "parquet", str(delivery / "t1"), interval_ms=100),
+        partial(append_stream, source, "parquet", str(delivery / "t2"), "no_such_column", 100),
+    ]
+    with pytest.raises(AnalysisException):
+        start_all(starts)
+    assert spark.streams.active == []
+
+
+def test_a_processing_time_job_sees_later_files(spark, delivery, ctx):
+    job = load_job(delivery, ctx, ["items"], trigger_interval_ms=200)
+    failures = []
+
+    def run():
+        try:
+            stream_files(spark, job)
+        except Exception as error:  # stopping a query ends the wait, nothing else does
+            failures.append(error)
+
+    thread = threading.Thread(target=run)
+    thread.start()
+
+    def until(count):
+        path = job.table_path(job.entities[0])
+        for _ in range(300):
+            if Path(path, "_spark_metadata", "0").exists() and spark.read.parquet(path).count() == count:
+                return True
+            time.sleep(0.1)
+        return False
+
+    assert until(3)
+    add_file(delivery, ctx, "items_b_2021-06-21.csv", "itemId,name,price\n9,late,1\n")
+    assert until(4)
+    for query in spark.streams.active:
+        query.stop()
+    thread.join(30)
+    assert not thread.is_alive() and not failures
+
+
+def test_a_file_landed_again_replaces_its_rows(spark, delivery, ctx):
+    job = load_job(delivery, ctx, ["items"], reader_options={})
+    incoming = Path(ctx.dated_dir(str(delivery / "in")))
+    headers = {"items": "itemId,name,price"}
+    landing = str(delivery / "landing")
+
+    def run(text, at):
+        file = incoming / "items_2021-06-21.csv"
+        file.write_text(text)
+        os.utime(file, (at, at))
+        return land_check_stream(spark, str(incoming), landing, job, headers)["items"]
+
+    base = 2_000_000_000
+    assert rows(run("itemId,name,price\n1,a,1\n2,b,2\n", base), "itemId", "name") == [(1, "a"), (2, "b")]
+    again = run("itemId,name,price\n1,a,1\n2,c,2\n3,d,3\n", base + 10)
+    assert rows(again, "itemId", "name", "file_name") == [
+        (1, "a", "items_2021-06-21.csv"), (2, "c", "items_2021-06-21.csv"), (3, "d", "items_2021-06-21.csv"),
+    ]
+    assert run("", base + 20).count() == 0
+    assert run("itemId,name,price\n7,z,1\n", base + 30).count() == 1

@@ -230,3 +230,32 @@ def test_join_runs_the_sql_as_it_is(spark):
     )
     assert rows(joined) == [(1, 1, 1, 1, "bucket", 5.0), (2, 2, 2, 3, "cup", 1.0), (3, 2, 2, 5, "cup", 1.0)]
     assert "Cartesian" not in plan_of(joined)
+
+
+def test_maps_and_dotted_names(spark):
+    df = spark.sql(
+        "select * from values (1, 2, map('a', 1), 'x'), (1, 3, map('b', 2), 'y'), (2, 1, null, null), "
+        "(2, 0, map('c', 3), 'z') as t(`k.y`, `o.r`, `m.p`, v)"
+    )
+    newest = latest_per_key(df, "k.y", "o.r")
+    assert newest.columns == df.columns
+    assert rows(newest.select("`k.y`", "`o.r`", "`m.p`", "v")) == [(1, 3, {"b": 2}, "y"), (2, 1, None, None)]
+    first = first_non_null(df, "k.y", "o.r")
+    assert rows(first.select("`k.y`", "`o.r`", "`m.p`", "v")) == [(1, 2, {"a": 1}, "x"), (2, 0, {"c": 3}, "z")]
+    batch = spark.sql("select * from values (1, 9, map('n', 1), 'new'), (5, 1, null, 'five') as t(`k.y`, `o.r`, `m.p`, v)")
+    upserted = upsert(newest, batch, "k.y", "o.r")
+    assert rows(upserted.select("`k.y`", "`m.p`", "v")) == [(1, {"n": 1}, "new"), (2, None, None), (5, None, "five")]
+    merged = merge(newest, batch, "k.y")
+    assert rows(merged.select("`k.y`", "`m.p`", "v")) == [(1, {"n": 1}, "new"), (2, None, None), (5, None, "five")]
+
+
+def test_ties_between_maps_give_one_row(spark):
+    df = spark.sql("select * from values (1, map('a', 1)), (1, map('b', 2)) as t(k, m)")
+    found = {str(rows(latest_per_key(df.repartition(n), "k"))) for n in (1, 2, 5)}
+    assert len(found) == 1
+
+
+def test_coverage_tells_pairs_apart_and_skips_nulls(spark):
+    df = spark.sql("select * from values ('1_2', '3'), ('1', '2_3'), ('1', '2_3'), (null, '3'), ('4', null) as t(k, d)")
+    for approximate in (False, True):
+        assert key_coverage(df, "k", "d", 2, approximate).first() == (2, 2, True)

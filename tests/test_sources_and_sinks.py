@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import re
 import shutil
 from pathlib import Path
 
@@ -6,9 +8,12 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tableflow.sinks import keyed, ledger
+from generator import generated_items, generated_orders
+from tableflow.sinks import formats
 from tableflow.sinks.files import insert_overwrite, overwrite_partitions, save_mode, write_files
+from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_options, native_format
 from tableflow.sinks.keyed import merge_into, upsert_into
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
 from tableflow.sinks.ledger import read_pending, record_files
@@ -16,11 +21,12 @@ from tableflow.sources.storage import exists, replace_snapshot, restore_interrup
 from tableflow.sources.files import (
     EXACT_TIMESTAMPS, combined_options, read_batch, read_stream, source_available, storage_format,
 )
-from generator import generated_items, generated_orders
 from tableflow.sources.manifest import manifest, manifest_of
 from tableflow.sources.schemas import load_schema
-from tableflow.sources.tables import literal_table, read_if_present, read_table, register_tables
-from tableflow.specs import EntitySpec, JobContext, LoadJob, check_format, entity_glob
+from tableflow.sources.tables import (
+    literal_table, read_folders, read_if_present, read_table, register_tables, saved_schema, table_schema,
+)
+from tableflow.specs import EntitySpec, JobContext, LoadJob, check_format, entity_glob, glob_pattern
 
 INSERTED = [
     ("100", "2015-01-01", "2015-01-01T13:51:39.340396Z"),
@@ -172,19 +178,6 @@ def test_upsert_into_creates_then_touches_only_its_partitions(spark, tmp_path):
     assert {p.name for p in Path(path).glob("day=2015-01-02/*.parquet")} == before
 
 
-def test_upsert_into_beyond_the_pruning_limit_gives_the_same(spark, tmp_path, monkeypatch):
-    batch1 = spark.range(40).selectExpr("cast(id as int) id", "string(id % 9) day", "1 o", "'a' v")
-    batch2 = spark.range(20, 60).selectExpr("cast(id as int) id", "string(id % 9) day", "2 o", "'b' v")
-    results = []
-    for name, limit in (("listed", 5000), ("joined", 2)):
-        monkeypatch.setattr(keyed, "PRUNING_LIMIT", limit)
-        path = str(tmp_path / name)
-        upsert_into(spark, batch1, path, "id", "o", "day")
-        upsert_into(spark, batch2, path, "id", "o", "day")
-        results.append(rows(spark.read.parquet(path).select("id", F.col("day").cast("string"), "o", "v")))
-    assert results[0] == results[1] and len(results[0]) == 60
-
-
 def test_upsert_into_without_partitions_swaps_the_snapshot(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_into(spark, literal_table(spark, [(1, 1, "a"), (2, 1, "a")], "id int, o int, v string"), path, "id", "o")
@@ -202,9 +195,7 @@ def test_evolved_columns_survive_a_later_upsert(spark, tmp_path):
     assert rows(stored, "id", "day", "extra") == [(1, "x", None), (2, "y", 5), (3, "y", None)]
 
 
-@pytest.mark.parametrize("limit", [5000, 1])
-def test_merge_into_moves_rows_between_partitions(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(keyed, "PRUNING_LIMIT", limit)
+def test_merge_into_moves_rows_between_partitions(spark, tmp_path):
     path, ddl = str(tmp_path / "t"), "id int, day string, v string"
     first = literal_table(spark, [(1, "a b/c", "x"), (2, "d", "x"), (3, "d", "x"), (4, "e", "x")], ddl)
     merge_into(spark, first, path, "id", "day", schema=first.schema)
@@ -217,8 +208,7 @@ def test_merge_into_moves_rows_between_partitions(spark, tmp_path, monkeypatch,
             (1, "f", "y"), (2, "f", "y"), (3, "d", "x"), (4, "e", "x"), (5, "f", "y"),
         ]
     assert not [p for p in Path(path).iterdir() if p.name.startswith("day=a")]
-    if limit > 1:
-        assert {p.name for p in Path(path).glob("day=e/*.parquet")} == untouched
+    assert {p.name for p in Path(path).glob("day=e/*.parquet")} == untouched
 
 
 def test_an_empty_batch_changes_nothing(spark, tmp_path):
@@ -265,9 +255,7 @@ def test_an_interrupted_swap_is_undone(spark, tmp_path):
     assert exists(spark, path) and spark.read.parquet(path).count() == 3
 
 
-@pytest.mark.parametrize("limit", [10000, 1])
-def test_ledger_loads_every_file_once(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(ledger, "PATHS_LIMIT", limit)
+def test_ledger_loads_every_file_once(spark, tmp_path):
     inbox, book = tmp_path / "in", str(tmp_path / "ledger")
     inbox.mkdir()
     from pyspark.sql.types import StructType
@@ -298,7 +286,7 @@ def test_landing_replaces_only_files_landed_again(spark, delivery, ctx, tmp_path
     land_files(spark, str(day), ["items_*", "orders_*"], landing, ctx)
     (day / "items_2021-06-21.csv").write_text("itemId,name,price\n7,\"a, b\",1.5\n\n")
     land_files(spark, str(day), ["items_*"], landing, ctx)
-    assert rows(landed_files(spark, landing, ctx)) == [("items_2021-06-21.csv",), ("orders_2021-06-21.csv",)]
+    assert rows(landed_files(spark, landing, ctx), "name") == [("items_2021-06-21.csv",), ("orders_2021-06-21.csv",)]
     lines = landed_lines(spark, landing, ctx)
     assert lines.count() == 4 + 3  # the blank line is landed too
     schema = load_schema(spark, str(delivery / "schema"), "items")
@@ -323,3 +311,211 @@ def test_generated_records_stay_in_range_and_repeat(spark):
 def test_read_table_uses_the_fallback_format(spark, tmp_path):
     insert_overwrite(spark.range(3), "delta", str(tmp_path / "t"))
     assert read_table(spark, "delta", str(tmp_path / "t")).count() == 3
+
+
+def test_names_are_no_patterns_for_the_ledger(spark, tmp_path):
+    inbox, book = tmp_path / "in", str(tmp_path / "ledger")
+    inbox.mkdir()
+    (inbox / "o1.csv").write_text("plain\n")
+    (inbox / "o[1].csv").write_text("brackets\n")
+    loaded, files = read_pending(spark, "csv", str(inbox), book, StructType.fromDDL("v string"), "*.csv")
+    assert rows(loaded) == [("brackets",), ("plain",)] and files.count() == 2
+
+
+def test_the_ledger_keeps_folder_values_and_the_files_age(spark, tmp_path):
+    inbox, book = tmp_path / "in", str(tmp_path / "ledger")
+    for k, day in enumerate(("a", "b")):
+        (inbox / f"day={day}").mkdir(parents=True)
+        (inbox / f"day={day}" / "x.csv").write_text(f"{k}\n")
+    options = {"timeZone": "Asia/Tokyo"}
+    loaded, files = read_pending(spark, "csv", str(inbox), book, None, "*.csv", options, "name")
+    assert rows(loaded, "_c0", "day", "name") == [(0, "a", "x.csv"), (1, "b", "x.csv")]
+    record_files(files, book)
+    (inbox / "day=b" / "y.csv").write_text("5\n")
+    loaded, _ = read_pending(spark, "csv", str(inbox), book, None, "*.csv", options)
+    assert rows(loaded, "_c0", "day") == [(5, "b")]
+
+
+@pytest.mark.parametrize("write", ["upsert", "merge"])
+def test_partition_values_of_the_null_folder_lose_no_row(spark, tmp_path, write):
+    path, ddl = str(tmp_path / "t"), "id int, day string, v int"
+
+    def put(batch):
+        if write == "upsert":
+            upsert_into(spark, literal_table(spark, batch, ddl), path, "id", "v", "day")
+        else:
+            merge_into(spark, literal_table(spark, batch, ddl), path, "id", "day")
+
+    put([(1, None, 1), (2, None, 1), (3, "x", 1)])
+    put([(4, "", 2)])
+    put([(5, "__HIVE_DEFAULT_PARTITION__", 3), (1, "", 3)])
+    assert rows(read_if_present(spark, path, StructType.fromDDL(ddl), ("day",)), "id", "day", "v") == [
+        (1, None, 3), (2, None, 1), (3, "x", 1), (4, None, 2), (5, None, 3),
+    ]
+
+
+def test_minus_zero_is_the_partition_of_zero(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "id int, p double, v int"
+    for batch in ([(1, 0.0, 1), (2, -0.0, 1)], [(3, -0.0, 2), (1, -0.0, 2)]):
+        upsert_into(spark, literal_table(spark, batch, ddl), path, "id", "v", "p")
+    merge_into(spark, literal_table(spark, [(2, -0.0, 5)], ddl), path, "id", "p")
+    assert rows(spark.read.parquet(path), "id", "v") == [(1, 2), (2, 5), (3, 2)]
+
+
+def test_odd_partition_values_find_their_folders(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "id int, day string, at timestamp, v int"
+    odd = ["a/b", "a b", "[x]", "{y}", "100%", "é:ü", "a=b", "01", "A", "a", "x*", "q?", "'", '"', "#", "\\", "^"]
+    rows_in = [(i, d, dt.datetime(2020, 1, 1, 1, 2, 3, 4500), 1) for i, d in enumerate(odd)]
+    for v in (1, 2):
+        batch = literal_table(spark, [(*r[:3], v) for r in rows_in], ddl)
+        upsert_into(spark, batch, path, "id", "v", ("day", "at"))
+    merge_into(spark, literal_table(spark, [(*r[:3], 3) for r in rows_in], ddl), path, "id", ("day", "at"))
+    assert rows(read_if_present(spark, path, StructType.fromDDL(ddl)), "id", "day", "v") == [
+        (i, d, 3) for i, d in enumerate(odd)
+    ]
+
+
+def test_the_tables_types_stay_and_values_that_do_not_fit_fail(spark, tmp_path):
+    for name, parts in (("p", ("day",)), ("u", ())):
+        path = str(tmp_path / name)
+        upsert_into(spark, literal_table(spark, [(1, "x", 1)], "id int, day string, v int"), path, "id", "v", parts)
+        wide = literal_table(spark, [(2, "y", 7, "n")], "id bigint, day string, v bigint, extra string")
+        upsert_into(spark, wide, path, "id", "v", parts)
+        lost = literal_table(spark, [(3, "z", 2**40)], "id int, day string, v bigint")
+        with pytest.raises(Exception, match="doesn't fit"):
+            upsert_into(spark, lost, path, "id", "v", parts)
+        upsert_into(spark, literal_table(spark, [(1, "x", 9)], "id int, day string, v int"), path, "id", "v", parts)
+        stored = read_if_present(spark, path, wide.schema, parts)
+        assert stored.schema["id"].dataType.simpleString() == "int"
+        assert rows(stored, "id", "v", "extra") == [(1, 9, None), (2, 7, "n")]
+        assert rows(spark.read.option("mergeSchema", True).parquet(path), "id", "v") == [(1, 9), (2, 7)]
+
+
+def test_progress_and_schema_survive_every_write(spark, tmp_path):
+    for name, parts in (("p", ("day",)), ("u", ())):
+        path = str(tmp_path / name)
+        batch = literal_table(spark, [(1, "x"), (2, "y")], "id int, day string")
+        (tmp_path / name / "_checkpoints").mkdir(parents=True)
+        for write in (merge_into, upsert_into, merge_into):
+            write(spark, batch, path, "id", partition_by=parts)
+            assert (tmp_path / name / "_checkpoints").exists()
+            assert (tmp_path / name / "_schema.json").exists()
+        assert spark.read.parquet(path).count() == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["p", "u"]
+
+
+def test_a_failed_snapshot_leaves_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_into(spark, literal_table(spark, [(1, 1)], "id int, v int"), path, "id")
+    with pytest.raises(Exception, match="is null"):
+        upsert_into(spark, literal_table(spark, [(None, 1)], "id int, v int"), path, "id")
+    assert [p.name for p in tmp_path.iterdir()] == ["t"] and rows(spark.read.parquet(path)) == [(1, 1)]
+
+
+def test_an_interrupted_swap_keeps_the_progress(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_snapshot(spark, path, lambda p: spark.range(3).write.parquet(p))
+    shutil.move(path, f"{path}__previous")
+    (tmp_path / "t__staging_1" / "_checkpoints").mkdir(parents=True)
+    restore_interrupted(spark, path)
+    assert (tmp_path / "t" / "_checkpoints").exists() and not (tmp_path / "t__staging_1").exists()
+
+
+def test_jobs_of_an_upsert_do_not_grow_with_the_table(spark, tmp_path):
+    """No listing of the whole table, no pass over footers or rows to find folders."""
+    path, ddl = str(tmp_path / "t"), "id int, day string, v int"
+    many = literal_table(spark, [(i, f"d{i % 40}", 1) for i in range(80)], ddl)
+    upsert_into(spark, many, path, "id", "v", "day")
+
+    def jobs(batch):
+        spark.sparkContext.setJobGroup("counted", "")
+        upsert_into(spark, literal_table(spark, batch, ddl), path, "id", "v", "day")
+        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found
+
+    assert jobs([(1, "d1", 2)]) <= 8
+    plan = read_folders(spark, path, many.schema, [f"{path}/day=d1"])
+    assert len(plan.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+
+
+@pytest.mark.parametrize(("glob", "matching", "other"), [
+    ("orders_{a,b}.csv", ["orders_a.csv", "orders_b.csv"], ["orders_c.csv", "orders_{a,b}.csv"]),
+    ("o[0-9]?.c*", ["o12.csv", "o9x.c"], ["ox1.csv", "o1.csv"]),
+    ("o[!0-9].csv", ["ox.csv"], ["o1.csv"]),
+    ("o[^a].csv", ["ob.csv"], ["oa.csv"]),
+    ("a.b+c\\*", ["a.b+c*"], ["a.b+cd", "aXb+c*"]),
+    ("{x,y[12]}_{p,q}", ["x_p", "y2_q"], ["y_p", "y3_q"]),
+])
+def test_file_patterns_as_the_listing_reads_them(spark, tmp_path, glob, matching, other):
+    for name in [*matching, *other]:
+        (tmp_path / name).write_text("")
+    assert {r.name for r in manifest(spark, str(tmp_path), glob).collect()} == set(matching)
+    assert all(re.search(glob_pattern(glob), n) for n in matching)
+    assert not any(re.search(glob_pattern(glob), n) for n in other)
+
+
+def test_landing_of_empty_files_and_of_files_emptied_later(spark, tmp_path, ctx):
+    inbox, landing = tmp_path / "in", str(tmp_path / "landing")
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("1\n2\n")
+    (inbox / "b.csv").write_text("")
+    book = str(tmp_path / "ledger")
+    land_files(spark, str(inbox), ["*.csv"], landing, ctx, book)
+    assert rows(landed_files(spark, landing, ctx)) == [("a.csv", 4), ("b.csv", 0)]
+    (inbox / "a.csv").write_text("")
+    os.utime(inbox / "a.csv", (2_000_000_000, 2_000_000_000))
+    land_files(spark, str(inbox), ["*.csv"], landing, ctx, book)
+    assert rows(landed_files(spark, landing, ctx)) == [("a.csv", 0), ("b.csv", 0)]
+    assert landed_lines(spark, landing, ctx).count() == 0
+    (inbox / "b.csv").write_text("3\n")
+    land_files(spark, str(inbox), ["b.csv"], landing, ctx)
+    assert rows(landed_lines(spark, landing, ctx), "value", "file_name") == [("3", "b.csv")]
+
+
+def test_records_over_several_lines_are_refused_where_lines_are_landed(spark):
+    lines = literal_table(spark, [("1", "a.csv")], "value string, file_name string")
+    with pytest.raises(ValueError, match="multi-line"):
+        landed_records(lines, EntitySpec("a", "*"), StructType.fromDDL("v int"), None, {"multiLine": "true"})
+
+
+def test_hudi_options():
+    one = hudi_options("t", "id", "ts", "day")
+    assert one["hoodie.datasource.write.keygenerator.class"].endswith("SimpleKeyGenerator")
+    assert one["hoodie.table.name"] == "t" and one["hoodie.datasource.write.operation"] == "upsert"
+    assert one["hoodie.datasource.write.payload.class"].endswith("OverwriteWithLatestAvroPayload")
+    two = hudi_options("t", ("a", "b"), "ts", ("y", "m"), "bulk_insert", compare_with_stored=True)
+    assert two["hoodie.datasource.write.recordkey.field"] == "a,b"
+    assert two["hoodie.datasource.write.partitionpath.field"] == "y,m"
+    assert two["hoodie.datasource.write.keygenerator.class"].endswith("ComplexKeyGenerator")
+    assert two["hoodie.datasource.write.payload.class"].endswith("DefaultHoodieRecordPayload")
+    none = hudi_options("t", "id")
+    assert none["hoodie.datasource.write.keygenerator.class"].endswith("NonpartitionedKeyGenerator")
+    assert "hoodie.datasource.write.precombine.field" not in none
+    with pytest.raises(ValueError):
+        hudi_options("t", ())
+    with pytest.raises(ValueError):
+        hudi_options("t", "id", compare_with_stored=True)
+
+
+def test_delta_statements():
+    assert delta_merge_sql("/t", "u", ("a", "b")).count("target.`") == 2
+    assert delta_create_sql("/t", "a int", ("y", "m")).endswith("PARTITIONED BY (`y`, `m`)")
+
+
+def test_formats_without_a_native_path_are_refused(spark, tmp_path, monkeypatch):
+    assert not native_format(spark, "hudi", "hudi") and not native_format(spark, "delta", "hudi")
+    monkeypatch.setattr(formats, "storage_format", lambda _, name: name)  # as if the jars were there
+    batch = literal_table(spark, [(1, "a")], "id int, day string")
+    with pytest.raises(ValueError, match="delta"):
+        upsert_into(spark, batch, str(tmp_path / "t"), "id", fmt="delta")
+    with pytest.raises(ValueError, match="hudi"):
+        merge_into(spark, batch, str(tmp_path / "t"), "id", fmt="hudi")
+    assert not (tmp_path / "t").exists()
+
+
+def test_a_saved_schema_is_taken_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_into(spark, literal_table(spark, [(1, "01")], "id int, day string"), path, "id", (), "day")
+    assert saved_schema(spark, path) == StructType.fromDDL("id int, day string")
+    assert table_schema(spark, path, StructType()) == saved_schema(spark, path)
