@@ -102,9 +102,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffix.repeated_spans(docs)
-    kept = out.withColumn("kept", suffix.kept_bytes(F.col("text"), F.col("spans")))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
-    return kept.select(
+    return out.select(
         "doc_id", n_bytes.cast("long").alias("n_bytes"),
         (n_bytes - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.floor(F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),

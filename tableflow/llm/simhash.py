@@ -115,7 +115,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     prints = stored(spark, docs.select(
-        F.col(doc_id).alias("id"), F.xxhash64(text).alias("version"),
+        F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
         fingerprint(F.col(text), size).alias("f"),
     ), "prints")
     roots = components(stored(spark, links(prints, "f"), "links"))

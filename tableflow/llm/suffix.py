@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.losertree import decode, front_code, merge
@@ -386,51 +386,50 @@ def _hashed_repeats(windows: list[tuple], length: int) -> pa.RecordBatch:
 
 # ---- the operator ------------------------------------------------------------------------------
 
-def _spans(length: int):
-    @F.arrow_udf("array<long>")
-    def union(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for whole, single in batches:
-            out = []
-            for a, b in zip(whole.to_pylist(), single.to_pylist(), strict=True):
-                code = np.array((a or []) + (b or []), dtype=np.int64)
-                code = np.sort(code[(code & 3) == REPEATED])
-                if not len(code):
-                    out.append([])
-                    continue
-                start = code >> 12
-                end = np.maximum.accumulate(start + (code >> 2 & 1023) - 1 + length)
-                new = np.ones(len(code), dtype=bool)
-                new[1:] = start[1:] > end[:-1]
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(code)) - 1
-                out.append(np.column_stack([start[first], end[last]]).ravel().tolist())
-            yield pa.array(out, pa.list_(pa.int64()))
-
-    return union
-
-
-def kept_bytes(text: Column, spans: Column) -> Column:
-    """Column: the bytes of a text outside the spans (from, to, from, to, ...)."""
-
-    @F.arrow_udf("binary")
-    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, gone in batches:
-            out = []
-            for t, s in zip(texts, gone.to_pylist(), strict=True):
-                data = t.as_buffer().to_pybytes() if t.is_valid else b""
-                edges = [0, *(s or []), len(data)]
-                out.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if s else data)
-            yield pa.array(out, pa.binary())
+def _union(code: np.ndarray, length: int) -> list[int]:
+    """Edges of the bytes that runs of repeated windows cover: from, to, from, to, ..."""
+    code = np.sort(code[(code & 3) == REPEATED])
+    if not len(code):
+        return []
+    start = code >> 12
+    end = np.maximum.accumulate(start + (code >> 2 & 1023) - 1 + length)
+    new = np.ones(len(code), dtype=bool)
+    new[1:] = start[1:] > end[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(code)) - 1
+    return np.column_stack([start[first], end[last]]).ravel().tolist()
+
+
+def _cut_out(length: int):
+    """Spans and what is left of a text, in one pass over it."""
+
+    @F.arrow_udf("struct<spans:array<long>,kept:binary>")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, whole, single in batches:
+            spans, kept = [], []
+            for text, a, b in zip(texts, whole, single, strict=True):
+                code = np.array((a.as_py() or []) + (b.as_py() or []), dtype=np.int64)
+                edges = _union(code, length)
+                data = text.as_buffer().to_pybytes() if text.is_valid else b""
+                if edges:
+                    cuts = [0, *edges, len(data)]
+                    data = b"".join(data[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True))
+                spans.append(edges)
+                kept.append(data)
+            yield pa.StructArray.from_arrays(
+                [pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())], ["spans", "kept"]
+            )
 
-    return cut(text, spans)
+    return cut
 
 
 def repeated_spans(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, hot: int = HOT
 ) -> DataFrame:
-    """The rows of ``docs`` with ``spans``: the bytes of the text (from, to, from, to, ...) that are covered by
-    a string of ``length`` bytes which also starts earlier, that is in a document with a smaller id, or before in the same one.
-    Strings don't cross documents and may overlap; all are judged on the input.
+    """The rows of ``docs`` with ``spans``, the bytes of the text (from, to, from, to, ...) that are
+    covered by a string of ``length`` bytes which also starts earlier, that is in a document with a
+    smaller id, or before in the same one; and with ``kept``, the other bytes. Strings don't cross
+    documents and may overlap; all are judged on the input.
 
     1. Windows of ``length`` bytes are grouped by anchors (:func:`anchored_runs`). A run of windows
        goes, as two hashes, to where its gram is dealt. Runs equal to an earlier one are repeated as
@@ -446,8 +445,8 @@ def repeated_spans(
     a few hundred rows from each batch.
 
     Null texts are empty. Rows equal in id and text are one document. Rows that share an id but not
-    the text are ordered by a hash of it; a null id comes last. An input column ``spans`` is
-    replaced, others stay.
+    the text are ordered by a hash of it; a null id comes last. Input columns ``spans`` and
+    ``kept`` are replaced, others stay.
     """
     if not GRAM < length <= 900:
         raise ValueError(f"a length above {GRAM} and up to 900 bytes")
@@ -465,7 +464,9 @@ def repeated_spans(
     single = cut.groupBy("part").applyInArrow(_iterated(_compare_suffixes(length)), _FOUND)
     single = single.groupBy(*ID).agg(F.collect_list("code").alias("__single"))
     out = joined.join(single.hint("shuffle_hash"), list(ID), "left")
-    return out.withColumn("spans", _spans(length)("__codes", "__single")).drop("__codes", "__single", *ID)
+    out = out.withColumn("__cut", _cut_out(length)(F.col(text), F.col("__codes"), F.col("__single")))
+    out = out.withColumns({"spans": F.col("__cut.spans"), "kept": F.col("__cut.kept")})
+    return out.drop("__cut", "__codes", "__single", *ID)
 
 
 def _iterated(compare):
