@@ -125,6 +125,15 @@ def merge(
     """
     key = as_names(key)
     updates = deduplicated(updates, key, on_duplicate, order)
+    hits = stored_matches(target, updates, key)
+    return merged(target, updates, hits, key, unique=on_duplicate != "error")
+
+
+def merged(
+    target: DataFrame, updates: DataFrame, hits: DataFrame, key: tuple[str, ...], unique: bool
+) -> DataFrame:
+    """The table after a merge whose matched stored keys (``hits``, distinct) are known, so that the table
+    is read once. A batch that isn't known to be ``unique`` is searched for ambiguous keys."""
     source, stored = updates.schema, target.schema
 
     incoming = updates.select(
@@ -142,13 +151,12 @@ def merge(
 
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
     # anti-join is never larger than the batch.
-    hits = stored_matches(target, updates, key)
     unmatched = updates.join(
         hits.select(*_prefixed(hits, key, "__old_")), _equal(key, "__old_"), "left_anti"
     )
     inserted = as_inserted(unmatched, stored)
     result = joined.select(*[after_update(c) for c in inserted.columns]).unionByName(inserted)
-    if on_duplicate == "error":
+    if not unique:
         clash = _no_rows_or_fail(updates, hits, key)
         result = result.unionByName(
             clash.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema])

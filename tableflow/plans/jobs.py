@@ -76,12 +76,10 @@ def load_files(spark: SparkSession, job: LoadJob) -> dict[str, DataFrame]:
         rows = with_load_date(rows, job.ctx.execution_date)
         schemas[entity.name] = rows.schema
         if job.output_format == "delta" and entity.key:
-            # A merge goes over its batch several times: parse text only once.
-            with stored_once(spark, rows, entity.name) as batch:
-                merge_into(
-                    spark, batch, job.table_path(entity), entity.key, job.partition_by,
-                    job.output_format, rows.schema,
-                )
+            merge_into(
+                spark, rows, job.table_path(entity), entity.key, job.partition_by,
+                job.output_format, rows.schema,
+            )
         else:
             write_files(
                 rows, job.output_format, job.table_path(entity), job.partition_by, job.overwrite,

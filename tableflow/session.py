@@ -65,6 +65,12 @@ def stored_once(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataF
         delete_folders(spark, [folder])
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the scratch folder. Queries and operators that
+    return a table keep the stored tables it reads, so this is for the end of a job."""
+    delete_folders(spark, [f"{scratch_root(spark)}/tableflow/{spark.conf.get('spark.app.id')}"])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run; all of an application's folders share one parent."""
     app = spark.conf.get("spark.app.id")

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from tableflow.functions.columns import all_quoted, is_orderable, quoted
-from tableflow.operators.merge import as_inserted, deduplicated, merge, stored_matches
+from tableflow.operators.merge import as_inserted, deduplicated, merged, stored_matches
 from tableflow.operators.upsert import in_stored_types, upsert
+from tableflow.session import stored_once
 from tableflow.sinks.files import clustered, overwrite_partitions
 from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_options, native_format
 from tableflow.sources.storage import (
@@ -173,17 +174,29 @@ def merge_into(
         _keep_schema(spark, path, first.schema)
         return
     updates = as_stored(in_stored_types(updates, known), parts)
-    if not parts:
-        target = read_folders(spark, path, known)
-        result = merge(target, updates, key, on_duplicate, order)
-        replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, parts))
-        _keep_schema(spark, path, result.schema)
-        return
-
-    # Keys of the whole table are searched, but only where the batch's range of keys can be.
-    keys = read_folders(spark, path, known).where(_within(updates, key))
-    left = stored_matches(keys, updates, key, parts)
-    touched = _partitions(left.select(*all_quoted(parts)).union(updates.select(*all_quoted(parts))), parts)
+    batch = deduplicated(updates, key, on_duplicate, order)
+    unique = on_duplicate != "error"
+    # A merge goes over its batch and over the matched keys several times: both are computed once.
+    with stored_once(spark, batch, "batch") as batch:
+        # Keys of the whole table are searched, but only where the batch's range of keys can be.
+        keys = read_folders(spark, path, known).where(_within(batch, key))
+        with stored_once(spark, stored_matches(keys, batch, key, parts), "hits") as found:
+            if not parts:
+                result = merged(read_folders(spark, path, known), batch, found, key, unique)
+                replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, ()))
+                _keep_schema(spark, path, result.schema)
+            else:
+                _merge_partitions(spark, path, known, batch, found, key, parts, unique)
+
+
+def _merge_partitions(
+    spark: SparkSession, path: str, known: StructType, batch: DataFrame, found: DataFrame,
+    key: tuple[str, ...], parts: tuple[str, ...], unique: bool,
+) -> None:
+    """Rewrite the partitions that have matched keys or get rows of the batch."""
+    touched = _partitions(
+        found.select(*all_quoted(parts)).union(batch.select(*all_quoted(parts))), parts
+    )
     if not touched:  # an empty batch
         return
     # Partitions outside hold no matching key, so they cannot change.
@@ -191,9 +204,10 @@ def merge_into(
     target = empty_table(spark, known)
     if folders:
         target = read_folders(spark, path, known, list(folders.values()))
-    written = Observation("written partitions")
-    result = merge(target, updates, key, on_duplicate, order)
+    hits = found.select(*all_quoted(key)).distinct()
+    result = merged(target, batch, hits, key, unique)
     _keep_schema(spark, path, result.schema)
+    written = Observation("written partitions")
     overwrite_partitions(
         result.observe(written, F.collect_set(F.struct(_as_text(parts))).alias("ids")), path, parts
     )

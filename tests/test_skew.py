@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from tableflow.operators.checks import key_coverage
 from tableflow.operators.latest import latest_per_key
-from tableflow.operators.merge import merge, stored_matches
+from tableflow.operators.merge import merge, merged, stored_matches
 from tableflow.sinks.files import write_files
+from tableflow.sinks.keyed import _within, merge_into
 
 SMALL = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
@@ -116,3 +117,29 @@ def test_a_hot_partition_is_written_by_several_tasks(small_partitions, tmp_path)
 def test_coverage_counts_in_two_steps(tables):
     target, _ = tables
     assert final_plan(key_coverage(target, "k", "s", 1)).count("Exchange") == 2
+
+
+def test_a_merge_with_known_matches_reads_the_table_once(tables, tmp_path):
+    target, updates = tables
+    spark = target.sparkSession
+    stored_matches(target, updates, "k").write.parquet(str(tmp_path / "hits"))
+    hits = spark.read.parquet(str(tmp_path / "hits"))
+    result = merged(target, updates, hits, ("k",), unique=False)
+    plan = final_plan(result)
+    folder = str(tmp_path)
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum(f"{folder}/t]" in line for line in scans) == 1
+    assert sum(f"{folder}/u]" in line for line in scans) <= 3 and plan.count("Exchange hashpartitioning") <= 6
+    assert sorted(map(repr, result.collect())) == sorted(map(repr, merge(target, updates, "k").collect()))
+
+
+def test_a_merge_looks_for_keys_only_in_the_batchs_range(small_partitions, tmp_path):
+    spark, path = small_partitions, str(tmp_path / "t")
+    table = spark.range(1000).selectExpr("id", "string(id % 3) as p", "id as v")
+    merge_into(spark, table, path, "id", "p")
+    few = table.where("id between 10 and 12")
+    condition = spark.read.schema(table.schema).parquet(path).where(_within(few, ("id",)))
+    plan = final_plan(condition)
+    assert "GreaterThanOrEqual(id,10)" in plan and "LessThanOrEqual(id,12)" in plan
+    merge_into(spark, few.withColumn("v", F.lit(-1).cast("long")), path, "id", "p")
+    assert spark.read.parquet(path).where("v = -1").count() == 3 and spark.read.parquet(path).count() == 1000
