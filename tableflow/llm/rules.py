@@ -72,14 +72,16 @@ def log_ratios(
 ) -> list[float]:
     """For every bucket, the log of its share of the target's n-grams over its share of the corpus's.
 
-    Both are multinomials over hashed words and pairs of neighbouring words, one added to each
-    count. ``target`` has the ids of the trusted documents. Tasks count before they shuffle, so
+    Both are multinomials over hashed words and pairs of neighbouring words. One is added to each
+    of the corpus's counts, and the corpus's shares, as if seen in ``buckets`` n-grams, to the
+    target's: few trusted documents say little, and without any all ratios are zero. ``target`` has the ids of the trusted documents. Tasks count before they shuffle, so
     ``buckets`` rows a task move, however frequent a word is; the result has ``buckets`` numbers.
     """
     spark = docs.sparkSession
     trusted = target.select(F.col("id").alias("__id"), F.lit(1).alias("__t")).distinct()
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
-    rows = rows.join(trusted, "__id", "left").select("text", F.coalesce("__t", F.lit(0)).alias("t"))
+    # Texts move once and aren't sorted; the plan is the same however many documents are trusted.
+    rows = rows.join(trusted.hint("shuffle_hash"), "__id", "left").select("text", F.coalesce("__t", F.lit(0)).alias("t"))
     rows = with_words(rows, "text")
     following = F.slice("__words", 2, F.greatest(F.size("__words"), F.lit(1)))
     pairs = rows.select("t", F.explode(F.arrays_zip(F.col("__words").alias("a"), following.alias("b"))).alias("g"))
@@ -91,13 +93,14 @@ def log_ratios(
     counted = spark.range(buckets).withColumnRenamed("id", "bucket").join(counted, "bucket", "left")
     counted = stored(spark, counted.na.fill(0), "ngrams")
     raw, trusted = counted.agg(F.sum("raw"), F.sum("target")).first()
-    ratio = F.log((F.col("target") + 1) / (trusted + buckets)) - F.log((F.col("raw") + 1) / (raw + buckets))
+    share = (F.col("raw") + 1) / (raw + buckets)
+    ratio = F.log((F.col("target") / share + buckets) / (trusted + buckets))
     return [r[0] for r in counted.orderBy("bucket").select(ratio).collect()]
 
 
 def quality_rules(
     docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    buckets: int = 10_000, threshold: float = -0.25,
+    buckets: int = 10_000, threshold: float = -0.1,
 ) -> DataFrame:
     """The documents with the columns of :func:`base_rules`, ``ratio`` and ``kept``.
 
