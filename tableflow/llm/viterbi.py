@@ -87,10 +87,13 @@ class Counter:
         return score[n], count[n], first[n], last[n]
 
     def __call__(self, text: str) -> tuple[int, float]:
-        """Number of pieces and score of a text: a space mark in front, and one for every space."""
+        """Number of pieces and score of a text: a space mark for every space, and one in front
+        unless there is one."""
         if not text:
             return 0, 0.0
-        marked = SPACE + text.replace(" ", SPACE)
+        marked = text.replace(" ", SPACE)
+        if marked[0] != SPACE:
+            marked = SPACE + marked
         if not self.by_word:
             total, n, _, _ = self.best(marked)
             return n, total

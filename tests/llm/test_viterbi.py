@@ -1,0 +1,70 @@
+import random
+
+import pytest
+from common import clashing, table, texts
+
+from pyspark.sql import functions as F
+from tableflow.llm.queries import VOCABULARY, op3_token_counts
+from tableflow.llm.viterbi import Counter, read_pieces, token_counts
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+def tokenizer(vocabulary, byte_fallback):
+    """The tokenizer that the counts must equal."""
+    model = tokenizers.models.Unigram(vocabulary, 0, byte_fallback)
+    out = tokenizers.Tokenizer(model)
+    out.pre_tokenizer = tokenizers.pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    return out
+
+
+def lengths(vocabulary, byte_fallback, values):
+    t = tokenizer(vocabulary, byte_fallback)
+    return [len(t.encode(v or "", add_special_tokens=False).ids) if v else 0 for v in values]
+
+
+def test_ties_and_unknown_pieces_as_in_the_tokenizer():
+    g = random.Random(1)
+    letters = "ab▁"
+    for _ in range(60):
+        pieces = {"".join(g.choices(letters, k=g.randint(1, 4))) for _ in range(g.randint(1, 10))}
+        vocabulary = [("<unk>", 0.0)] + [(p, float(-g.randint(1, 4))) for p in sorted(pieces)]
+        values = ["".join(g.choices("abc ", k=g.randint(1, 15))) for _ in range(30)]
+        counter = Counter(vocabulary[1:], False)
+        assert [counter(v)[0] for v in values] == lengths(vocabulary, False, values)
+
+
+def test_scores_that_are_no_whole_numbers():
+    g = random.Random(2)
+    pieces = {"".join(g.choices("abé▁", k=g.randint(1, 5))) for _ in range(40)}
+    vocabulary = [("<unk>", -99.0)] + [(p, -g.random() * 9) for p in sorted(pieces)]
+    counter = Counter(vocabulary[1:], False)
+    assert not counter.by_word
+    values = ["".join(g.choices("abéx ", k=200)) for _ in range(50)]
+    # The least score of the vocabulary includes that of the unknown piece in the tokenizer.
+    counter.unknown_score = -99.0 - 10.0
+    assert [counter(v)[0] for v in values] == lengths(vocabulary, False, values)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    return [(m.id_to_piece(i), m.get_score(i)) for i in range(m.get_piece_size())]
+
+
+def test_counts_equal_the_tokenizer_on_whole_texts(spark, vocabulary):
+    values = [*texts(), "  two  spaces ", "\U0001f600\U0001f600 x", "a\nb\tc", " ", "▁", "ꙮꙮ the"]
+    counted = token_counts(spark, F.col("text"), *read_pieces(VOCABULARY))
+    docs = clashing(table(spark, values), "n_tokens", "score")
+    found = {r.doc_id: r.t.n_tokens for r in docs.withColumn("t", counted).collect()}
+    assert [found[i] for i in range(len(values))] == lengths(vocabulary, True, values)
+    assert docs.limit(0).withColumn("t", counted).count() == 0
+
+
+def test_query_equals_the_tokenizer(spark, vocabulary):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    found = {r.doc_id: r.n_tokens for r in op3_token_counts(spark, sf).collect()}
+    assert [found[d.doc_id] for d in docs] == lengths(vocabulary, True, [d.text for d in docs])
