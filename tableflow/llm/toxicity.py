@@ -233,10 +233,12 @@ def labelled_sample(
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, context, toxic): for each document one occurrence of each key, that with the least hash
-    of the word before, so that near copies of a document give equal rows."""
+    """(key, context, half, toxic, n). For each toxic document one occurrence of each key, that with
+    the least hash of the word before, so that near copies of a document give equal rows; for clean
+    documents the number of documents that have the key."""
     for batch in batches:
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        half = batch.column("half").to_numpy(zero_copy_only=False).astype(np.int64)
         base = 0
         for rows, data, begins in chunks(batch.column("text")):
             words = Words(rows, data, begins, ALPHANUMERIC)
@@ -250,31 +252,53 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.ones(len(key), dtype=bool)
             first[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
             first &= key != 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[first].view(np.int64)), pa.array(context[first].view(np.int64)),
-                 pa.array(toxic[base + row[first]].astype(np.int32))],
-                ["key", "context", "toxic"],
-            )
+            key, row, context = key[first], row[first] + base, context[first]
+            bad = toxic[row]
+            for k in (0, 1):
+                clean, n = np.unique(key[~bad & (half[row] == k)], return_counts=True)
+                yield _rows(clean, np.zeros(len(clean), np.uint64), k, False, n)
+                mine = bad & (half[row] == k)
+                yield _rows(key[mine], context[mine], k, True, np.ones(mine.sum(), np.int64))
             base += rows
 
 
-def learned_lexicon(sample: DataFrame, most: int = 2000, bound: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that toxic documents hold far more often: log ratio of the shares of toxic and clean
-    documents, less 1.64 standard errors, at least ``bound``; the ``most`` heaviest ones."""
-    counts = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    if not counts.get(1) or not counts.get(0):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0)
-    found = sample.select("text", "toxic").mapInArrow(_occurrences, "key long, context long, toxic int")
-    table = found.distinct().groupBy("key").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
-    ).where("t >= 3")
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    ratio = F.log(t / counts[1]) - F.log(c / counts[0])
-    table = table.withColumn("weight", ratio - 1.64 * F.sqrt(1 / t + 1 / c)).where(F.col("weight") >= bound)
-    rows = table.orderBy(F.desc("weight"), "key").limit(most).collect()
-    keys = np.array([r.key for r in rows], dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r.weight for r in rows])[order]
+def _rows(key, context, half: int, toxic: bool, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), pa.array(np.full(len(key), half, np.int32)),
+         pa.array(np.full(len(key), toxic)), pa.array(n.astype(np.int64))],
+        ["key", "context", "half", "toxic", "n"],
+    )
+
+
+class Counts:
+    """How many toxic and clean documents of each half of the sample hold each key."""
+
+    def __init__(self, sample: DataFrame):
+        found = sample.select("text", "toxic", "half").mapInArrow(
+            _occurrences, "key long, context long, half int, toxic boolean, n long"
+        )
+        once = found.groupBy("key", "context", "half", "toxic").agg(F.sum("n").alias("n"))
+        sums = {
+            f"{name}{k}": F.sum(F.when((F.col("half") == k) & (F.col("toxic") == toxic), n).otherwise(0))
+            for k in (0, 1) for name, toxic, n in (("t", True, F.lit(1)), ("c", False, F.col("n")))
+        }
+        table = once.groupBy("key").agg(*(v.alias(c) for c, v in sums.items())).where("t0 + t1 >= 3")
+        self.table = stored(sample.sparkSession, table, "keys")
+        self.docs = {(r.half, r.toxic): r["count"] for r in sample.groupBy("half", "toxic").count().collect()}
+
+    def lexicon(self, halves: tuple[int, ...], most: int = 2000, bound: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
+        """Keys that toxic documents hold far more often: log ratio of the shares of toxic and clean
+        documents, less 1.64 standard errors, at least ``bound``; the ``most`` heaviest ones."""
+        toxic, clean = (sum(self.docs.get((k, y), 0) for k in halves) for y in (1, 0))
+        if not toxic or not clean:
+            return np.zeros(0, dtype=np.uint64), np.zeros(0)
+        t, c = (sum((F.col(f"{x}{k}") for k in halves), F.lit(0.5)) for x in "tc")
+        weight = F.log(t / toxic) - F.log(c / clean) - 1.64 * F.sqrt(1 / t + 1 / c)
+        table = self.table.withColumn("weight", weight).where((F.col("weight") >= bound) & (t >= 3))
+        rows = table.orderBy(F.desc("weight"), "key").limit(most).collect()
+        keys = np.array([r.key for r in rows], dtype=np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        return keys[order], np.array([r.weight for r in rows])[order]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -293,24 +317,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def fit(
     docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-    label: str = "toxic", sample: int = 4000,
+    label: str = "toxic", sample: int = 2000,
 ) -> Model:
     """The model learned from the labels of rows where ``train`` (a condition on ``doc_id``) holds.
 
-    A bounded sample (``sample`` toxic and three times as many clean rows at most) gives the lexicon. The coefficients of the
-    grammar's features come from the same rows, each half measured with a lexicon of the other
-    half, so that words of a single document don't count as signs. The constant is then moved to the
-    share of toxic rows among all training labels. Nothing but text and label is used. Without labels
-    of both kinds the score is the share of toxic rows (one half without any).
+    A bounded sample (``sample`` toxic and three times as many clean rows at most) gives the
+    lexicon. The coefficients of the grammar's features come from the same rows, each half measured
+    with a lexicon of the other half, so that words of a single document don't count as signs. The
+    constant is then moved to the share of toxic rows among all training labels. Nothing but text
+    and label is used. Without labels of both kinds the score is the share of toxic rows (one half
+    without any).
     """
     rows, share = labelled_sample(docs, labels, train, doc_id, text, label, sample)
     rows = stored(docs.sparkSession, rows, "sample")
     prior = 0.5 if share is None else min(max(share, 1e-3), 1 - 1e-3)
-    found = [
-        _measured(rows.where(F.col("half") == k), *learned_lexicon(rows.where(F.col("half") != k))) for k in (0, 1)
-    ]
+    counts = Counts(rows)
+    found = [_measured(rows.where(F.col("half") == k), *counts.lexicon((1 - k,))) for k in (0, 1)]
     x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-    keys, lexicon = learned_lexicon(rows)
+    keys, lexicon = counts.lexicon((0, 1))
     if len(set(y.tolist())) < 2:
         return Model(keys, lexicon, np.array([0, 0, 0, 0, np.log(prior / (1 - prior))]))
     coefficients = _logistic(x, y)
