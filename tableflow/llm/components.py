@@ -10,6 +10,7 @@ from tableflow.llm.rows import stored
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b): the least node it is connected to.
+    Nodes are of any type that has an order.
 
     Each round a node takes the least label among its neighbours, then twice the label of its
     label, so paths shorten by a factor each round. Rounds are stored tables: lineage stays short
@@ -21,10 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root"))
     labels, total = stored(spark, labels, "labels"), None
     while True:
-        size = labels.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        if size == total:  # labels only fall, so an equal sum means equal labels
+        now = labels.agg(F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()[0]
+        if now == total:  # the labels are as they were
             return labels
-        total = size
+        total = now
         near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "root")
         labels = stored(
             spark, near.union(labels).groupBy("node").agg(F.min("root").alias("root")), "labels"

@@ -5,7 +5,8 @@ from common import clashing, table, texts
 
 from tableflow.llm.components import components
 from tableflow.llm.queries import op6_simhash_near_dedup
-from tableflow.llm.simhash import covering_masks, links, near_duplicates, one_of_each
+from tableflow.llm.similar import SYMBOLS, _masks, one_of_each, similar_documents
+from tableflow.llm.simhash import covering_masks, links, near_duplicates
 
 
 def brute_force(values, size):
@@ -63,6 +64,65 @@ def test_links_of_a_dense_group(spark):
     assert {p: roots.get(p, p) for p in expected} == expected
 
 
+def shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def similar_groups(values, ids, similarity=0.8):
+    """Least id of each component of the links between all pairs of texts of that similarity."""
+    sets, least, changed = [shingles(v) for v in values], list(ids), True
+    pairs = [
+        (i, j) for i, j in combinations(range(len(ids)), 2)
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])
+    ]
+    while changed:
+        changed = False
+        for i, j in pairs:
+            if least[i] != least[j]:
+                least[i] = least[j] = min(least[i], least[j])
+                changed = True
+    return dict(zip(ids, least, strict=True))
+
+
+def edited(seed):
+    """Texts of about a hundred words, each with copies in which one to five words differ."""
+    import random
+
+    from common import sentence
+
+    g, out = random.Random(seed), []
+    for _ in range(25):
+        words = sentence(g, 110).split()
+        out.append(" ".join(words))
+        for edits in (1, 2, 4, 5, 12):
+            other = list(words)
+            for at in g.sample(range(110), edits):
+                other[at] = "changed" + str(g.randrange(10**6))
+            out.append(" ".join(other))
+    return out
+
+
+def test_masks_leave_out_any_few_symbols_of_a_set():
+    for lost in combinations(range(SYMBOLS), 3):
+        assert any(not set(kept) & set(lost) for kept in _masks()[:15])
+
+
+def test_similar_documents_equal_all_pairs(spark):
+    values = [*texts(), *edited(3)]
+    found = {r.id: r.component_id for r in similar_documents(table(spark, values)).collect()}
+    expected = similar_groups(values, list(range(len(values))))
+    assert found == expected and len(set(expected.values())) < len(values) - 60
+
+
+def test_similar_rows_repeat_ids_are_null_and_share_ids(spark):
+    a, b = edited(4)[0], edited(4)[6]
+    docs = table(spark, [a, a, b, b + " more", None, "", a], ids=[4, 4, 4, None, None, 9, None])
+    found = sorted((r.id is None, r.id or 0, r.component_id) for r in similar_documents(docs).collect())
+    assert found == [(False, 4, 4), (False, 4, 4), (False, 4, 4), (False, 9, 9), (True, 0, 4), (True, 0, 4), (True, 0, 9)]
+    assert similar_documents(docs.limit(0)).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(1, 300).selectExpr("id as a", "id - 1 as b")
     assert {r.root for r in components(edges).collect()} == {0}
