@@ -235,19 +235,19 @@ def null_like_partitions(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", F.expr(_SEGMENT).alias("segment")
     )
-    even = F.col("c_custkey") % 2 == 0
+    some = F.col("c_nationkey") < 12
     raised = [customer.withColumn("c_acctbal", F.col("c_acctbal") + i) for i in range(4)]
-    upsert_into(spark, raised[1].where(even), path, "c_custkey", "c_acctbal", "segment")
-    upsert_into(spark, raised[2].where(~even), path, "c_custkey", "c_acctbal", "segment")
-    merge_into(spark, raised[3].where(even), path, "c_custkey", "segment")
-    merge_into(spark, raised[3].where(~even), path, "c_custkey", "segment")
+    upsert_into(spark, raised[1].where(some), path, "c_custkey", "c_acctbal", "segment")
+    upsert_into(spark, raised[2].where(~some), path, "c_custkey", "c_acctbal", "segment")
+    merge_into(spark, raised[3].where(some), path, "c_custkey", "segment")
+    merge_into(spark, raised[3].where(~some), path, "c_custkey", "segment")
     return stored_table(spark, "parquet", path, customer.schema, ("segment",))
 
 
 @query(
     """
     select cast(p_partkey as bigint) as p_partkey, p_brand, cast(p_size as int) as p_size,
-           case when p_partkey % 3 = 0 then p_retailprice end as p_retailprice
+           case when p_size <= 15 then p_retailprice end as p_retailprice
     from part
     """
 )
@@ -257,11 +257,11 @@ def upsert_wider_types(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_brand", F.col("p_size").cast("int").alias("p_size"), "p_retailprice"
     )
-    third = F.col("p_partkey") % 3
-    upsert_into(spark, part.where(third != 2).drop("p_retailprice"), path, "p_partkey", "p_size", "p_brand")
-    wider = part.where(third == 0).withColumn("p_size", F.col("p_size").cast("bigint"))
-    upsert_into(spark, wider, path, "p_partkey", "p_size", "p_brand")
-    upsert_into(spark, part.where(third == 2).drop("p_retailprice"), path, "p_partkey", "p_size", "p_brand")
+    key = ("p_partkey", "p_size", "p_brand")
+    upsert_into(spark, part.where("p_size <= 35").drop("p_retailprice"), path, *key)
+    wider = part.where("p_size <= 15").withColumn("p_size", F.col("p_size").cast("bigint"))
+    upsert_into(spark, wider, path, *key)
+    upsert_into(spark, part.where("p_size > 35").drop("p_retailprice"), path, *key)
     return stored_table(spark, "parquet", path, part.schema, ("p_brand",))
 
 

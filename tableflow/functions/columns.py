@@ -57,4 +57,4 @@ def on_date(df: DataFrame, column: str, date: dt.date) -> DataFrame:
     """
     is_text = isinstance(df.schema[column].dataType, StringType)
     literal = F.lit(date.isoformat()) if is_text else F.lit(date)
-    return df.select(F.col(column)).where(F.col(column) == literal)
+    return df.select(quoted(column)).where(quoted(column) == literal)

@@ -26,13 +26,14 @@ def ctx():
     return JobContext("shop", dt.date(2021, 6, 21))
 
 
-# Sample deliveries: header, comma, narrower than the schemas.
+# Sample deliveries; header, comma, narrower than the schemas.
 SAMPLES = {
     "items": "itemId,name,price\n1,bucket,5\n2,cup,1\n3,t-shirt,2\n",
     "orders": "orderId,customerId,itemId,quantity\n1,1,1,1\n2,2,2,3\n3,2,2,5\n",
     "customers": "customerId,name,country\n1,Alex,Ukraine\n2,Arseniy,Russia\n3,Oleg,Belarus\n",
 }
 
+# The fields of the schema files.
 _DATED = [("year", "integer"), ("month", "integer"), ("day", "integer")]
 _STAMPED = [
     *_DATED, ("last_update_time", "long"), ("execution_year", "integer"),

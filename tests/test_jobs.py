@@ -21,6 +21,7 @@ from tableflow.streaming.queries import (
     append_stream, archive_options, await_all, start_all, trigger_of, upsert_stream,
 )
 
+# Entities, keys and the join of the samples.
 ENTITIES = ("items", "orders", "customers")
 KEYS = {"items": "itemId", "orders": "orderId", "customers": "customerId"}
 ORDER = {"items": "last_update_time", "orders": "last_update_time"}

@@ -28,6 +28,7 @@ from tableflow.sources.tables import (
 )
 from tableflow.specs import EntitySpec, JobContext, LoadJob, check_format, entity_glob, glob_pattern
 
+# The rows of the insert sample.
 INSERTED = [
     ("100", "2015-01-01", "2015-01-01T13:51:39.340396Z"),
     ("101", "2015-01-01", "2015-01-01T12:14:58.597216Z"),
