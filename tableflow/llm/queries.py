@@ -110,6 +110,35 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op7_suffix_dedup"] = """
+    with bytes as (
+        select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n_bytes from documents
+    ), windows as (
+        select doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) as k
+        from (select doc_id, h, unnest(range(n_bytes - 99)) as s from bytes where n_bytes >= 100)
+    ), repeated as (
+        select doc_id, s from (
+            select doc_id, s, row_number() over (partition by k order by doc_id, s) as nth from windows) where nth > 1
+    ), marked as (
+        select doc_id, s, sum(new) over (partition by doc_id order by s) as span
+        from (select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 100 then 0 else 1 end as new
+              from repeated)
+    ), spans as (
+        select doc_id, span, min(s) as a, max(s) + 100 as b from marked group by doc_id, span
+    ), gaps as (
+        select doc_id, span, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as since from spans
+    ), cut as (
+        select doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last,
+               string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' order by a) as front
+        from gaps join bytes using (doc_id) group by doc_id
+    )
+    select doc_id, cast(n_bytes as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+           coalesce(n_spans, 0) as n_spans,
+           sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+    from bytes left join cut using (doc_id)
+"""
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
