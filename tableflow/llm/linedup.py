@@ -150,13 +150,15 @@ def overlaps(split: DataFrame, min_words: int, rare: int) -> DataFrame:
     ).where(F.col("w") >= min_words).drop("pos", "w")
     holders = one.groupBy("h", *ID).agg(F.lit(1).alias("one"))
     common = holders.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(*ID)).alias("first"))
-    common = common.where("n > 1")
+    # Stored, so that both sides of the joins lie on shuffles of their own and a hot line can be split.
+    spark = split.sparkSession
+    common = stored(spark, common.where("n > 1"), "common")
     rare_keys = common.where(F.col("n") <= rare).select("h", "first")
     frequent = common.where(F.col("n") > rare).select("h")
     pairs = holders.join(rare_keys, "h").select(*ID, "first")
     longer = one.join(frequent, "h").where("not ending").select(*ID, F.col("with_next").alias("h"))
     firsts = longer.groupBy("h").agg(F.min(F.struct(*ID)).alias("first"), F.max(F.struct(*ID)).alias("last"))
-    firsts = firsts.where("first <> last").select("h", "first")
+    firsts = stored(spark, firsts.where("first <> last").select("h", "first"), "firsts")
     pairs = pairs.union(longer.join(firsts, "h").select(*ID, "first"))
     return pairs.where(F.struct(*ID) != F.col("first")).distinct()
 

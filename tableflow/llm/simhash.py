@@ -89,7 +89,8 @@ def links(prints: DataFrame, column: str, radius: int = 2) -> DataFrame:
     placed = distinct.select("f", F.explode(tables).alias("t")).select("f", "t.m", "t.k")
     # In a bucket's least and greatest fingerprint shows whether it holds more than one.
     shared = placed.groupBy("m", "k").agg(F.min("f").alias("lo"), F.max("f").alias("hi"))
-    shared = shared.where("lo <> hi").select("m", "k")
+    # Stored, so that both sides of the join lie on shuffles of their own and a hot bucket can be split.
+    shared = stored(prints.sparkSession, shared.where("lo <> hi").select("m", "k"), "buckets")
     ignored = (
         placed.join(shared, ["m", "k"]).groupBy("f").agg(F.bit_or(F.bitwise_not("m")).alias("free"))
     )
@@ -123,7 +124,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         roots.withColumnRenamed("node", "f"), "f", "left"
     ).select("f", "id", F.coalesce("root", "f").alias("root"))
     first = stored(spark, first, "first")
-    least = first.groupBy("root").agg(F.min("id").alias("component_id"))
+    least = stored(spark, first.groupBy("root").agg(F.min("id").alias("component_id")), "least")
     named = stored(spark, first.select("f", "root").join(least, "root").select("f", "component_id"), "named")
     return prints.join(named, "f").select(
         "id", "version", F.col("f").alias("fingerprint"), "component_id"
