@@ -74,17 +74,19 @@ def log_ratios(
 
     Both are multinomials over hashed words and pairs of neighbouring words. One is added to each
     of the corpus's counts, and the corpus's shares, as if seen in ``buckets`` n-grams, to the
-    target's: few trusted documents say little, and without any all ratios are zero. ``target`` has the ids of the trusted documents. Tasks count before they shuffle, so
-    ``buckets`` rows a task move, however frequent a word is; the result has ``buckets`` numbers.
+    target's: few trusted documents say little, and without any all ratios are zero. ``target`` has
+    the ids of the trusted documents. Tasks count before they shuffle, so ``buckets`` rows a task
+    move, however frequent a word is; the result has ``buckets`` numbers.
     """
     spark = docs.sparkSession
     trusted = target.select(F.col("id").alias("__id"), F.lit(1).alias("__t")).distinct()
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
     # Texts move once and aren't sorted; the plan is the same however many documents are trusted.
-    rows = rows.join(trusted.hint("shuffle_hash"), "__id", "left").select("text", F.coalesce("__t", F.lit(0)).alias("t"))
-    rows = with_words(rows, "text")
+    rows = rows.join(trusted.hint("shuffle_hash"), "__id", "left")
+    rows = with_words(rows.select("text", F.coalesce("__t", F.lit(0)).alias("t")), "text")
     following = F.slice("__words", 2, F.greatest(F.size("__words"), F.lit(1)))
-    pairs = rows.select("t", F.explode(F.arrays_zip(F.col("__words").alias("a"), following.alias("b"))).alias("g"))
+    zipped = F.arrays_zip(F.col("__words").alias("a"), following.alias("b"))
+    pairs = rows.select("t", F.explode(zipped).alias("g"))
     grams = pairs.select("t", F.explode(F.array(
         F.pmod(F.xxhash64("g.a"), F.lit(buckets)),
         F.when(F.col("g.b").isNotNull(), F.pmod(F.xxhash64("g.a", "g.b"), F.lit(buckets))),
@@ -104,14 +106,15 @@ def quality_rules(
 ) -> DataFrame:
     """The documents with the columns of :func:`base_rules`, ``ratio`` and ``kept``.
 
-    ``ratio`` is the mean over a text's words and pairs of neighbouring words of the log-likelihood ratio
-    between the trusted documents (ids in column ``id`` of ``target``) and the raw corpus. A
-    document is kept if the base rules pass it and its ratio is at least ``threshold``, always the same decision for the same
-    corpus. Counts cover all documents. Without trusted documents no ratio speaks against a text.
+    ``ratio`` is the mean over a text's words and pairs of neighbouring words of the log-likelihood
+    ratio between the trusted documents (ids in column ``id`` of ``target``) and the raw corpus. A
+    document is kept if the base rules pass it and its ratio is at least ``threshold``, always the
+    same decision for the same corpus. Counts cover all documents. Without trusted documents no
+    ratio speaks against a text.
 
     Rows stay as they are: null and empty texts have no words, a ratio of 0, and fail the base
-    rules; repeated rows get equal results and count as often as they occur; input columns with names of
-    the result are replaced. The ratios are a subquery of fixed size that every task gets.
+    rules; repeated rows get equal results and count as often as they occur; input columns with
+    names of the result are replaced. The plan holds the ratios as one array of ``buckets`` numbers.
     """
     ratios = log_ratios(docs, target, doc_id, text, buckets)
     # A constant to the optimizer, which folds it into one array.

@@ -17,10 +17,14 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
 # Small closed classes in the corpus's languages; insults are learned from labels.
 CLASSES = {
-    TARGET: "you your yours yourself u he she they them him her tu te toi vous du dich dir ihr euch sie usted ustedes ti",
-    NEGATION: "not no never nobody isn aren don doesn didn wasn won cannot without pas jamais ne sans nicht kein keine nie ohne sin nunca jamás",
-    REPORT: "said says say saying called calls wrote writes claimed quote quoted according dit disait écrit sagte sagt schrieb dijo dice escribió",
-    THREAT: "kill hurt destroy beat shoot stab burn hang strangle tuer frapper brûler töten schlagen verbrennen matar golpear quemar",
+    TARGET: "you your yours yourself u he she they them him her "
+            "tu te toi vous du dich dir ihr euch sie usted ustedes ti",
+    NEGATION: "not no never nobody isn aren don doesn didn wasn won cannot without "
+              "pas jamais ne sans nicht kein keine nie ohne sin nunca jamás",
+    REPORT: "said says say saying called calls wrote writes claimed quote quoted according "
+            "dit disait écrit sagte sagt schrieb dijo dice escribió",
+    THREAT: "kill hurt destroy beat shoot stab burn hang strangle "
+            "tuer frapper brûler töten schlagen verbrennen matar golpear quemar",
 }
 FACTORS = {"negated": 0.2, "reported": 0.5, "aimed": 1.5}
 PREFIXES = (4, 5, 6)
@@ -148,8 +152,8 @@ class Grammar:
         self.follow, self.out = grammar()
 
     def features(self, rows: int, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Per row: total weight of matched clauses, their number, the greatest one, all as log1p, and the weight for its
-        length."""
+        """Per row, as log1p: total weight of matched clauses, their number, the greatest one, and the
+        total for the text's length."""
         words = Words(rows, data, begins, ALPHANUMERIC)
         weight = np.zeros(len(words.hashes))
         for key in _keys(words):
@@ -216,8 +220,8 @@ class Model:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, train: Column, doc_id: str, text: str, label: str, size: int
 ) -> tuple[DataFrame, float]:
-    """At most ``size`` toxic and three times as many clean rows of those where ``train`` holds, in the order of a hash of
-    the id, with their texts; and the share of toxic rows among all of them."""
+    """At most ``size`` toxic and three times as many clean rows of those where ``train`` holds, in
+    the order of a hash of the id, with their texts; and the share of toxic rows among all of them."""
     rows = labels.select("doc_id", F.col(label).cast("int").alias("toxic")).where(train)
     rows = rows.where("toxic in (0, 1)").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
     share = rows.agg(F.avg("toxic")).first()[0]

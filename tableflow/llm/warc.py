@@ -19,10 +19,14 @@ from tableflow.llm.rows import stored
 VERSION = b"WARC/1.1"
 BLOCK = 1 << 16
 FILE_BYTES = 256 << 20
+COLUMNS = ("name", "uri", "payload", "digest", "refers_to")
 # WARC 1.1, annex of revisit profiles.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-RECORD = "path string, offset long, type string, id string, uri string, digest string, refers_to string, payload_bytes long, payload binary"
+RECORD = (
+    "path string, offset long, type string, id string, uri string, digest string, "
+    "refers_to string, payload_bytes long, payload binary"
+)
 
 
 # ---- writing -----------------------------------------------------------------------------------
@@ -54,8 +58,9 @@ def record(name: str, uri: str | None, payload: bytes, digest: str, refers_to: s
 
 
 def _info(name: str) -> bytes:
+    own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
     return _member(
-        [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"), ("WARC-Date", DATE),
+        [("WARC-Type", "warcinfo"), ("WARC-Record-ID", own), ("WARC-Date", DATE),
          ("WARC-Filename", name), ("Content-Type", "application/warc-fields")],
         b"format: WARC File Format 1.1\r\n",
     )
@@ -78,7 +83,7 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
         out, path, size, done = None, "", 0, []
         try:
             for batch in batches:
-                for row in zip(*(batch.column(c) for c in ("name", "uri", "payload", "digest", "refers_to")), strict=True):
+                for row in zip(*(batch.column(c) for c in COLUMNS), strict=True):
                     if out is None:
                         store.create_dir(root, recursive=True)
                         name = f"{stem}-{len(done):04d}.warc.gz"
@@ -270,8 +275,9 @@ def page_records(
 
     The payload is the html in UTF-8, empty for a null. Of pages with equal payloads of at least
     ``least_bytes`` that with the greatest id is a response, and the others revisit it; smaller
-    ones are all responses. Rows that repeat the greatest id are all responses; a null id comes before all others, and without
-    others its page is a response. Payloads are equal if SHA-1, a 64-bit hash and size are.
+    ones are all responses. Rows that repeat the greatest id are all responses; a null id comes
+    before all others, and without others its page is a response. Payloads are equal if SHA-1, a
+    64-bit hash and size are.
 
     The search for equal payloads counts hashes within tasks before it moves them, so a payload
     that a third of the pages hold is one row a task; in the join such a payload's pages can be
