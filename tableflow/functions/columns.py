@@ -31,7 +31,8 @@ def is_orderable(kind: DataType) -> bool:
 
 
 def comparable(column: Column, kind: DataType) -> Column:
-    """The column, or its JSON text (entries of maps in the order they are stored) where values of its type can't be compared."""
+    """The column, or its JSON text where values of its type can't be compared (the entries of a map
+    in the order they are stored)."""
     return column if is_orderable(kind) else F.to_json(F.struct(column.alias("v")))
 
 
