@@ -11,7 +11,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-CACHE = 200_000
+CACHE = 600_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -58,6 +58,8 @@ class Counter:
     def best(self, text: str) -> tuple[float, int, bool, bool]:
         """Score and number of pieces of the best path, and whether its first and its last piece
         are unknown (to join them across words)."""
+        if self.singles.issuperset(text):
+            return self.known(text)
         n = len(text)
         score, count = [0.0] * (n + 1), [0] * (n + 1)
         last = [False] * (n + 1)  # the path's last piece is unknown
@@ -86,35 +88,66 @@ class Counter:
             score[end], count[end], last[end], first[end] = top, pieces, unk, head
         return score[n], count[n], first[n], last[n]
 
+    def known(self, text: str) -> tuple[float, int, bool, bool]:
+        """The same where every character is a piece, so none is unknown. The automaton gives the
+        matches by their end, longest first."""
+        score, count = [0.0] * (len(text) + 1), [0] * (len(text) + 1)
+        before = -1
+        for end, (size, gain, _) in self.automaton.iter(text):
+            begin = end + 1 - size
+            total = score[begin] + gain
+            if end != before or total > score[end + 1]:
+                score[end + 1], count[end + 1] = total, count[begin] + 1
+                before = end
+        return score[-1], count[-1], False, False
+
     def __call__(self, text: str) -> tuple[int, float]:
         """Number of pieces and score of a text: a space mark for every space, and one in front
         unless there is one."""
         if not text:
             return 0, 0.0
+        if self.by_word and "  " not in text and SPACE not in text:
+            # Every space begins a word, and the first word has its mark in any case.
+            words = text.split(" ") if text[0] != " " else text[1:].split(" ")
+            found = [*map(self.cache.get, words)]
+            if None in found:
+                found = [f or self.remember(w) for w, f in zip(words, found, strict=True)]
+            return self.joined(found)
         marked = text.replace(" ", SPACE)
         if marked[0] != SPACE:
             marked = SPACE + marked
         if not self.by_word:
             total, n, _, _ = self.best(marked)
             return n, total
-        total, n, open_ = 0.0, 0, False
-        cache = self.cache
-        for word in self.words.findall(marked):
-            found = cache.get(word)
-            if found is None:
-                found = self.best(word)
-                if len(cache) >= CACHE:
-                    cache.clear()
-                if len(word) <= 64:
-                    cache[word] = found
-            total += found[0]
-            n += found[1]
-            if open_ and found[2] and not self.byte_fallback:
-                n -= 1
-            open_ = found[3]
+        return self.joined([self.best(word) for word in self.words.findall(marked)])
+
+    def remember(self, word: str) -> tuple[float, int, bool, bool]:
+        found = self.best(SPACE + word)
+        if len(word) <= 64:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = found
+        return found
+
+    def joined(self, found: list[tuple[float, int, bool, bool]]) -> tuple[int, float]:
+        """Pieces and score of words in a row; unknown pieces that touch are one without byte pieces."""
+        n, total = sum([f[1] for f in found]), sum([f[0] for f in found])
+        if not self.byte_fallback:
+            n -= sum(a[3] and b[2] for a, b in zip(found, found[1:], strict=False))
         return n, total
 
 
+_last: tuple | None = None
+
+
+def _counter(vocabulary: tuple) -> Counter:
+    """The worker's counter for a vocabulary, kept with its words from one task to the next."""
+    global _last
+    if _last is None or _last[0] is not vocabulary:
+        _last = (vocabulary, Counter(*vocabulary))
+    return _last[1]
+
+
 def token_counts(
     spark: SparkSession, text: Column, pieces: list[tuple[str, float]], byte_fallback: bool
 ) -> Column:
@@ -128,9 +161,9 @@ def token_counts(
 
     @F.arrow_udf("struct<n_tokens:long,score:double>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = Counter(*shared.value)
+        counter = _counter(shared.value)
         for texts in batches:
-            found = [counter(t) if t else (0, 0.0) for t in (s.as_py() for s in texts)]
+            found = [counter(t) if t else (0, 0.0) for t in texts.to_pylist()]
             yield pa.StructArray.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.float64())],
                 ["n_tokens", "score"],
