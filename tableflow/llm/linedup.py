@@ -129,15 +129,35 @@ def _aligned_blocks(min_words: int):
     return align
 
 
-def overlaps(split: DataFrame, min_words: int, rare: int) -> DataFrame:
+def overlaps(split: DataFrame, min_words: int, rare: int | None = None) -> DataFrame:
     """Pairs (later document, earlier document) to align, ``__id`` and ``__version`` of each.
 
-    Documents are found through shared rare lines: lines of ``min_words`` words or more that occur
-    in 2 to ``rare`` documents. More frequent ones count together with the next line, and if the
-    document has no other line, alone, so groups of copies of any size are found and lines that
-    many unrelated documents hold are no link. Of the documents that share a line, each is paired with the
-    first only: as many pairs as occurrences, and every line that is repeated in a linked group has
-    its first holder among the pairs.
+    Documents are found through shared lines of ``min_words`` words or more, however many documents
+    hold them. Of the documents that share a line, each is paired with the first only: as many pairs as
+    occurrences, and every line that is repeated has its first holder among the pairs. ``rare`` is for
+    links through rare lines only, see :func:`rare_overlaps`.
+    """
+    if rare is not None:
+        return rare_overlaps(split, min_words, rare)
+    keys = F.array_distinct(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] >= min_words)["hashes"])
+    return _first_holders(split.select(*ID, F.explode(keys).alias("h")))
+
+
+def _first_holders(holders: DataFrame) -> DataFrame:
+    """Pairs of each holder of a key (``h``) with the key's first one."""
+    firsts = holders.groupBy("h").agg(F.min(F.struct(*ID)).alias("first"), F.max(F.struct(*ID)).alias("last"))
+    # Stored, so that both sides of the join lie on shuffles of their own and a hot key can be split.
+    firsts = stored(holders.sparkSession, firsts.where("first <> last").select("h", "first"), "firsts")
+    pairs = holders.join(firsts, "h").select(*ID, "first")
+    return pairs.where(F.struct(*ID) != F.col("first")).distinct()
+
+
+def rare_overlaps(split: DataFrame, min_words: int, rare: int) -> DataFrame:
+    """Like :func:`overlaps`, but through rare lines only: fewer pairs, and not all repeats are found.
+
+    Links are lines of ``min_words`` words or more that occur in 2 to ``rare`` documents. More
+    frequent ones count together with the next line, and if the document has no other line, alone,
+    so groups of copies of any size are found.
     """
     one = split.where(F.size("hashes") > 0).select(
         *ID, F.posexplode(F.arrays_zip("hashes", "words")), F.col("hashes").alias("all")
@@ -164,7 +184,8 @@ def overlaps(split: DataFrame, min_words: int, rare: int) -> DataFrame:
 
 
 def remove_repeated_blocks(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, rare: int = 50,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5,
+    rare: int | None = None,
 ) -> DataFrame:
     """The documents with aligned common blocks deleted from the later document of each pair.
 

@@ -100,3 +100,14 @@ def test_query_equals_brute_force_on_the_small_tables(spark):
     found = {r.doc_id: r.removed for r in op2_line_dedup(spark, sf).collect()}
     expected = brute_force(rows, 5, 50)
     assert any(expected) and found == {i: e for (i, _), e in zip(rows, expected, strict=True)}
+
+
+def test_a_line_is_deleted_however_many_documents_hold_it(spark):
+    line = "this one line is held by many"
+    for held in (40, 80):
+        around = [[f"{side} {i} of its own words here" for side in ("before", "after")] for i in range(held)]
+        # Between lines of the document's own, at its end, and at its start.
+        values = ["\n".join((a, line, b) if i % 3 == 0 else (a, line) if i % 3 == 1 else (line, b))
+                  for i, (a, b) in enumerate(around)]
+        found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
+        assert found == {i: [v.split("\n").index(line)] if i else [] for i, v in enumerate(values)}
