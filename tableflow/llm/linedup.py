@@ -129,17 +129,56 @@ def _aligned_blocks(min_words: int):
     return align
 
 
+def _links(min_words: int):
+    """Column function of line hashes and numbers of words: the distinct hashes that link documents.
+
+    From each line with words on, the shortest run of such lines that reaches ``min_words`` words: a
+    long line alone, short ones together.
+    """
+
+    @F.arrow_udf("array<long>")
+    def keys(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for hashes, words in batches:
+            lengths = hashes.value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            h = hashes.flatten().to_numpy().view(np.uint64)
+            w = words.flatten().to_numpy().astype(np.int64)
+            row, h, w = row[w > 0], h[w > 0], w[w > 0]
+            sums = np.append(0, np.cumsum(w))
+            # Behind the line with which a run from here on has enough words.
+            ends = np.searchsorted(sums, sums[:-1] + max(min_words, 1))
+            at = np.searchsorted(row, np.arange(len(lengths) + 1))
+            start = np.flatnonzero(ends <= at[row + 1])
+            found, of_row = _run_hashes(h, start, ends[start]), row[start]
+            at = np.searchsorted(of_row, np.arange(len(lengths) + 1))
+            yield lists(
+                [np.unique(found[at[r] : at[r + 1]]).view(np.int64) for r in range(len(lengths))], pa.int64()
+            )
+
+    return keys
+
+
+def _run_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of lines from ``start`` to before ``end``."""
+    out, longest = np.zeros(len(start), dtype=np.uint64), int((end - start).max(initial=0))
+    for nth in range(longest):
+        inside = start + nth < end
+        out[inside] += mix(h[start[inside] + nth] + mix(np.array([nth + 1], dtype=np.uint64)))
+    return out
+
+
 def overlaps(split: DataFrame, min_words: int, rare: int | None = None) -> DataFrame:
     """Pairs (later document, earlier document) to align, ``__id`` and ``__version`` of each.
 
-    Documents are found through shared lines of ``min_words`` words or more, however many documents
-    hold them. Of the documents that share a line, each is paired with the first only: as many pairs as
-    occurrences, and every line that is repeated has its first holder among the pairs. ``rare`` is for
+    Documents are found through shared keys (:func:`_links`), however many documents hold them; every
+    block that may be deleted holds one. Of the documents that share a key, each is paired with the
+    first only: as many pairs as occurrences, and every key that is repeated has its first holder
+    among the pairs. ``rare`` is for
     links through rare lines only, see :func:`rare_overlaps`.
     """
     if rare is not None:
         return rare_overlaps(split, min_words, rare)
-    keys = F.array_distinct(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] >= min_words)["hashes"])
+    keys = _links(min_words)("hashes", "words")
     return _first_holders(split.select(*ID, F.explode(keys).alias("h")))
 
 

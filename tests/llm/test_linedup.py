@@ -111,3 +111,11 @@ def test_a_line_is_deleted_however_many_documents_hold_it(spark):
                   for i, (a, b) in enumerate(around)]
         found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
         assert found == {i: [v.split("\n").index(line)] if i else [] for i, v in enumerate(values)}
+
+
+def test_a_block_of_short_lines_is_found(spark):
+    menu = "soup\n\nfish and rice\ntea\ncake"
+    own = f"a line of its own here\n{menu}\nand one more of its own"
+    values = [menu, menu, own, "soup\nfish and\ncake\ntea", "tea\ncake"]
+    found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
+    assert found == {0: [], 1: [0, 2, 3, 4], 2: [1, 3, 4, 5], 3: [], 4: []}
