@@ -132,8 +132,10 @@ def _aligned_blocks(min_words: int):
 def _links(min_words: int):
     """Column function of line hashes and numbers of words: the distinct hashes that link documents.
 
-    From each line with words on, the shortest run of such lines that reaches ``min_words`` words: a
-    long line alone, short ones together.
+    From each line with words on, forwards and backwards, the shortest run of such lines that reaches
+    ``min_words`` words: a long line alone, short ones together. So every line of a block that may be
+    deleted lies in a run within the block. A long line counts with the next one as well, for a
+    block's source may not be the first holder of its lines.
     """
 
     @F.arrow_udf("array<long>")
@@ -148,8 +150,17 @@ def _links(min_words: int):
             # Behind the line with which a run from here on has enough words.
             ends = np.searchsorted(sums, sums[:-1] + max(min_words, 1))
             at = np.searchsorted(row, np.arange(len(lengths) + 1))
-            start = np.flatnonzero(ends <= at[row + 1])
-            found, of_row = _run_hashes(h, start, ends[start]), row[start]
+            nth = np.arange(len(row))
+            ahead = np.flatnonzero(ends <= at[row + 1])
+            # The last line from which a run up to here has enough words.
+            starts = np.searchsorted(sums, sums[1:] - max(min_words, 1), side="right") - 1
+            back = np.flatnonzero(starts >= at[row])
+            both = np.flatnonzero((ends == nth + 1) & (nth + 2 <= at[row + 1]))
+            start = np.concatenate([ahead, starts[back], both])
+            end = np.concatenate([ends[ahead], back + 1, both + 2])
+            order = np.argsort(start, kind="stable")
+            start, end = start[order], end[order]
+            found, of_row = _run_hashes(h, start, end), row[start]
             at = np.searchsorted(of_row, np.arange(len(lengths) + 1))
             yield lists(
                 [np.unique(found[at[r] : at[r + 1]]).view(np.int64) for r in range(len(lengths))], pa.int64()

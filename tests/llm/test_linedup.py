@@ -119,3 +119,12 @@ def test_a_block_of_short_lines_is_found(spark):
     values = [menu, menu, own, "soup\nfish and\ncake\ntea", "tea\ncake"]
     found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
     assert found == {0: [], 1: [0, 2, 3, 4], 2: [1, 3, 4, 5], 3: [], 4: []}
+
+
+def test_a_block_is_aligned_with_its_source(spark):
+    a, b = "the first line of the block", "and the second line of it"
+    own = [f"line {i} of its own words" for i in range(4)]
+    # The lines' first holder has them in another order.
+    values = [f"{b}\n{a}", f"{own[0]}\n{a}\n{b}\n{own[1]}", f"{own[2]}\n{a}\n{b}\n{own[3]}"]
+    found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
+    assert len(found[1]) == 1 and found[2] == [1, 2] and found[0] == []
