@@ -128,3 +128,45 @@ def test_a_block_is_aligned_with_its_source(spark):
     values = [f"{b}\n{a}", f"{own[0]}\n{a}\n{b}\n{own[1]}", f"{own[2]}\n{a}\n{b}\n{own[3]}"]
     found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
     assert len(found[1]) == 1 and found[2] == [1, 2] and found[0] == []
+
+
+def every_earlier(rows, min_words):
+    """The removed lines of each row if it is aligned with every earlier one, without candidates."""
+    full = [
+        [(i, tuple(SPACES.findall(x))) for i, x in enumerate((t or "").split("\n")) if SPACES.search(x)] for _, t in rows
+    ]
+    held = defaultdict(list)
+    for k, lines in enumerate(full):
+        for _, words in lines:
+            if not held[words] or held[words][-1] != k:
+                held[words].append(k)
+    out = []
+    for k, lines in enumerate(full):
+        gone = set()
+        for other in {e for _, words in lines for e in held[words] if e < k}:
+            pairs = patience([x for _, x in lines], [x for _, x in full[other]])
+            blocks = []
+            for n, (i, j) in enumerate(pairs):
+                if not n or pairs[n - 1] != (i - 1, j - 1):
+                    blocks.append([])
+                blocks[-1].append(lines[i])
+            for block in blocks:
+                if sum(len(words) for _, words in block) >= min_words:
+                    gone.update(i for i, _ in block)
+        out.append(sorted(gone))
+    return out
+
+
+def test_removed_lines_are_those_of_every_earlier_document(spark):
+    g = random.Random(11)
+    long, short = ([" ".join([f"{k}{i}"] * n) for i in range(30)] for k, n in (("l", 6), ("s", 2)))
+    values = texts()
+    for i in range(150):  # blocks of long and short lines, some of them held by over 50, and a line held by all
+        start = g.randrange(10)
+        block = [g.choice((long, short))[k] for k in range(start, start + g.randrange(2, 6))]
+        values.append("\n".join([f"own words of the text {i}", *block, f"last words of text {i}", long[-1]]))
+    expected = every_earlier(list(enumerate(values)), 5)
+    found = {r.doc_id: r.removed for r in remove_repeated_blocks(table(spark, values)).collect()}
+    assert all(set(found[i]) <= set(expected[i]) for i in found)
+    missed = {i: set(e) - set(found[i]) for i, e in enumerate(expected) if set(e) - set(found[i])}
+    assert sum(map(len, expected)) > 300 and not missed
