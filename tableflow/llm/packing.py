@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tableflow.llm.rows import stored
 
 BINS = "bin long, slot int, doc_id long, part int, start long, n_tokens int, source string, cluster long"
+REPEATS = 64  # of one item that are dealt to a shard together
 
 
 class Bins:
@@ -92,8 +94,9 @@ def best_fit(
 
     Packing is sequential, so items are dealt by a hash to shards of about ``shard_tokens`` tokens,
     each packed by one task. Their number follows the input and a hot source or cluster is spread
-    over all of them; conflicts are within a bin, so shards need not know of each other. Bins are
-    numbered shard after shard. Shards depend on ids and sizes only, so a repeated run gives equal bins.
+    over all of them, as are repeated rows, by ``REPEATS``; conflicts are within a bin, so shards need
+    not know of each other. Bins are numbered shard after shard. Shards depend on the items only, so a
+    repeated run gives equal bins.
 
     Null and empty texts have no tokens and no row. A null source conflicts with nothing. Repeated
     rows are items like others, in different bins. Only id, text and source are looked at.
@@ -111,13 +114,20 @@ def best_fit(
         F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("words").cast("long") - 1, F.lit(capacity).cast("long")))
         .alias("part", "start"), "words",
     ).withColumn("n_tokens", F.least(F.lit(capacity), F.col("words") - F.col("start")).cast("int"))
-    items = stored(spark, items.drop("words"), "items")
-    total = items.agg(F.sum("n_tokens")).first()[0] or 0
+    items = items.drop("words")
+    # Repeated items are one row with their number, so that they need no order to be dealt.
+    items = stored(spark, items.groupBy(items.columns).agg(F.count("*").alias("repeats")), "items")
+    total = items.agg(F.sum(F.col("n_tokens") * F.col("repeats"))).first()[0] or 0
     shards = -(-total // shard_tokens) or 1
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "part", "n_tokens"), F.lit(shards)))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1, F.lit(REPEATS).cast("long")))
+    dealt = items.withColumn("first", first).withColumns({
+        "repeats": F.least(F.lit(REPEATS), F.col("repeats") - F.col("first")),
+        "shard": F.pmod(F.xxhash64("doc_id", "part", "n_tokens", "source", "cluster", "first"), F.lit(shards)),
+    })
 
     def pack_shard(key: tuple, items: pa.Table) -> pa.Table:
-        found = pack(items, capacity)
+        repeats = items["repeats"].to_numpy()
+        found = pack(items.take(pa.array(np.repeat(np.arange(len(repeats)), repeats))), capacity)
         # Each shard numbers its bins in a range of its own.
         bins = pc.add(found["bin"], int(key[0].as_py()) << 32)
         found = found.set_column(found.schema.get_field_index("bin"), "bin", bins)

@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from common import SPACES, clashing, same_without_order, table, texts
 
@@ -107,3 +107,12 @@ def test_query_packs_every_word(spark):
     rows = op1_best_fit_packing(spark, sf).collect()
     bins = check(rows, [d.text for d in docs], 2048, {d.doc_id: d.source for d in docs})
     assert bins < len(docs)
+
+
+def test_repeated_rows_and_null_ids_are_spread_over_shards(spark):
+    for value in (lambda i: "a b c d e", lambda i: f"a b c d w{i}"):  # one text; texts of one length
+        docs = spark.createDataFrame([(None, value(i), "s") for i in range(4000)], "doc_id long, text string, source string")
+        found = best_fit(docs, shard_tokens=1000).collect()
+        shards = Counter(r.bin >> 32 for r in found)
+        assert len(found) == 4000 and len(shards) > 8 and max(shards.values()) < 1000
+        assert len({r.bin for r in found}) == 4000  # of one source
