@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import linedup, packing, quality, rules, simhash, suffix, toxicity, viterbi, warc, winnowing
+from tableflow.llm import linedup, merkle, packing, quality, rules, simhash, suffix, toxicity, viterbi, warc, winnowing
 from tableflow.llm.text import fold
 from tableflow.session import scratch_dir
 
@@ -177,3 +177,74 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
                          model.score(docs, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    proved = merkle.manifest(
+        spark, docs, ["doc_id", "source", "lang", "n_chars", "text"],
+        altered={"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1},
+        where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0,
+    )
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+# CRC-32 in SQL: eight shifts for each byte of the id, whose bytes enter at every eighth.
+ORACLES["op12_merkle_manifest"] = """
+    with recursive entries as (
+        select doc_id, coalesce('+' || lang, '') as g, n_chars,
+               coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') as front,
+               coalesce(strlen(text) || ':' || text, '-') as back,
+               list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+                   range(1, strlen(doc_id::varchar) + 1), lambda i: [ascii(substr(doc_id::varchar, i, 1))::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+                   lambda c, x: case when xor(c, x) & 1 = 1 then xor(xor(c, x) >> 1, 3988292384) else xor(c, x) >> 1 end) as crc
+        from documents
+    ), leaves as (
+        select doc_id, g, sha256(front || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || back) as leaf,
+               case when xor(crc, 4294967295) % 7 = 0
+                    then sha256(front || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || back) end as other
+        from entries
+    ), ranked as (
+        select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos,
+               count(*) over (partition by g) as n from leaves
+    ), tree as (
+        select g, 0 as level, pos, leaf as h, n from ranked
+        union all
+        select g, level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (any_value(n) + 1) // 2
+        from tree where n > 1 group by g, level, pos // 2
+    ), subroots as (
+        select g, h as subroot, row_number() over (order by g) - 1 as pos, count(*) over () as n from tree where n = 1
+    ), top as (
+        select 0 as level, pos, subroot as h, n from subroots
+        union all
+        select level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (any_value(n) + 1) // 2
+        from top where n > 1 group by level, pos // 2
+    ), steps as (
+        select r.g, r.pos, t.level, case when s.h is null then '-' when r.pos >> t.level & 1 = 1 then 'L' || s.h else 'R' || s.h end as step
+        from ranked r join tree t on t.g = r.g and t.pos = r.pos >> t.level and t.n > 1
+        left join tree s on s.g = r.g and s.level = t.level and s.pos = xor(t.pos, 1)
+    ), top_steps as (
+        select r.g, t.level, case when s.h is null then '-' when r.pos >> t.level & 1 = 1 then 'L' || s.h else 'R' || s.h end as step
+        from subroots r join top t on t.pos = r.pos >> t.level and t.n > 1
+        left join top s on s.level = t.level and s.pos = xor(t.pos, 1)
+    ), up as (select g, pos, list(step order by level) as steps from steps group by g, pos),
+    top_up as (select g, list(step order by level) as steps from top_steps group by g),
+    proved as (
+        select doc_id, leaf, other, subroot, (select h from top where n = 1) as root,
+               list_concat(coalesce(u.steps, []), coalesce(t.steps, [])) as steps
+        from ranked r join subroots using (g) left join up u on u.g = r.g and u.pos = r.pos left join top_up t on t.g = r.g
+    ), folded as (
+        select *, list_reduce(list_prepend(coalesce(other, leaf), steps),
+                   lambda h, s: sha256(case s[1] when 'L' then s[2:] || h when 'R' then h || s[2:] else h end)) as folded_root
+        from proved
+    )
+    select doc_id, leaf, subroot, root,
+           sha256(array_to_string(list_transform(steps, lambda s: replace(s[2:], '-', '')), '')) as proof_sha256,
+           folded_root, folded_root = root as verified
+    from folded
+"""
