@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import linedup, merkle, packing, quality, rules, simhash, suffix, toxicity, viterbi, warc, winnowing
+from tableflow.llm import linedup, merkle, packing, quality, rules, secretscan, simhash, suffix, toxicity, viterbi, warc, winnowing
 from tableflow.llm.text import fold
 from tableflow.session import scratch_dir
 
@@ -248,3 +248,53 @@ ORACLES["op12_merkle_manifest"] = """
            folded_root, folded_root = root as verified
     from folded
 """
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secretscan.find_secrets(spark, F.col("text")).alias("found"))
+    base = [r.kind for r in secretscan.BASE]
+    entries = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda *kinds: F.filter("found", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(entries(of(*base)), 256).alias("base_sha256"), entries(F.col("found")).alias("spans"),
+    )
+
+
+def _secrets_sql() -> str:
+    numbered = [*enumerate(secretscan.BASE + secretscan.MORE)]
+    text = lambda expression: expression.replace("'", "''")
+    rules = ", ".join(f"({i}, '{r.kind}', {r.least})" for i, r in numbered)
+    # Matches are set between two control characters, which no rule takes; the pieces then alternate.
+    searches = " union all ".join(
+        f"""select doc_id, {i} as k, unnest(p) as piece, unnest(range(len(p))) as i from (select doc_id, string_split_regex(
+        regexp_replace(t, '({text(r.expression)})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) as p from texts)"""
+        for i, r in numbered
+    )
+    tails = " ".join(
+        f"when {i} then regexp_extract(piece, '^{text(r.head)}({r.tail}+)$', {r.head.count('(') + 1})" for i, r in numbered
+    )
+    return f"""
+    with texts as (select doc_id, translate(coalesce(text, ''), chr(1), chr(3)) as t from documents),
+    rules (k, kind, least) as (values {rules}),
+    pieces as ({searches}),
+    placed as (
+        select doc_id, k, i, piece, length(piece) as n,
+               sum(length(piece)) over (partition by doc_id, k order by i) as stop from pieces
+    ), found as (
+        select doc_id, k, kind, cast(stop - n as bigint) as start, kind || ':' || cast(stop - n as bigint) || ':' || cast(stop as bigint) as entry
+        from placed join rules using (k) where i % 2 = 1 and length(case k {tails} end) >= least
+    )
+    select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+           count(*) filter (kind = 'hex') as n_hex,
+           sha256(coalesce(string_agg(entry, ',' order by start, k) filter (k < 3), '')) as base_sha256,
+           coalesce(string_agg(entry, ',' order by start, k), '') as spans
+    from documents left join found using (doc_id) group by doc_id
+    """
+
+
+ORACLES["op13_secret_scan"] = _secrets_sql()
