@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import linedup, merkle, packing, quality, rules, secretscan, simhash, suffix, toxicity, viterbi, warc, winnowing
+from tableflow.llm import crosstoken, linedup, merkle, packing, quality, rules, secretscan, simhash, suffix, toxicity, viterbi, warc, winnowing
+from tableflow.llm.rows import stored
 from tableflow.llm.text import fold
 from tableflow.session import scratch_dir
 
@@ -17,6 +18,8 @@ ORACLES: dict[str, str] = {}
 
 # The vocabulary of op3: a SentencePiece file of the installed public tokenizers.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+# Those of op11.
+TOKENIZERS = crosstoken.Vocabulary("/opt/tokenizers/byte_bpe_50k.json", VOCABULARY)
 
 
 def query(function: Query) -> Query:
@@ -179,6 +182,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned = stored(spark, crosstoken.align(docs, TOKENIZERS), "aligned")
+    counts = crosstoken.pair_counts(spark, aligned, TOKENIZERS)
+    size = lambda c: F.size(c).cast("long")
+    groups = crosstoken.groups_text()
+    return crosstoken.link_scores(spark, aligned, counts, TOKENIZERS).select(
+        "doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("a_cuts").alias("n_groups"),
+        size("a_cuts").alias("n_links"), "n_best", "count_sum",
+        F.when(groups != "", F.sha2(groups, 256)).otherwise("").alias("groups_sha256"),
+    )
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
