@@ -111,6 +111,8 @@ def test_words_are_encoded_as_the_whole(tokenizers_, monkeypatch):
     encoder, g = Encoder(TOKENIZERS), random.Random(3)
     parts = ["word", " ", "  ", "\n", "é", "日", "1,000", " a", "'s", " ", "\t ", "x\x1c ", "ab", "\xa0", " \xa0 ", "\u2003", "\x85 "]
     values = ["".join(g.choices(parts, k=300)) for _ in range(150)]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789'éßüñ日本語\u0300\U0001f600.,;-_/#$ \n"
+    values += ["".join(g.choices(letters, k=400)) for _ in range(300)] + [f"{w}'s we'll {w.upper()} don'T" for w in ("aé", "x1")]
     a, b = tokenizers_
     whole = [a.encode(" " + v).ids for v in values], b.encode(values)
     assert encoder.cuts
