@@ -218,7 +218,7 @@ def _lanes(texts: list[str], ends_a: np.ndarray, ends_b: np.ndarray, counts: tup
 
 
 def align_batch(encoder: Encoder, texts: list[str]) -> dict[str, pa.Array]:
-    """Per text the ids of A and B, and how many of each there are up to each cut."""
+    """Per text the ids of A and B, how many of each there are up to each cut, and the links."""
     ids = encoder.encode(texts)
     counts = tuple(np.array([len(x) for x in own], dtype=np.int64) for own in ids)
     flat = [np.concatenate([*own, np.zeros(0, dtype=np.int32)]) for own in ids]
@@ -231,13 +231,16 @@ def align_batch(encoder: Encoder, texts: list[str]) -> dict[str, pa.Array]:
         text_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
         out[f"{name}_ids"] = _list(begin, values)
         out[f"{name}_cuts"] = _list(bounds, link + 1 - begin[text_of])
+    pairs = flat[0][links[0]].astype(np.int64) * len(encoder.bytes_b) + flat[1][links[1]]
+    out["links"] = _list(bounds, pairs, pa.int64())
     return out
 
 
-def _list(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
+def _list(bounds: np.ndarray, values: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind or pa.int32()))
 
 
+_COLUMNS = ("a_ids", "b_ids", "a_cuts", "b_cuts", "links")
 _encoders: dict[Vocabulary, Encoder] = {}
 
 
@@ -249,12 +252,12 @@ def _encoder(files: Vocabulary) -> Encoder:
 
 
 def align(docs: DataFrame, files: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document its id, ``a_ids``, ``b_ids``, ``a_cuts`` and ``b_cuts``.
+    """Per document its id, ``a_ids``, ``b_ids``, ``a_cuts``, ``b_cuts`` and ``links``.
 
     A encodes a space and the text, B the text, to which it adds the space; special tokens' strings are
     plain text. Cut k lies behind the first ``a_cuts[k]`` tokens of A and ``b_cuts[k]`` of B: there, and
     nowhere else, both end a token. The tokens between two cuts are a group, the last of A and B in it a
-    link. Null and empty texts, and texts that a tokenizer doesn't give back byte by byte, have no
+    link, given as the id of A times the size of B's vocabulary plus the id of B. Null and empty texts, and texts that a tokenizer doesn't give back byte by byte, have no
     tokens. Repeated rows get equal results, an empty table gives no rows, other columns aren't looked at.
 
     Tokenizers' files must lie at the same path on every executor. A batch is half a megabyte of
@@ -268,13 +271,12 @@ def align(docs: DataFrame, files: Vocabulary, doc_id: str = "doc_id", text: str
             for part in slices(batch, "text", BATCH_BYTES):
                 found = align_batch(encoder, [t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), *[found[c] for c in ("a_ids", "b_ids", "a_cuts", "b_cuts")]],
-                    [doc_id, "a_ids", "b_ids", "a_cuts", "b_cuts"],
+                    [part.column("id"), *[found[c] for c in _COLUMNS]], [doc_id, *_COLUMNS]
                 )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        encode, f"`{doc_id}` {kind}, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
+        encode, f"`{doc_id}` {kind}, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>, links array<long>"
     )
 
 
@@ -289,17 +291,14 @@ def groups_text() -> Column:
     return F.when(F.size("a_cuts") > 0, F.array_join(groups, ";")).otherwise("")
 
 
-def _linked(batch: pa.RecordBatch, n_b: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per link of a batch its row and its pair."""
-    flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    per_row = lambda c: np.diff(batch.column(c).offsets.to_numpy()).astype(np.int64)
-    links = per_row("a_cuts")
-    row = np.repeat(np.arange(batch.num_rows), links)
-    last = []
-    for name in "ab":
-        begins = np.cumsum(per_row(f"{name}_ids")) - per_row(f"{name}_ids")
-        last.append(flat(f"{name}_ids")[begins[row] + flat(f"{name}_cuts") - 1])
-    return row, last[0] * n_b + last[1]
+def _parts(links: pa.Array, size: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows in parts of about so many links: where each row's begin (and the last one's end), and the links."""
+    offsets, values = links.offsets.to_numpy(), links.values.to_numpy(zero_copy_only=False)
+    row = 0
+    while row < len(links):
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
+        yield offsets[row : end + 1] - offsets[row], values[offsets[row] : offsets[end]]
+        row = end
 
 
 def pair_counts(spark: SparkSession, aligned: DataFrame, files: Vocabulary) -> DataFrame:
@@ -315,13 +314,13 @@ def pair_counts(spark: SparkSession, aligned: DataFrame, files: Vocabulary) -> D
         pairs = possible.value
         totals = np.zeros(len(pairs), dtype=np.int64)
         for batch in batches:
-            _, linked = _linked(batch, n_b)
-            found, n = np.unique(linked, return_counts=True)
-            totals[_places(pairs, found)] += n
+            for _, links in _parts(batch.column("links")):
+                found, n = np.unique(links, return_counts=True)
+                totals[_places(pairs, found)] += n
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[some]), pa.array(totals[some])], ["pair", "n"])
 
-    counted = aligned.select("a_ids", "b_ids", "a_cuts", "b_cuts").mapInArrow(count, "pair long, n long")
+    counted = aligned.select("links").mapInArrow(count, "pair long, n long")
     return counted.groupBy("pair").agg(F.sum("n").alias("n")).select(
         F.floor(F.col("pair") / n_b).cast("int").alias("a_id"), (F.col("pair") % n_b).cast("int").alias("b_id"), "n"
     )
@@ -334,9 +333,9 @@ def _places(pairs: np.ndarray, found: np.ndarray) -> np.ndarray:
     return at
 
 
-def link_scores(spark: SparkSession, aligned: DataFrame, counts: DataFrame, files: Vocabulary, doc_id: str = "doc_id") -> DataFrame:
-    """The aligned rows' ids with ``n_best``, the links whose pair is the most frequent of its token of
-    B (ties included), and ``count_sum``, the sum of the pairs' counts over all links.
+def link_scores(spark: SparkSession, counts: DataFrame, files: Vocabulary, links: Column) -> Column:
+    """Column: struct of ``n_best``, the links whose pair is the most frequent of its token of B (ties
+    included), and ``count_sum``, the sum of the pairs' counts over all links.
 
     The counts come to the driver and go to every task as arrays: they are at most as many as the
     possible pairs, some hundred thousand for these vocabularies, whatever the corpus.
@@ -350,20 +349,17 @@ def link_scores(spark: SparkSession, aligned: DataFrame, counts: DataFrame, file
     np.maximum.at(most, pairs % n_b, totals)
     shared = spark.sparkContext.broadcast((pairs, totals, totals == most[pairs % n_b]))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<n_best:long,count_sum:long>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pairs, totals, best = shared.value
-        for batch in batches:
-            row, linked = _linked(batch, n_b)
-            found, back = np.unique(linked, return_inverse=True)
-            at = _places(pairs, found)[back]
-            sums = np.concatenate([[0], np.cumsum(totals[at])])
-            hits = np.concatenate([[0], np.cumsum(best[at])])
-            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.diff(hits[bounds]), pa.int64()), pa.array(np.diff(sums[bounds]), pa.int64())],
-                [*batch.schema.names, "n_best", "count_sum"],
-            )
-
-    columns = [doc_id, "a_ids", "b_ids", "a_cuts", "b_cuts"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in aligned.select(*columns).schema)
-    return aligned.select(*columns).mapInArrow(score, f"{kinds}, n_best long, count_sum long")
+        for links in batches:
+            out: tuple[list, list] = ([], [])
+            for bounds, linked in _parts(links):
+                found, back = np.unique(linked, return_inverse=True)
+                at = _places(pairs, found)[back]
+                for values, column in zip((best, totals), out, strict=True):
+                    column.append(np.diff(np.concatenate([[0], np.cumsum(values[at])])[bounds]))
+            columns = [pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in out]
+            yield pa.StructArray.from_arrays(columns, ["n_best", "count_sum"])
+
+    return score(links)

@@ -185,14 +185,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    aligned = stored(spark, crosstoken.align(docs, TOKENIZERS), "aligned")
-    counts = crosstoken.pair_counts(spark, aligned, TOKENIZERS)
     size = lambda c: F.size(c).cast("long")
-    groups = crosstoken.groups_text()
-    return crosstoken.link_scores(spark, aligned, counts, TOKENIZERS).select(
+    aligned = crosstoken.align(docs, TOKENIZERS).withColumn("groups", crosstoken.groups_text())
+    rows = stored(spark, aligned.select(
         "doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("a_cuts").alias("n_groups"),
-        size("a_cuts").alias("n_links"), "n_best", "count_sum",
-        F.when(groups != "", F.sha2(groups, 256)).otherwise("").alias("groups_sha256"),
+        size("links").alias("n_links"), "links",
+        F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+    ), "aligned")
+    counts = crosstoken.pair_counts(spark, rows, TOKENIZERS)
+    scores = crosstoken.link_scores(spark, counts, TOKENIZERS, F.col("links"))
+    return rows.withColumn("scores", scores).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "scores.n_best", "scores.count_sum", "groups_sha256"
     )
 
 
