@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -82,6 +82,10 @@ class Encoder:
         self.sizes_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         # A piece with a space behind another character would reach over a cut.
+        # Each id as text with the sign behind it: within a group, at the end of A's part, and of B's.
+        self.signs = [
+            f"{i}{sign}" for tokens, signs in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for sign in signs for i in range(len(tokens))
+        ]
         self.known: dict[str, tuple | None] = {}
         self.cuts = not any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in range(len(self.bytes_b)))
 
@@ -233,14 +237,34 @@ def align_batch(encoder: Encoder, texts: list[str]) -> dict[str, pa.Array]:
         out[f"{name}_cuts"] = _list(bounds, link + 1 - begin[text_of])
     pairs = flat[0][links[0]].astype(np.int64) * len(encoder.bytes_b) + flat[1][links[1]]
     out["links"] = _list(bounds, pairs, pa.int64())
+    for name, own in zip("ab", counts, strict=True):
+        out[f"n_{name}"] = pa.array(own, pa.int64())
+    out["groups"] = pa.array(_groups(encoder, flat, begins, links), pa.string())
     return out
 
 
+def _groups(encoder: Encoder, flat: list[np.ndarray], begins: list[np.ndarray], links: tuple[np.ndarray, np.ndarray]) -> list[str]:
+    """Per text its groups as text. Every token goes to its place among those of both sides, with the
+    sign that follows it there, and a text is one run of these."""
+    sizes = [np.diff(link, prepend=-1) for link in links]
+    before = [np.cumsum(sizes[1]) - sizes[1], np.cumsum(sizes[0])]
+    merged = np.zeros(len(flat[0]) + len(flat[1]), dtype=np.int64)
+    shift = 0
+    for own, link, size, others, n in zip(flat, links, sizes, before, map(len, (encoder.bytes_a, encoder.bytes_b)), strict=True):
+        entry = own.astype(np.int64) + shift
+        entry[link] += n  # the last of its group
+        merged[np.arange(len(own)) + np.repeat(others, size)] = entry
+        shift += 2 * n
+    signs, bounds = encoder.signs.__getitem__, (begins[0] + begins[1]).tolist()
+    return ["".join(map(signs, merged[a:b].tolist()))[:-1] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def _list(bounds: np.ndarray, values: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind or pa.int32()))
 
 
-_COLUMNS = ("a_ids", "b_ids", "a_cuts", "b_cuts", "links")
+_OUTPUTS = {"n_a": "long", "n_b": "long", **dict.fromkeys(("a_ids", "b_ids", "a_cuts", "b_cuts"), "array<int>"),
+            "links": "array<long>", "groups": "string"}
 _encoders: dict[Vocabulary, Encoder] = {}
 
 
@@ -251,8 +275,11 @@ def _encoder(files: Vocabulary) -> Encoder:
     return _encoders[files]
 
 
-def align(docs: DataFrame, files: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document its id, ``a_ids``, ``b_ids``, ``a_cuts``, ``b_cuts`` and ``links``.
+def align(
+    docs: DataFrame, files: Vocabulary, doc_id: str = "doc_id", text: str = "text", outputs: Iterable[str] = tuple(_OUTPUTS)
+) -> DataFrame:
+    """Per document its id and the ``outputs``, of ``n_a``, ``n_b``, ``a_ids``, ``b_ids``, ``a_cuts``, ``b_cuts``,
+    ``links`` and ``groups``, the groups' ids as text, A before B: ``1,2|3;4|5``.
 
     A encodes a space and the text, B the text, to which it adds the space; special tokens' strings are
     plain text. Cut k lies behind the first ``a_cuts[k]`` tokens of A and ``b_cuts[k]`` of B: there, and
@@ -265,32 +292,23 @@ def align(docs: DataFrame, files: Vocabulary, doc_id: str = "doc_id", text: str
     a space is encoded whole (a few hundred bytes a byte in the tokenizers), and the ids and offsets of
     one text, about 50 bytes a token, are held at once.
     """
+    outputs = list(outputs)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(files)
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 found = align_batch(encoder, [t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), *[found[c] for c in _COLUMNS]], [doc_id, *_COLUMNS]
+                    [part.column("id"), *[found[c] for c in outputs]], [doc_id, *outputs]
                 )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        encode, f"`{doc_id}` {kind}, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>, links array<long>"
+        encode, ", ".join([f"`{doc_id}` {kind}", *[f"{c} {_OUTPUTS[c]}" for c in outputs]])
     )
 
 
-def groups_text() -> Column:
-    """Column over aligned rows: the groups' ids, A before B, as ``1,2|3;4|5``."""
-    def side(ids: str, cuts: str, k: Column) -> Column:
-        begin = F.when(k > 0, F.element_at(cuts, k)).otherwise(0)
-        return F.array_join(F.slice(ids, begin + 1, F.element_at(cuts, k + 1) - begin), ",")
-
-    places = F.sequence(F.lit(0), F.size("a_cuts") - 1)
-    groups = F.transform(places, lambda k: F.concat(side("a_ids", "a_cuts", k), F.lit("|"), side("b_ids", "b_cuts", k)))
-    return F.when(F.size("a_cuts") > 0, F.array_join(groups, ";")).otherwise("")
-
-
 def _parts(links: pa.Array, size: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows in parts of about so many links: where each row's begin (and the last one's end), and the links."""
     offsets, values = links.offsets.to_numpy(), links.values.to_numpy(zero_copy_only=False)

@@ -186,10 +186,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = lambda c: F.size(c).cast("long")
-    aligned = crosstoken.align(docs, TOKENIZERS).withColumn("groups", crosstoken.groups_text())
+    aligned = crosstoken.align(docs, TOKENIZERS, outputs=["n_a", "n_b", "links", "groups"])
     rows = stored(spark, aligned.select(
-        "doc_id", size("a_ids").alias("n_a"), size("b_ids").alias("n_b"), size("a_cuts").alias("n_groups"),
-        size("links").alias("n_links"), "links",
+        "doc_id", "n_a", "n_b", size("links").alias("n_groups"), size("links").alias("n_links"), "links",
         F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
     ), "aligned")
     counts = crosstoken.pair_counts(spark, rows, TOKENIZERS)
