@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableflow.catalog.registry import (
-    ARRIVING, EARLY_AND_LATE, LINE_KEY, LINE_ORDER, STORED, arriving_lines, early_orders,
-    late_orders, newest_lines, query, stored_lines, table,
+    ARRIVING, EARLY, EARLY_AND_LATE, LATE, LINE_KEY, LINE_ORDER, STORED, arriving_lines, early_orders,
+    late_orders, matching, newest_lines, query, stored_lines, table,
 )
 from tableflow.functions.collapse import first_non_null, first_non_null_sql
 from tableflow.operators.latest import latest_per_key
@@ -358,3 +358,62 @@ def first_non_null_as_sql(spark, sf_dir):
             ("l_shipdate", "l_partkey"),
         )
     )
+
+
+# Orders as JSON-like records: what is stored, and a batch whose struct has its fields in another order,
+# one less and one more, whose type for the price is narrower, and whose key is in upper case.
+_NESTED_SQL = f"""
+    with stored as (select * from orders where {EARLY}), batch as (select * from orders where {LATE})
+    select coalesce(s.o_orderkey, b.o_orderkey) as o_orderkey,
+           case when b.o_orderkey is null then s.o_custkey else {{custkey}} end as custkey,
+           case when b.o_orderkey is null then s.o_totalprice else floor(b.o_totalprice) end as price,
+           case when b.o_orderkey is not null then b.o_orderpriority end as priority,
+           case when b.o_orderkey is null then s.o_orderstatus else b.o_orderpriority end as first_value,
+           cast(case when b.o_orderkey is null then 1 else 2 end as integer) as n_values,
+           case when b.o_orderkey is not null then 'late' end as first_note
+    from stored s full join batch b on s.o_orderkey = b.o_orderkey
+"""
+
+
+def _nested_tables(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    entry = lambda value, **more: F.struct(*[c.alias(n) for n, c in more.items()], value.alias("value"))
+    stored = matching(orders, EARLY).select(
+        "o_orderkey", F.struct(F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("price")).alias("details"),
+        F.array(entry(F.col("o_orderstatus"))).alias("log"),
+    )
+    batch = matching(orders, LATE).select(
+        F.col("o_orderkey").alias("O_ORDERKEY"),
+        F.struct(F.col("o_orderpriority").alias("priority"), F.floor("o_totalprice").alias("PRICE")).alias("details"),
+        F.array(
+            entry(F.col("o_orderpriority"), note=F.lit("late")), entry(F.lit("end"), note=F.lit(None).cast("string"))
+        ).alias("log"),
+    )
+    return stored, batch
+
+
+def _nested_columns(df):
+    return df.select(
+        "o_orderkey", "details.custkey", "details.price", "details.priority",
+        F.col("log")[0]["value"].alias("first_value"), F.size("log").alias("n_values"), F.col("log")[0]["note"].alias("first_note"),
+    )
+
+
+@query(_NESTED_SQL.format(custkey="s.o_custkey"))
+def merge_nested_columns(spark, sf_dir):
+    """Structs and arrays of structs by name: fields that the batch lacks keep their stored value."""
+    stored, batch = _nested_tables(spark, sf_dir)
+    path = scratch_dir(spark, "merge_nested_columns")
+    merge_into(spark, stored, path, "o_orderkey")
+    merge_into(spark, batch, path, "o_orderkey")
+    return _nested_columns(stored_table(spark, "parquet", path, stored.schema))
+
+
+@query(_NESTED_SQL.format(custkey="null"))
+def upsert_nested_columns(spark, sf_dir):
+    """The same as an upsert, where the new row takes the place of the stored one."""
+    stored, batch = _nested_tables(spark, sf_dir)
+    path = scratch_dir(spark, "upsert_nested_columns")
+    upsert_into(spark, stored, path, "o_orderkey")
+    upsert_into(spark, batch, path, "o_orderkey")
+    return _nested_columns(stored_table(spark, "parquet", path, stored.schema))

@@ -8,9 +8,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tableflow.functions.columns import all_quoted, quoted
+from tableflow.operators.evolution import evolved, fitted, in_schema, named_like, overlaid, spelled
 from tableflow.operators.latest import latest_per_key
 from tableflow.specs import as_names
 
@@ -76,14 +77,6 @@ def _no_rows_or_fail(updates: DataFrame, hits: DataFrame, key: tuple[str, ...])
     return claims.where(F.col("__claims") != allowed)
 
 
-def _assign(name: str, value: Column, source: StructType, stored: StructType) -> Column:
-    """A value of the batch in the type the table has for the column, if it has one."""
-    known = name in stored.names
-    if known and source[name].dataType != stored[name].dataType:
-        value = value.cast(stored[name].dataType)
-    return value
-
-
 def deduplicated(
     updates: DataFrame, key: tuple[str, ...], on_duplicate: str, order: str | Iterable[str]
 ) -> DataFrame:
@@ -95,16 +88,7 @@ def deduplicated(
 
 def as_inserted(updates: DataFrame, stored: StructType) -> DataFrame:
     """Rows of a batch as they are inserted: the table's columns and types, then new columns."""
-    source = updates.schema
-    columns = stored.names + [c for c in source.names if c not in stored.names]
-    return updates.select(
-        *[
-            _assign(c, quoted(c), source, stored).alias(c)
-            if c in source.names
-            else F.lit(None).cast(stored[c].dataType).alias(c)
-            for c in columns
-        ]
-    )
+    return in_schema(updates, evolved(stored, updates.schema))
 
 
 def merge(
@@ -120,11 +104,13 @@ def merge(
     * Several incoming rows for one stored row are ambiguous; the job fails when that happens,
       unless ``on_duplicate="latest"`` picks the newest by ``order`` first. Rows that match nothing
       are all inserted.
-    * Columns the updates lack keep their stored value; columns the table lacks are added, null
-      on rows the batch does not touch.
+    * Columns and struct fields are matched by name, as the session tells names apart. Those the
+      updates lack keep their stored value; those the table lacks are added, null on rows the
+      batch does not touch. Arrays and maps are replaced as a whole.
     """
-    key = as_names(key)
-    updates = deduplicated(updates, key, on_duplicate, order)
+    key = spelled(as_names(key), target.schema)
+    updates = named_like(updates, target.schema)
+    updates = deduplicated(updates, key, on_duplicate, spelled(as_names(order), updates.schema))
     hits = stored_matches(target, updates, key)
     return merged(target, updates, hits, key, unique=on_duplicate != "error")
 
@@ -141,13 +127,17 @@ def merged(
     )
     joined = target.join(incoming, _equal(key, "__upd_"), "left")
 
-    def after_update(name: str) -> Column:
-        if name not in source.names:
-            return quoted(name)
-        new = _assign(name, F.col("__new").getField(name), source, stored)
+    def after_update(field: StructField) -> Column:
+        name, kind = field.name, field.dataType
         if name not in stored.names:
-            return new.alias(name)
-        return F.when(F.col("__new").isNotNull(), new).otherwise(quoted(name)).alias(name)
+            return F.col("__new").getField(name).alias(name)
+        before = fitted(quoted(name), stored[name].dataType, kind)
+        if name not in source.names:
+            return before.alias(name)
+        new = overlaid(
+            F.col("__new").getField(name), quoted(name), source[name].dataType, stored[name].dataType, kind
+        )
+        return F.when(F.col("__new").isNotNull(), new).otherwise(before).alias(name)
 
     # Only stored keys the batch mentions can prevent an insert, so the other side of this
     # anti-join is never larger than the batch.
@@ -155,7 +145,7 @@ def merged(
         hits.select(*_prefixed(hits, key, "__old_")), _equal(key, "__old_"), "left_anti"
     )
     inserted = as_inserted(unmatched, stored)
-    result = joined.select(*[after_update(c) for c in inserted.columns]).unionByName(inserted)
+    result = joined.select(*[after_update(f) for f in evolved(stored, source).fields]).unionByName(inserted)
     if not unique:
         clash = _no_rows_or_fail(updates, hits, key)
         result = result.unionByName(

@@ -8,9 +8,9 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tableflow.functions.columns import is_orderable, quoted
+from tableflow.functions.columns import quoted
+from tableflow.operators.evolution import evolved, in_schema, in_stored_types, spelled
 from tableflow.operators.latest import latest_per_key
 from tableflow.specs import as_names
 
@@ -28,23 +28,6 @@ def with_required_key(df: DataFrame, key: Iterable[str]) -> DataFrame:
     )
 
 
-def in_stored_types(updates: DataFrame, stored: StructType) -> DataFrame:
-    """The batch with the types the table has for its columns. A value that the table's type can't
-    hold fails the job, so that no file of another type comes to lie beside the stored ones."""
-    changed = {}
-    for field in stored.fields:
-        if field.name not in updates.columns or updates.schema[field.name].dataType == field.dataType:
-            continue
-        value, kind = quoted(field.name), updates.schema[field.name].dataType
-        cast = value.try_cast(field.dataType)
-        lost = value.isNotNull() & (cast.isNull() | ~cast.try_cast(kind).eqNullSafe(value))
-        if not (is_orderable(kind) and is_orderable(field.dataType)):  # maps: only what casts at all
-            lost = value.isNotNull() & cast.isNull()
-        message = f"a value of '{field.name}' doesn't fit the table's type {field.dataType.simpleString()}"
-        changed[field.name] = F.when(lost, F.raise_error(F.lit(message)).cast(field.dataType)).otherwise(cast)
-    return updates.withColumns(changed) if changed else updates
-
-
 def upsert(
     target: DataFrame | None,
     updates: DataFrame,
@@ -56,19 +39,22 @@ def upsert(
     """The table after the upsert. A record is identified by its key *and* partition.
 
     The incoming row wins over the stored one; with ``compare_with_stored`` it wins only if its
-    order is not smaller. Columns one side lacks are null there; columns both have keep the table's
-    type, and a value it can't hold fails the job.
+    order is not smaller. Columns and struct fields are matched by name. Those one side lacks are null
+    there; those both have keep the table's type, and a value it can't hold fails the job.
     """
-    key, order, parts = as_names(key), as_names(order), as_names(partition_by)
-    identity = key + tuple(p for p in parts if p not in key)
-    updates = with_required_key(updates, key)
+    like = target.schema if target is not None else updates.schema
+    key, order, parts = (spelled(as_names(n), like) for n in (key, order, partition_by))
     if target is not None:
         updates = in_stored_types(updates, target.schema)
+        schema = evolved(target.schema, updates.schema)
+        target, updates = in_schema(target, schema), in_schema(updates, schema)
+    identity = key + tuple(p for p in parts if p not in key)
+    updates = with_required_key(updates, key)
     if target is None:
         return latest_per_key(updates, identity, order)
     if compare_with_stored:
         both = target.withColumn("__incoming", F.lit(0)).unionByName(
-            updates.withColumn("__incoming", F.lit(1)), allowMissingColumns=True
+            updates.withColumn("__incoming", F.lit(1))
         )
         return latest_per_key(both, identity, (*order, "__incoming")).drop("__incoming")
     incoming = latest_per_key(updates, identity, order)
@@ -82,4 +68,4 @@ def upsert(
         ],
     )
     kept = target.join(replaced, same, "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    return kept.unionByName(incoming)

@@ -17,7 +17,8 @@ from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from tableflow.functions.columns import all_quoted, is_orderable, quoted
 from tableflow.operators.merge import as_inserted, deduplicated, merged, stored_matches
-from tableflow.operators.upsert import in_stored_types, upsert
+from tableflow.operators.evolution import evolved, in_stored_types, named_like, spelled
+from tableflow.operators.upsert import upsert
 from tableflow.session import stored_once
 from tableflow.sinks.files import clustered, overwrite_partitions
 from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_options, native_format
@@ -25,7 +26,7 @@ from tableflow.sources.storage import (
     delete_folders, exists, partition_folder, replace_snapshot, restore_interrupted,
 )
 from tableflow.sources.tables import (
-    empty_table, evolved, read_folders, read_if_present, save_schema, saved_schema, table_schema,
+    empty_table, read_folders, read_if_present, save_schema, saved_schema, table_schema,
 )
 from tableflow.specs import as_names
 
@@ -107,8 +108,11 @@ def upsert_into(
         updates.write.format("hudi").options(**options).mode("append").save(path)
         return
     _check_owned(spark, path)
-    updates = as_stored(updates, parts)
     known = saved_schema(spark, path) or schema or table_schema(spark, path, updates.schema, parts)
+    if known is not None:
+        updates = named_like(updates, known)
+        key, order, parts = (spelled(names, known) for names in (key, order, parts))
+    updates = as_stored(updates, parts)
     if known is not None:
         updates = as_stored(in_stored_types(updates, known), parts)
     columns = evolved(known, updates.schema) if known is not None else updates.schema
@@ -165,8 +169,11 @@ def merge_into(
         _delta_merge(spark, batch, path, key, parts, schema)
         return
     _check_owned(spark, path)
-    updates = as_stored(updates, parts)
     known = table_schema(spark, path, schema or updates.schema, parts)
+    if known is not None:
+        updates = named_like(updates, known)
+        key, order, parts = (spelled(names, known) for names in (key, order, parts))
+    updates = as_stored(updates, parts)
     if known is None:
         like = schema or updates.schema
         first = as_stored(as_inserted(deduplicated(updates, key, on_duplicate, order), like), parts)

@@ -101,11 +101,6 @@ def table_schema(
     return StructType([StructField(f.name, t) for f, t in zip(found.fields, typed, strict=True)])
 
 
-def evolved(stored: StructType, batch: StructType) -> StructType:
-    """The table's columns and types, then those that a batch brings."""
-    return StructType([*stored.fields, *(f for f in batch.fields if f.name not in stored.names)])
-
-
 def read_folders(
     spark: SparkSession, path: str, schema: StructType, folders: Sequence[str] = ()
 ) -> DataFrame:
