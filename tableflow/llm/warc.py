@@ -232,7 +232,12 @@ def read_records(source: BinaryIO, path: str = "") -> Iterator[dict]:
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """The records of the manifest's files, read in sequence by one task a file."""
+    """The records of the manifest's files, each read in sequence by a task of its own.
+
+    A file that the manifest names several times is read once; a manifest without rows gives none. A
+    damaged record fails the job. Payloads are as they were written, the empty one too, and a record is
+    held whole while its digests are checked; others of its file aren't, beyond batches of 4 MB.
+    """
     schema = RECORD if payloads else RECORD.removesuffix(", payload binary")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,9 +258,9 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payload
                         yield _batch(held, payloads)
 
     files = manifest.select("path").distinct()
-    # A file is the unit of work: as many partitions as files, up to the cluster's parallelism.
-    n = max(1, min(manifest.count(), 4 * spark.sparkContext.defaultParallelism))
-    return files.repartition(n, "path").mapInArrow(read, schema)
+    # Ranges of as many distinct names as there are partitions hold one each. A given number of ranges
+    # is neither merged at run time nor satisfied by the shuffle of distinct().
+    return files.repartitionByRange(max(1, files.count()), "path").mapInArrow(read, schema)
 
 
 def _batch(rows: list[dict], payloads: bool) -> pa.RecordBatch:

@@ -89,3 +89,22 @@ def test_empty_table_and_clashing_columns(spark, tmp_path):
     assert sorted(map(repr, warc.page_records(other).collect())) == sorted(map(repr, warc.page_records(pages).collect()))
     manifest, records = archived(spark, tmp_path, PAGES[:0])
     assert manifest.count() == 0 and records.count() == 0
+
+
+@pytest.mark.parametrize("shuffle", ["2", "4", "16", "40"])
+def test_a_task_reads_one_file(spark, tmp_path, shuffle):
+    """Whatever the number of shuffle partitions, equal to that of files or not."""
+    rows = [(i, "u", f"{i}" * 700) for i in range(16)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16)
+    folder = str(tmp_path / "archive")
+    manifest = warc.write_archives(warc.page_records(pages), folder, file_bytes=1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    try:
+        found = warc.read_archives(spark, manifest.union(manifest), folder)
+        tasks = found.select("path", F.spark_partition_id().alias("task")).distinct().collect()
+        assert found.count() == 16
+        assert len(tasks) == len({t.task for t in tasks}) == len({t.path for t in tasks}) == 16
+        assert warc.read_archives(spark, manifest.limit(0), folder).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
