@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from contextlib import nullcontext
 from functools import partial
@@ -14,17 +15,17 @@ from tableflow.functions.dates import with_execution_date, with_load_date
 from tableflow.operators.checks import all_true, data_received, files_present, prefixes_exact
 from tableflow.operators.sqljoin import join_tables
 from tableflow.session import stored_once
-from tableflow.sinks.files import write_files
+from tableflow.sinks.files import replace_files, write_files
 from tableflow.sinks.formats import hudi_options
 from tableflow.sinks.keyed import merge_into, upsert_into
-from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
+from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_names, landed_records
 from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.files import read_batch, read_stream
 from tableflow.sources.manifest import manifest
 from tableflow.sources.schemas import load_schema
-from tableflow.sources.storage import delete_folders, has_files, partition_folder
+from tableflow.sources.storage import has_files
 from tableflow.sources.tables import read_table, stored_table
-from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names
+from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, as_names, glob_pattern
 from tableflow.streaming.queries import (
     append_stream, archive_options, await_all, replace_stream, start_all, upsert_stream,
 )
@@ -337,42 +338,36 @@ def stream_landed(
         return {}
     parts = (*job.partition_by, "file_name")
 
-    def records(entity: EntitySpec, schema: StructType, names: DataFrame | None = None) -> DataFrame:
-        lines = landed_lines(spark, landing_path, job.ctx, stream=names is None)
-        if names is not None:
-            lines = lines.join(names, "file_name", "left_semi")
+    def records(entity: EntitySpec, schema: StructType, names: list[str] | None = None) -> DataFrame:
         parsed = landed_records(
-            lines, entity, schema, (headers or {}).get(entity.name), job.reader_options, with_name=True
+            landed_lines(spark, landing_path, job.ctx, names), entity, schema,
+            (headers or {}).get(entity.name), job.reader_options, with_name=True,
         )
         return with_load_date(parsed, job.ctx.execution_date)
 
     schemas = {e: load_schema(spark, job.schema_path, e.name) for e in job.entities}
     # All plans are made before the first stream starts, so that a bad one starts none.
-    streams = {e: records(e, schema) for e, schema in schemas.items()}
+    columns = {e: records(e, schema).schema for e, schema in schemas.items()}
+    streams = {e: landed_names(spark, landing_path, job.ctx, e) for e in job.entities}
     await_all(
         start_all(
             partial(
-                replace_stream, df, partial(records, e, schemas[e]), job.table_path(e), "file_name",
+                replace_stream, names, partial(records, e, schemas[e]), job.table_path(e), "file_name",
                 job.partition_by, job.trigger_interval_ms,
             )
-            for e, df in streams.items()
+            for e, names in streams.items()
         )
     )
-    if set(job.partition_by) <= _LOAD_DATE:
-        _drop_emptied(spark, job, files)
+    _drop_emptied(spark, job, files)
     return {
-        e.name: stored_table(
-            spark, job.output_format, job.table_path(e), df.schema, parts, evolving=False
-        )
-        for e, df in streams.items()
+        e.name: stored_table(spark, job.output_format, job.table_path(e), columns[e], parts, evolving=False)
+        for e in job.entities
     }
 
 
 def _drop_emptied(spark: SparkSession, job: LoadJob, files: DataFrame) -> None:
-    """Rows of files that have been landed again without a line: no stream tells of those."""
-    day = job.ctx.execution_date
-    dated = {"year": day.year, "month": day.month, "day": day.day}
-    for row in files.where("length = 0").toLocalIterator():
-        values = [*((p, str(dated[p])) for p in job.partition_by), ("file_name", row["name"])]
-        for entity in job.entities:
-            delete_folders(spark, [partition_folder(spark, job.table_path(entity), values)])
+    """Take out the rows of files that have been landed again without a byte: no stream tells of those."""
+    empty = [row["name"] for row in files.where("length = 0").collect()]
+    for entity in job.entities:
+        names = [n for n in empty if re.search(glob_pattern(entity.glob), n)]
+        replace_files(spark, None, names, job.table_path(entity), job.partition_by, "file_name")

@@ -83,15 +83,19 @@ def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
 
 
 def landed_lines(
-    spark: SparkSession, landing_path: str, ctx: JobContext, stream: bool = False
+    spark: SparkSession, landing_path: str, ctx: JobContext, names: Iterable[str] | None = None
 ) -> DataFrame:
-    """Landed lines of one job and date, and no folder of another day is listed."""
-    reader = spark.readStream if stream else spark.read
-    return (
-        reader.format("text")
-        .schema("value string, file_name string")
-        .load(_day_folder(landing_path, ctx))
-    )
+    """Landed lines of one job and date, or of some of its files; no other folder is listed."""
+    day = _day_folder(landing_path, ctx)
+    folders = [day] if names is None else [partition_folder(spark, day, [("file_name", n)]) for n in names]
+    reader = spark.read.format("text").schema("value string, file_name string").option("basePath", day)
+    return reader.load(folders)
+
+
+def landed_names(spark: SparkSession, landing_path: str, ctx: JobContext, entity: EntitySpec) -> DataFrame:
+    """Stream of the names of an entity's files that have been landed, or landed again, since the last time."""
+    day = spark.readStream.format("text").schema("value string, file_name string").load(_day_folder(landing_path, ctx))
+    return day.where(F.col("file_name").rlike(glob_pattern(entity.glob))).select("file_name")
 
 
 def landed_files(spark: SparkSession, landing_path: str, ctx: JobContext) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tableflow.sinks.files import overwrite_partitions
+from tableflow.sinks.files import replace_files
 from tableflow.sinks.keyed import upsert_into
 from tableflow.sources.files import storage_format
 from tableflow.specs import JobContext, as_names
@@ -99,8 +99,8 @@ def upsert_stream(
 
 
 def replace_stream(
-    df: DataFrame,
-    contents: Callable[[DataFrame], DataFrame],
+    names: DataFrame,
+    contents: Callable[[list[str]], DataFrame],
     table_path: str,
     name_column: str,
     partition_by: str | Iterable[str] = (),
@@ -108,17 +108,18 @@ def replace_stream(
 ) -> StreamingQuery:
     """Keep a table equal to files that may be delivered again under their names.
 
-    A micro-batch only tells which names have news: ``contents`` gives all current rows of these
-    names, and they replace the table's folders of the names. So a file that came in two parts, or a
-    second time with other lines, is in the table once, as it is now.
+    A micro-batch only tells which names have news, in the one column ``name_column``, whether or not a
+    row comes of them: ``contents`` gives all current rows of these names, and they are then all that
+    the table has of them. So a file that came in two parts, or a second time with other lines or with
+    none that count, is in the table once, as it is now.
     """
-    parts = (*as_names(partition_by), name_column)
-
     def replace(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(contents(batch.select(name_column).distinct()), table_path, parts)
+        found = [row[0] for row in batch.select(name_column).distinct().collect()]
+        if found:
+            replace_files(batch.sparkSession, contents(found), found, table_path, partition_by, name_column)
 
     return (
-        df.writeStream.outputMode("append")
+        names.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint_of(table_path))
         .trigger(**trigger_of(interval_ms))
         .foreachBatch(replace)

@@ -1,5 +1,6 @@
 import dataclasses
 import datetime as dt
+import itertools
 import os
 import threading
 import time
@@ -16,6 +17,7 @@ from tableflow.plans.jobs import (
     load_files, stream_files, stream_globs, stream_then_check,
 )
 from tableflow.operators.checks import all_true
+from tableflow.sinks.landing import land_lines, landed_lines
 from tableflow.specs import EntitySpec, JobContext, LoadJob, TableSpec, entity_glob
 from tableflow.streaming.queries import (
     append_stream, archive_options, await_all, start_all, trigger_of, upsert_stream,
@@ -338,3 +340,37 @@ def test_a_file_landed_again_replaces_its_rows(spark, delivery, ctx):
     ]
     assert run("", base + 20).count() == 0
     assert run("itemId,name,price\n7,z,1\n", base + 30).count() == 1
+
+
+def test_a_file_landed_again_leaves_no_old_rows(spark, delivery, ctx):
+    """Only a header, blank lines, no byte, or rows of other partitions than before."""
+    entity = EntitySpec("items", "items_*.csv", "itemId")
+    job = load_job(delivery, ctx, reader_options={}, partition_by=("name", "day"), entities=(entity,))
+    incoming = Path(ctx.dated_dir(str(delivery / "in")))
+    landing, header, clock = str(delivery / "landing"), "itemId,name,price\n", itertools.count(2_000_000_000, 10)
+    (incoming / "items_2021-06-21[2].csv").write_text(header + "9,a,1\n10,z,1\n")
+
+    def run(text):
+        file = incoming / "items_2021-06-21.csv"
+        file.write_text(text)
+        at = next(clock)
+        os.utime(file, (at, at))
+        table = land_check_stream(spark, str(incoming), landing, job, {"items": header.strip()})["items"]
+        return rows(table, "itemId", "name")
+
+    other = [(9, "a"), (10, "z")]
+    assert run(header + "1,a,1\n2,b,2\n3,b,2\n") == [(1, "a"), (2, "b"), (3, "b"), *other]
+    assert run(header + "2,b,2\n4,c,2\n") == [(2, "b"), (4, "c"), *other]
+    assert run(header) == other
+    assert run(header + "5,d,2\n") == [(5, "d"), *other]
+    assert run("\n \n") == other
+    assert run(header + "6,a,2\n") == sorted([(6, "a"), *other])
+    assert run("") == other
+    assert run(header + "7,a,2\n") == sorted([(7, "a"), *other])
+
+
+def test_news_read_the_folders_of_their_files_alone(spark, tmp_path, ctx):
+    lines = spark.createDataFrame([("x", f"a_{i}.csv") for i in range(5)], "value string, file_name string")
+    land_lines(lines, str(tmp_path), ctx)
+    plan = landed_lines(spark, str(tmp_path), ctx, ["a_3.csv"])
+    assert rows(plan) == [("x", "a_3.csv")] and len(plan.inputFiles()) == 1
