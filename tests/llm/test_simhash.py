@@ -146,3 +146,49 @@ def test_query_equals_brute_force_on_the_small_tables(spark):
     prints, ids = brute_force([r.text for r in rows], 3), [r.doc_id for r in rows]
     least = grouped(prints, ids)
     assert found == {i: (f"{p:016x}", least[i]) for i, p in zip(ids, prints, strict=True)}
+
+
+def template_family(members, pairs, seed):
+    """Texts with about 0.66 of their shingles from one template, and among them pairs of similarity 0.8 to
+    0.9; returns the texts and the places of the pairs."""
+    import random
+
+    g = random.Random(seed)
+    word = lambda: f"w{g.randrange(10**9)}"
+    head = [word() for _ in range(84)]
+    out = [" ".join(head + [word() for _ in range(20)]) for _ in range(members)]
+    planted = []
+    for k in range(pairs):
+        at = g.randrange(members)
+        words = out[at].split()
+        # A run of changed words takes its length and four more of the shingles.
+        run = g.choice([1, 2, 3, 4, 5, 6])
+        words[-run - 4 : -4] = [word() for _ in range(run)]
+        planted.append((at, len(out)))
+        out.append(" ".join(words))
+    return out, planted
+
+
+def test_pairs_among_many_texts_of_one_template(spark):
+    values, planted = template_family(2500, 60, 3)
+    sets = [shingles(v) for v in values]
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in planted}
+    assert max(len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(2000)) < 0.8
+    found = {r.id: r.component_id for r in similar_documents(table(spark, values)).collect()}
+    expected = {pair for pair, j in alike.items() if j >= 0.8}
+    assert len(expected) > 40 and min(alike[p] for p in expected) < 0.84
+    assert {p for p in planted if found[p[0]] == found[p[1]]} == expected
+    copies = len({i for i, _ in expected})
+    assert len(set(found.values())) >= len(values) - len(expected) and copies
+
+
+def test_the_smallest_member_joins_texts_with_a_template_alone_in_common(spark):
+    """No shingle is shared but the template's; each text is similar to the shortest, few to each other."""
+    import random
+
+    g = random.Random(8)
+    word = lambda: f"v{g.randrange(10**9)}"
+    head = [word() for _ in range(84)]
+    values = [" ".join(head + [word() for _ in range(g.randint(8, 19))]) for _ in range(300)] + [" ".join(head)]
+    found = {r.id: r.component_id for r in similar_documents(table(spark, values)).collect()}
+    assert set(found.values()) == {0} == set(similar_groups(values, list(range(len(values)))).values())
