@@ -19,7 +19,7 @@ from tableflow.llm.text import slices
 BATCH_BYTES = 1 << 19
 LANE = 2048
 PIECE = 1 << 19
-KNOWN = 250_000
+KNOWN = 120_000
 SPACE = "▁"
 # Fixed value: how byte-level BPE of this kind splits texts before it merges.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
