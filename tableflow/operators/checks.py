@@ -60,24 +60,31 @@ def all_true(checks: DataFrame, column: str, name: str) -> DataFrame:
     return checks.agg(F.coalesce(F.bool_and(column), F.lit(False)).alias(name))
 
 
-def files_present(spark: SparkSession, files: DataFrame, prefixes: Iterable[str]) -> DataFrame:
+def files_present(
+    spark: SparkSession, files: DataFrame, prefixes: Iterable[str] | DataFrame
+) -> DataFrame:
     """Files per expected name prefix: ``(prefix, files, present)``.
 
-    A name may begin with several prefixes and then counts for each. The prefixes are a literal
-    of the query, so every name is tested where it is read and no join of pairs is needed.
+    A name may begin with several prefixes and then counts for each. Prefixes are given as a list or as
+    a column ``prefix``. Of each name only the beginnings of the lengths that prefixes have are
+    looked up, by an equi-join, so the cost is names times lengths, whatever the number of prefixes;
+    those that are none are dropped before anything is counted.
     """
-    prefixes = list(dict.fromkeys(prefixes))
-    if not prefixes:
+    if isinstance(prefixes, DataFrame):
+        wanted = prefixes.select("prefix").where("prefix is not null").distinct()
+        lengths = sorted(r[0] for r in wanted.select(F.length("prefix")).distinct().collect())
+    else:
+        listed = list(dict.fromkeys(prefixes))
+        wanted, lengths = names_table(spark, "prefix", listed), sorted({len(p) for p in listed})
+    if not lengths:
         return empty_table(spark, "prefix string, files bigint, present boolean")
-    literal = F.array(*[F.lit(p) for p in prefixes])
-    found = (
-        files.select(
-            F.explode(F.filter(literal, lambda p: F.col("name").startswith(p))).alias("prefix")
-        )
-        .groupBy("prefix")
-        .agg(F.count(F.lit(1)).alias("files"))
+    fitting = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("name"))
+    beginnings = files.select("name", F.explode(fitting).alias("n")).select(
+        F.col("name").substr(F.lit(1), F.col("n")).alias("prefix")
+    )
+    found = beginnings.join(wanted, "prefix", "left_semi").groupBy("prefix").agg(
+        F.count(F.lit(1)).alias("files")
     )
-    wanted = names_table(spark, "prefix", prefixes)
     files_found = F.coalesce("files", F.lit(0))
     return wanted.join(found, "prefix", "left").select(
         "prefix", files_found.alias("files"), (files_found > 0).alias("present")

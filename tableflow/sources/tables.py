@@ -54,8 +54,9 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> Da
 
 
 def names_table(spark: SparkSession, column: str, names: Iterable[str]) -> DataFrame:
-    """A short list of names given by the caller as one column, of a size the planner knows."""
-    literal = F.array(*[F.lit(n) for n in dict.fromkeys(names)]).cast("array<string>")
+    """A list of names given by the caller as one column, of a size the planner knows."""
+    # One literal, however many names, which the planner folds into an array.
+    literal = F.from_json(F.lit(json.dumps([*dict.fromkeys(names)])), "array<string>")
     return spark.range(0, 1, 1, 1).select(F.explode(literal).alias(column))
 
 

@@ -205,6 +205,21 @@ def test_files_present(spark):
     assert "NestedLoop" not in plan_of(check) and "Cartesian" not in plan_of(check)
 
 
+def test_files_present_of_many_prefixes(spark):
+    """100,000 prefixes of a few lengths: a lookup, not a test of every name against each."""
+    prefixes = [f"e{i:05d}_" for i in range(100_000)] + ["e", "", "é", 'q"\\', "\U0001f600"]
+    files = spark.range(2000).selectExpr("format_string('e%05d_%d.csv', id * 7, id) as name").unionByName(
+        literal_table(spark, [("é.csv",), ('q"\\x',), ("\U0001f600.csv",), (None,), ("",)], "name string")
+    )
+    check = files_present(spark, files, prefixes)
+    found = {r.prefix: r.files for r in check.where("present").collect()}
+    expected = {f"e{i * 7:05d}_": 1 for i in range(2000)} | {"e": 2000, "": 2004, "é": 1, 'q"\\': 1, "\U0001f600": 1}
+    assert found == expected and check.count() == len(prefixes)
+    assert "NestedLoop" not in plan_of(check) and "Cartesian" not in plan_of(check)
+    table = literal_table(spark, [(p,) for p in prefixes[-900:]] + [(None,), ("e",)], "prefix string")
+    assert rows(files_present(spark, files, table)) == rows(files_present(spark, files, prefixes[-900:]))
+
+
 def test_prefixes_exact(spark):
     files = literal_table(spark, [("orders_1.csv",), ("extra_1.csv",)], "name string")
     assert rows(prefixes_exact(spark, files, ["orders", "items"])) == [
