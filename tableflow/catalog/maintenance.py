@@ -216,6 +216,27 @@ def merge_into_many_partitions(spark, sf_dir):
     return stored_table(spark, "parquet", path, early.schema, ("order_month",), evolving=False)
 
 
+@query(
+    f"""{EARLY_AND_LATE},
+    large as (select * from late where o_totalprice > 300000)
+    select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as int) as order_month from large
+    union all
+    select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as int) from early
+    where o_orderkey not in (select o_orderkey from large)
+    """
+)
+def merge_with_key_filters(spark, sf_dir):
+    """A batch of scattered keys: only files whose filter may hold one of them are searched."""
+    path = scratch_dir(spark, "merge_with_key_filters")
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int")
+    early, late = (
+        df(spark, sf_dir).withColumn("order_month", month) for df in (early_orders, late_orders)
+    )
+    for batch in (early, late.where("o_totalprice > 300000")):
+        merge_into(spark, batch, path, "o_orderkey", "order_month", schema=early.schema, key_filters=True)
+    return stored_table(spark, "parquet", path, early.schema, ("order_month",), evolving=False)
+
+
 _SEGMENT = (
     "case c_mktsegment when 'BUILDING' then null when 'MACHINERY' then '' "
     "when 'FURNITURE' then '__HIVE_DEFAULT_PARTITION__' else c_mktsegment end"

@@ -15,15 +15,16 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
-from tableflow.functions.columns import all_quoted, is_orderable, quoted
+from tableflow.functions.columns import all_quoted, quoted
 from tableflow.operators.merge import as_inserted, deduplicated, merged, stored_matches
 from tableflow.operators.evolution import evolved, in_stored_types, named_like, spelled
 from tableflow.operators.upsert import upsert
 from tableflow.session import stored_once
 from tableflow.sinks.files import clustered, overwrite_partitions
+from tableflow.sinks.keyfilters import files_to_search, key_bounds, renew
 from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_options, native_format
 from tableflow.sources.storage import (
-    delete_folders, exists, partition_folder, replace_snapshot, restore_interrupted,
+    delete_folders, exists, has_files, partition_folder, replace_snapshot, restore_interrupted,
 )
 from tableflow.sources.tables import (
     empty_table, read_folders, read_if_present, save_schema, saved_schema, table_schema,
@@ -135,11 +136,8 @@ def upsert_into(
 def _within(df: DataFrame, key: tuple[str, ...]) -> Column:
     """That a row's key lies between the least and the greatest of the batch, as literals, so that it
     reaches the statistics of the stored files."""
-    ranged = [k for k in key if is_orderable(df.schema[k].dataType)]
-    bounds = df.agg(*[f(quoted(k)) for k in ranged for f in (F.min, F.max)]).first()
     tests = []
-    for i, k in enumerate(ranged):
-        low, high = bounds[2 * i], bounds[2 * i + 1]
+    for k, (low, high) in key_bounds(df, key).items():
         if low is None:  # no key at all: nothing matches
             return F.lit(False)
         kind = df.schema[k].dataType
@@ -147,6 +145,17 @@ def _within(df: DataFrame, key: tuple[str, ...]) -> Column:
     return reduce(and_, tests, F.lit(True))
 
 
+def _searched(
+    spark: SparkSession, path: str, known: StructType, batch: DataFrame, key: tuple[str, ...],
+    parts: tuple[str, ...], key_filters: bool,
+) -> DataFrame:
+    """The rows among which a batch's keys are searched: those of files that may hold one."""
+    files = files_to_search(spark, path, known, batch, key, parts) if key_filters else None
+    if files is not None and not files:
+        return empty_table(spark, known)
+    return read_folders(spark, path, known, files or ()).where(_within(batch, key))
+
+
 def merge_into(
     spark: SparkSession,
     updates: DataFrame,
@@ -157,11 +166,14 @@ def merge_into(
     schema: StructType | None = None,
     on_duplicate: str = "error",
     order: str | Iterable[str] = (),
+    key_filters: bool = False,
 ) -> None:
     """Merge a batch into the table at ``path``, creating it with ``schema`` if there is none.
 
     A matched row takes the batch's partition values too, so it may move to another folder; the
-    partitions it leaves are rewritten as well, and no others.
+    partitions it leaves are rewritten as well, and no others. With ``key_filters`` the table keeps a
+    filter per data file (see ``keyfilters``), asked before its keys are searched and renewed with what
+    is rewritten: for small batches of scattered keys into tables of many files.
     """
     key, order, parts = as_names(key), as_names(order), as_names(partition_by)
     if native_format(spark, fmt, "delta"):
@@ -179,6 +191,8 @@ def merge_into(
         first = as_stored(as_inserted(deduplicated(updates, key, on_duplicate, order), like), parts)
         replace_snapshot(spark, path, lambda staging: _write_snapshot(first, staging, parts))
         _keep_schema(spark, path, first.schema)
+        if key_filters and has_files(spark, path):
+            renew(spark, path, first.schema, key, parts, [path])
         return
     updates = as_stored(in_stored_types(updates, known), parts)
     batch = deduplicated(updates, key, on_duplicate, order)
@@ -186,19 +200,21 @@ def merge_into(
     # A merge goes over its batch and over the matched keys several times: both are computed once.
     with stored_once(spark, batch, "batch") as batch:
         # Keys of the whole table are searched, but only where the batch's range of keys can be.
-        keys = read_folders(spark, path, known).where(_within(batch, key))
+        keys = _searched(spark, path, known, batch, key, parts, key_filters)
         with stored_once(spark, stored_matches(keys, batch, key, parts), "hits") as found:
             if not parts:
                 result = merged(read_folders(spark, path, known), batch, found, key, unique)
                 replace_snapshot(spark, path, lambda staging: _write_snapshot(result, staging, ()))
                 _keep_schema(spark, path, result.schema)
+                if key_filters:
+                    renew(spark, path, result.schema, key)
             else:
-                _merge_partitions(spark, path, known, batch, found, key, parts, unique)
+                _merge_partitions(spark, path, known, batch, found, key, parts, unique, key_filters)
 
 
 def _merge_partitions(
     spark: SparkSession, path: str, known: StructType, batch: DataFrame, found: DataFrame,
-    key: tuple[str, ...], parts: tuple[str, ...], unique: bool,
+    key: tuple[str, ...], parts: tuple[str, ...], unique: bool, key_filters: bool,
 ) -> None:
     """Rewrite the partitions that have matched keys or get rows of the batch."""
     touched = _partitions(
@@ -220,6 +236,9 @@ def _merge_partitions(
     )
     kept = {tuple(row[0]) for row in written.get["ids"]}
     delete_folders(spark, [folder for v, folder in folders.items() if v not in kept])
+    if key_filters:
+        rewritten = list(_folders(spark, path, parts, kept).values())
+        renew(spark, path, result.schema, key, parts, rewritten, [v for v in folders if v not in kept])
 
 
 def _delta_merge(spark, updates, path, key, parts, schema) -> None:
