@@ -2,8 +2,7 @@
 
 Beside the table, in a folder that readers ignore, two tables say per data file how its keys are
 bounded and which bits their hashes set (a Bloom filter of 64-bit words, one row per word that has a
-bit set; four bits a key in one word, four keys a word, so about two bytes a key and under two in a
-hundred files found in vain). They are partitioned as the table is, and a merge renews those of the
+bit set; four bits a key in one word, two to four keys a word). They are partitioned as the table is, and a merge renews those of the
 partitions it rewrites. A file without an entry, because another writer made it or a run stopped
 before the entries were written, is always searched, and entries of files that are gone are ignored; so
 filters never change a result.
