@@ -45,18 +45,24 @@ def empty_files(spark: SparkSession, path: str, recursive: bool = False) -> list
     leave out. Without ``recursive`` only hive-style folders are gone into, as scans do."""
     fs, p = _hadoop(spark, path)
     out = []
+    folders = []
+
+    def seen(status) -> None:
+        if status.isDirectory():
+            folders.append(status.getPath())
+        elif status.getLen() == 0:
+            out.append((status.getPath().toString(), status.getModificationTime()))
+
     for root in fs.globStatus(p) or ():
-        prefix = root.getPath().toString().rstrip("/")
-        files = fs.listFiles(root.getPath(), True)
-        while files.hasNext():
-            status = files.next()
-            if status.getLen() > 0:
-                continue
-            found = status.getPath().toString()
-            *folders, name = found.removeprefix(prefix).strip("/").split("/")
-            shown = not any(_is_hidden(n) for n in (*folders, name) if n)
-            if shown and (recursive or all("=" in n for n in folders)):
-                out.append((found, status.getModificationTime()))
+        seen(root)
+    while folders:
+        inside = fs.listStatusIterator(folders.pop())
+        while inside.hasNext():
+            status = inside.next()
+            name = status.getPath().getName()
+            entered = recursive or "=" in name or not status.isDirectory()
+            if entered and not _is_hidden(name):
+                seen(status)
     return out
 
 

@@ -17,7 +17,7 @@ from tableflow.sinks.formats import delta_create_sql, delta_merge_sql, hudi_opti
 from tableflow.sinks.keyed import merge_into, upsert_into
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
 from tableflow.sinks.ledger import read_pending, record_files
-from tableflow.sources.storage import exists, replace_snapshot, restore_interrupted
+from tableflow.sources.storage import empty_files, exists, replace_snapshot, restore_interrupted
 from tableflow.sources.files import (
     EXACT_TIMESTAMPS, combined_options, read_batch, read_stream, source_available, storage_format,
 )
@@ -520,3 +520,20 @@ def test_a_saved_schema_is_taken_as_it_is(spark, tmp_path):
     upsert_into(spark, literal_table(spark, [(1, "01")], "id int, day string"), path, "id", (), "day")
     assert saved_schema(spark, path) == StructType.fromDDL("id int, day string")
     assert table_schema(spark, path, StructType()) == saved_schema(spark, path)
+
+
+def test_files_without_a_byte_are_found_where_scans_look(spark, tmp_path):
+    for name in ("a", "d=1/b", "d=1/e=2/c", "deep/f", "d=1/deep/g", "_x/h", "d=1/.i", "_j"):
+        file = tmp_path / "t" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("")
+    (tmp_path / "t" / "full").write_text("x")
+    root = f"{tmp_path}/t/"
+
+    def found(**how):
+        return sorted(path.split(root, 1)[1] for path, _ in empty_files(spark, root.rstrip("/"), **how))
+
+    assert found() == ["a", "d=1/b", "d=1/e=2/c"]
+    assert found(recursive=True) == ["a", "d=1/b", "d=1/deep/g", "d=1/e=2/c", "deep/f"]
+    assert [p.split(root, 1)[1] for p, _ in empty_files(spark, f"{root}[ab]")] == ["a"]
+    assert empty_files(spark, f"{root}nothing*") == []
