@@ -13,9 +13,11 @@ from tableflow.operators.checks import files_present as check_files_present
 from tableflow.plans.jobs import check_data, check_files
 from tableflow.session import scratch_dir
 from tableflow.sinks.files import clustered, write_files
-from tableflow.sinks.landing import land_files, land_lines, landed_files, landed_lines
+from tableflow.sinks.landing import (
+    land_files, land_lines, landed_files, landed_lines, landed_records,
+)
 from tableflow.sources.manifest import manifest, manifest_of
-from tableflow.specs import JobContext
+from tableflow.specs import EntitySpec, JobContext
 
 ARRIVAL_DAY = dt.date(1999, 4, 14)
 LANDING = JobContext("landing", DAY_ONE)
@@ -236,3 +238,16 @@ def files_landed(spark, sf_dir):
     names = manifest(spark, f"{folder}/in").select(F.col("name").alias("file_name"))
     lines = landed_lines(spark, f"{folder}/landing", LANDING)
     return lines.join(names, "file_name", "left_semi").select("value")
+
+
+@query("select doc_id, source, text from documents")
+def landed_records_over_lines(spark, sf_dir):
+    """Values with line breaks: files cut into splits anywhere, landed as lines, parsed as whole records."""
+    folder = scratch_dir(spark, "landed_records_over_lines")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    csv = {"quoteAll": "true", "escape": '"', "emptyValue": "", "nullValue": "\\N", "multiLine": "true"}
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    documents.write.options(**csv, **spaces).csv(f"{folder}/in")
+    land_files(spark, f"{folder}/in", ["part-*.csv"], f"{folder}/landing", LANDING, options=csv)
+    records = landed_lines(spark, f"{folder}/landing", LANDING, options=csv)
+    return landed_records(records, EntitySpec("part", "part-*"), documents.schema, None, csv)

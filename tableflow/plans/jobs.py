@@ -315,7 +315,8 @@ def land_check_stream(
     A delivered file is landed once, so running the job again adds nothing.
     """
     ledger = job.ledger_path or f"{landing_path}/_landed"
-    land_files(spark, delivery_path, [e.glob for e in job.entities], landing_path, job.ctx, ledger)
+    globs = [e.glob for e in job.entities]
+    land_files(spark, delivery_path, globs, landing_path, job.ctx, ledger, job.reader_options)
     return stream_landed(spark, landing_path, job, headers)
 
 
@@ -340,7 +341,7 @@ def stream_landed(
 
     def records(entity: EntitySpec, schema: StructType, names: list[str] | None = None) -> DataFrame:
         parsed = landed_records(
-            landed_lines(spark, landing_path, job.ctx, names), entity, schema,
+            landed_lines(spark, landing_path, job.ctx, names, job.reader_options), entity, schema,
             (headers or {}).get(entity.name), job.reader_options, with_name=True,
         )
         return with_load_date(parsed, job.ctx.execution_date)

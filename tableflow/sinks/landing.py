@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tableflow.operators.records import line_place, whole_records
+from tableflow.sinks.files import clustered
 from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.manifest import manifest
 from tableflow.sources.storage import (
@@ -24,6 +26,14 @@ def _day_folder(landing_path: str, ctx: JobContext) -> str:
     return f"{landing_path}/job_id={ctx.job_id}/execution_date={ctx.execution_date.isoformat()}"
 
 
+def _over_lines(options: Mapping[str, str] | None) -> dict[str, str] | None:
+    """Quote and escape of CSV options that allow records over several lines; None for any other."""
+    given = {k.lower(): str(v) for k, v in (options or {}).items()}
+    if given.get("multiline", "").lower() != "true":
+        return None
+    return {"quote": given.get("quote", '"'), "escape": given.get("escape", "\\")}
+
+
 def land_files(
     spark: SparkSession,
     input_path: str,
@@ -31,25 +41,32 @@ def land_files(
     landing_path: str,
     ctx: JobContext,
     ledger_path: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Copy the lines of matching files to ``<landing>/job_id=/execution_date=/file_name=``.
 
+    With ``multiLine`` among the CSV ``options`` no record is divided between two landed parts.
+
     Landing a file again replaces that file's lines only; with a ledger, files landed before are
     left alone. A file without lines lands as an empty file. A large file is split over tasks like
     any text scan, so one delivery of any size is no single task's work.
     """
     patterns = list(dict.fromkeys(globs))
     pattern = patterns[0] if len(patterns) == 1 else "{" + ",".join(patterns) + "}"
-    taken = None
+    taken, quoting = None, _over_lines(options)
+    columns = {"file_name": F.col("_metadata.file_name"), **(line_place() if quoting else {})}
+    reading = {"lineSep": "\n"} if quoting else {}
     if ledger_path:
         lines, taken = read_pending(
-            spark, "text", input_path, ledger_path, LINE, pattern, name_column="file_name"
+            spark, "text", input_path, ledger_path, LINE, pattern, reading, columns=columns
         )
         if lines is None and not taken.head(1):
             return
     else:
-        lines = spark.read.option("pathGlobFilter", pattern).text(input_path)
-        lines = lines.select("value", F.col("_metadata.file_name").alias("file_name"))
+        lines = spark.read.options(**reading).option("pathGlobFilter", pattern).text(input_path)
+        lines = lines.select("value", *[c.alias(name) for name, c in columns.items()])
+    if lines is not None and quoting:
+        lines = clustered(whole_records(lines, **quoting), "file_name")
     if lines is not None:
         land_lines(lines, landing_path, ctx)
     files = taken if taken is not None else manifest(spark, input_path, pattern)
@@ -83,13 +100,22 @@ def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
 
 
 def landed_lines(
-    spark: SparkSession, landing_path: str, ctx: JobContext, names: Iterable[str] | None = None
+    spark: SparkSession, landing_path: str, ctx: JobContext, names: Iterable[str] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Landed lines of one job and date, or of some of its files; no other folder is listed."""
+    """Landed lines of one job and date, or of some of its files; no other folder is listed.
+
+    With ``multiLine`` among the CSV ``options``, which then were given to ``land_files`` as well, a row is
+    a record with its line breaks.
+    """
     day = _day_folder(landing_path, ctx)
     folders = [day] if names is None else [partition_folder(spark, day, [("file_name", n)]) for n in names]
     reader = spark.read.format("text").schema("value string, file_name string").option("basePath", day)
-    return reader.load(folders)
+    quoting = _over_lines(options)
+    if quoting is None:
+        return reader.load(folders)
+    lines = reader.option("lineSep", "\n").load(folders)
+    return whole_records(lines.select("*", *[c.alias(name) for name, c in line_place().items()]), **quoting)
 
 
 def landed_names(spark: SparkSession, landing_path: str, ctx: JobContext, entity: EntitySpec) -> DataFrame:
@@ -131,10 +157,8 @@ def landed_records(
 
     Lines of one file may lie in several parts, so a header is recognised by its text and not by
     its position; pass it as it stands in the files. Blank lines are skipped, as in a CSV scan.
-    For the same reason a record can't go over several lines; such files are loaded, not landed.
+    Records over several lines must be whole in ``lines``, as ``landed_lines`` gives them.
     """
-    if str({k.lower(): v for k, v in (options or {}).items()}.get("multiline", False)).lower() == "true":
-        raise ValueError("landed lines are parsed one by one, load multi-line records from their files")
     wanted = lines.where(F.col("file_name").rlike(glob_pattern(entity.glob)) & (F.trim("value") != ""))
     if header is not None:
         wanted = wanted.where(F.col("value") != header)

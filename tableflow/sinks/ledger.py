@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,14 +41,14 @@ def read_pending(
     schema: StructType | None = None,
     glob: str = "*",
     options: Mapping[str, str] | None = None,
-    name_column: str | None = None,
+    columns: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of the files not loaded yet (None if there are none) and the list of these files.
 
     The folder is scanned by the name pattern and by the age of the oldest pending file, which
     reaches the listing; rows of files that are not pending are dropped by a semi-join on the file
     they come from. Names are never taken as patterns, however many files there are.
-    ``name_column`` adds the name of the file a row came from.
+    ``columns`` are added where the files are read, so they may tell where a row came from.
     """
     pending = pending_files(manifest(spark, path, glob), read_ledger(spark, ledger_path))
     # The list is written down first: what is loaded now must be what is recorded later, whatever
@@ -64,8 +64,7 @@ def read_pending(
     if after is None:
         return None, taken
     rows = read_batch(spark, fmt, path, schema, glob, {**(options or {}), "modifiedAfter": after})
-    named = {name_column: F.col("_metadata.file_name")} if name_column else {}
     source = {"__uri": F.col("_metadata.file_path"), "__modified_at": F.col("_metadata.file_modification_time")}
     listed = taken.select(F.col("uri").alias("__uri"), F.col("modified_at").alias("__modified_at"))
-    rows = rows.withColumns({**named, **source}).join(listed, ["__uri", "__modified_at"], "left_semi")
+    rows = rows.withColumns({**(columns or {}), **source}).join(listed, ["__uri", "__modified_at"], "left_semi")
     return rows.drop("__uri", "__modified_at"), taken

@@ -474,12 +474,6 @@ def test_landing_of_empty_files_and_of_files_emptied_later(spark, tmp_path, ctx)
     assert rows(landed_lines(spark, landing, ctx), "value", "file_name") == [("3", "b.csv")]
 
 
-def test_records_over_several_lines_are_refused_where_lines_are_landed(spark):
-    lines = literal_table(spark, [("1", "a.csv")], "value string, file_name string")
-    with pytest.raises(ValueError, match="multi-line"):
-        landed_records(lines, EntitySpec("a", "*"), StructType.fromDDL("v int"), None, {"multiLine": "true"})
-
-
 def test_hudi_options():
     one = hudi_options("t", "id", "ts", "day")
     assert one["hoodie.datasource.write.keygenerator.class"].endswith("SimpleKeyGenerator")
