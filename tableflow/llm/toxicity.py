@@ -23,9 +23,11 @@ CLASSES = {
               "pas jamais ne sans nicht kein keine nie ohne sin nunca jamás",
     REPORT: "said says say saying called calls wrote writes claimed quote quoted according "
             "dit disait écrit sagte sagt schrieb dijo dice escribió",
-    THREAT: "kill hurt destroy beat shoot stab burn hang strangle "
-            "tuer frapper brûler töten schlagen verbrennen matar golpear quemar",
+    THREAT: "tuer tuerai frapper frapperai brûler brûlerai étrangler étranglerai "
+            "töten töte umbringen schlagen schlage verbrennen verbrenne erwürgen "
+            "matar mataré golpear golpearé quemar quemaré estrangular",
 }
+THREAT_VERBS = "kill murder hurt harm destroy beat shoot stab burn hang strangle choke punch smash slaughter rape"
 FACTORS = {"negated": 0.2, "reported": 0.5, "aimed": 1.5}
 PREFIXES = (4, 5, 6)
 _ENDS = np.zeros(256, dtype=bool)
@@ -43,7 +45,7 @@ class Transducer:
 
 
 def _countdown(opener: int, length: int, mark: str) -> Transducer:
-    """Marks insults and threats that follow within ``length`` tokens of the opener."""
+    """Marks insults and threats that come within ``length`` tokens of the opener, in the direction of reading."""
 
     def step(left, symbol):
         kind, marks = symbol
@@ -78,16 +80,20 @@ def _scorer(kind: int, needs: str | None) -> Transducer:
     return Transducer(0, step)
 
 
-def compose(*parts: Transducer) -> tuple[list[list[int]], list[list[float]]]:
-    """One automaton that runs the transducers in a cascade: tables of the next state and of the weight,
-    by state and token class. Only states that can be reached are built."""
+# A token class without a mark, or with the one that the reading from the end puts on it.
+SYMBOLS = [(kind, marks) for marks in (frozenset(), frozenset({"aimed"})) for kind in range(6)]
+
+
+def compose(*parts: Transducer) -> tuple[list[list[int]], list[list]]:
+    """One automaton that runs the transducers in a cascade: tables of the next state and of what comes out,
+    by state and symbol (their places in ``SYMBOLS``). Only states that can be reached are built."""
     states = [tuple(p.start for p in parts)]
     number = {states[0]: 0}
-    follow, weights = [], []
+    follow, outputs = [], []
     for state in states:  # grows meanwhile
         to, out = [], []
-        for kind in range(6):
-            symbol, after = (kind, frozenset()), []
+        for symbol in SYMBOLS:
+            after = []
             for part, s in zip(parts, state, strict=True):
                 s, symbol = part.step(s, symbol)
                 after.append(s)
@@ -96,19 +102,26 @@ def compose(*parts: Transducer) -> tuple[list[list[int]], list[list[float]]]:
                 number[key] = len(states)
                 states.append(key)
             to.append(number[key])
-            out.append(symbol if isinstance(symbol, float) else 0.0)
+            out.append(symbol)
         follow.append(to)
-        weights.append(out)
-    return follow, weights
+        outputs.append(out)
+    return follow, outputs
+
+
+def lookahead() -> tuple[list[list[int]], list[list[int]]]:
+    """Read from the end of a clause: what a target follows within four tokens is aimed. Gives places in ``SYMBOLS``."""
+    follow, outputs = compose(_countdown(TARGET, 4, "aimed"))
+    return follow, [[SYMBOLS.index(symbol) for symbol in row] for row in outputs]
 
 
 def grammar() -> tuple[list[list[int]], list[list[float]]]:
-    """Insults count where they stand, more if aimed at somebody, less if denied or only reported;
-    threats count only if aimed."""
-    return compose(
+    """Read from the start, after ``lookahead``: insults count where they stand, more if aimed at somebody before
+    or after them, less if denied or only reported; threats count only if aimed."""
+    follow, outputs = compose(
         _countdown(NEGATION, 3, "negated"), _after(REPORT, "reported"), _countdown(TARGET, 4, "aimed"),
         _scorer(INSULT, None), _scorer(THREAT, "aimed"),
     )
+    return follow, [[out if isinstance(out, float) else 0.0 for out in row] for row in outputs]
 
 
 # ---- features ----------------------------------------------------------------------------------
@@ -125,9 +138,18 @@ def _keys(words: Words) -> list[np.ndarray]:
     return keys
 
 
+def _forms(verb: str) -> list[str]:
+    """The forms of an English verb by the rules of spelling: both with and without a doubled last letter."""
+    stem = verb.removesuffix("e")
+    doubled = [stem + stem[-1] + end for end in ("ed", "ing")] if verb == stem else []
+    return [verb, f"{verb}s", f"{stem}ed", f"{stem}es", f"{stem}ing", *doubled]
+
+
 def _fixed() -> tuple[np.ndarray, np.ndarray]:
     keys, kinds = [], []
+    english = " ".join(form for verb in THREAT_VERBS.split() for form in _forms(verb))
     for kind, text in CLASSES.items():
+        text = f"{text} {english}" if kind == THREAT else text
         for rows, data, begins in chunks(pa.array([text])):
             words = Words(rows, data, begins, ALPHANUMERIC)
             keys += words.hashes.tolist()
@@ -150,6 +172,7 @@ class Grammar:
         self.keys, self.weights = keys, weights
         self.fixed = _fixed()
         self.follow, self.out = grammar()
+        self.back, self.marked = lookahead()
 
     def features(self, rows: int, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Per row, as log1p: total weight of matched clauses, their number, the greatest one, and the
@@ -178,10 +201,14 @@ class Grammar:
             b = i + 1
             while b < words.bounds[row + 1] and clause[b] == here:
                 b += 1
-            done, state, total = b - 1, 0, 0.0
-            for kind, w in zip(kinds[a:b].tolist(), weight[a:b].tolist(), strict=True):
-                total += self.out[state][kind] * w
-                state = self.follow[state][kind]
+            done, state, total, symbols = b - 1, 0, 0.0, []
+            for kind in kinds[a:b][::-1].tolist():
+                symbols.append(self.marked[state][kind])
+                state = self.back[state][kind]
+            state = 0
+            for symbol, w in zip(reversed(symbols), weight[a:b].tolist(), strict=True):
+                total += self.out[state][symbol] * w
+                state = self.follow[state][symbol]
             if total > 0:
                 out[row, 0] += total
                 out[row, 1] += 1
@@ -290,7 +317,7 @@ class Counts:
         self.table = stored(sample.sparkSession, table, "keys")
         self.docs = {(r.half, r.toxic): r["count"] for r in sample.groupBy("half", "toxic").count().collect()}
 
-    def lexicon(self, halves: tuple[int, ...], most: int = 2000, bound: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
+    def lexicon(self, halves: tuple[int, ...], most: int, bound: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
         """Keys that toxic documents hold far more often: log ratio of the shares of toxic and clean
         documents, less 1.64 standard errors, at least ``bound``; the ``most`` heaviest ones."""
         toxic, clean = (sum(self.docs.get((k, y), 0) for k in halves) for y in (1, 0))
@@ -321,12 +348,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def fit(
     docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-    label: str = "toxic", sample: int = 2000,
+    label: str = "toxic", sample: int = 2000, most: int = 2000,
 ) -> Model:
     """The model learned from the labels of rows where ``train`` (a condition on ``doc_id``) holds.
 
     A bounded sample (``sample`` toxic and three times as many clean rows at most) gives the
-    lexicon. The coefficients of the grammar's features come from the same rows, each half measured
+    lexicon, the ``most`` heaviest keys. Rows that repeat count as often as they stand in the sample, but
+    a word after the same word is counted once among toxic ones; ties of weight go by key. The coefficients of the grammar's features come from the same rows, each half measured
     with a lexicon of the other half, so that words of a single document don't count as signs. The
     constant is then moved to the share of toxic rows among all training labels. Nothing but text
     and label is used. Without labels of both kinds the score is the share of toxic rows (one half
@@ -336,9 +364,9 @@ def fit(
     rows = stored(docs.sparkSession, rows, "sample")
     prior = 0.5 if share is None else min(max(share, 1e-3), 1 - 1e-3)
     counts = Counts(rows)
-    found = [_measured(rows.where(F.col("half") == k), *counts.lexicon((1 - k,))) for k in (0, 1)]
+    found = [_measured(rows.where(F.col("half") == k), *counts.lexicon((1 - k,), most)) for k in (0, 1)]
     x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-    keys, lexicon = counts.lexicon((0, 1))
+    keys, lexicon = counts.lexicon((0, 1), most)
     if len(set(y.tolist())) < 2:
         return Model(keys, lexicon, np.array([0, 0, 0, 0, np.log(prior / (1 - prior))]))
     coefficients = _logistic(x, y)

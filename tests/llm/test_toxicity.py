@@ -32,19 +32,52 @@ def test_clauses_are_scored_by_the_composed_grammar():
     assert weight("not today, moron") == 1.0
     assert weight("idiot moron") == 2.0
     assert weight("kill time") == 0  # a threat without a target
-    assert weight("I will kill you") == 0  # the target comes after
-    assert weight("you I kill") == 1.5
+    assert weight("I will kill you") == 1.5  # the target comes after
+    assert weight("you I kill") == 1.5 and weight("you I kill you") == 1.5
+    assert weight("I am going to murder you tonight") == weight("they keep stabbing him") == 1.5
+    assert weight("I will not hurt you") == pytest.approx(0.3)
+    assert weight("she said I will strangle him") == 0.75
+    assert weight("kill time. you see") == 0  # the target is in another clause
+    assert weight("kill one two three four you") == 0  # too far
+    assert weight("idiot that you are") == 1.5
     assert weight("") == 0 and weight(".,;") == 0
 
 
 def test_composition_runs_the_cascade():
     follow, out = toxicity.grammar()
-    assert len(follow) == len(out) and all(len(r) == 6 for r in follow)
+    assert len(follow) == len(out) and all(len(r) == len(toxicity.SYMBOLS) for r in follow)
     assert all(0 <= s < len(follow) for r in follow for s in r)
     state = follow[0][toxicity.NEGATION]
     assert out[state][toxicity.INSULT] == toxicity.FACTORS["negated"]
 
 
+def by_rules(kinds):
+    """A clause's weight by looking around each token, with no automaton."""
+    total = 0.0
+    for i, kind in enumerate(kinds):
+        near = kinds[max(0, i - 4):i] + kinds[i + 1:i + 5]
+        if kind in (toxicity.INSULT, toxicity.THREAT):
+            factor = toxicity.FACTORS["aimed"] if toxicity.TARGET in near else float(kind == toxicity.INSULT)
+            if toxicity.NEGATION in kinds[max(0, i - 3):i]:
+                factor *= toxicity.FACTORS["negated"]
+            if toxicity.REPORT in kinds[:i]:
+                factor *= toxicity.FACTORS["reported"]
+            total += factor
+    return total
+
+
+def test_the_grammar_equals_rules_applied_to_each_token():
+    word = {
+        toxicity.OTHER: "table", toxicity.INSULT: "moron", toxicity.THREAT: "kill", toxicity.TARGET: "you",
+        toxicity.NEGATION: "not", toxicity.REPORT: "said",
+    }
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        clauses = [rng.integers(0, 6, rng.integers(0, 14)).tolist() for _ in range(rng.integers(1, 4))]
+        text = ". ".join(" ".join(word[k] for k in c) for c in clauses)
+        assert weight(text) == pytest.approx(sum(map(by_rules, clauses)), abs=1e-5), text
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     sf = "/root/testdata/sf0.01"
