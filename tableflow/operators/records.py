@@ -33,8 +33,7 @@ def whole_records(lines: DataFrame, quote: str = '"', escape: str = "\\") -> Dat
     line feed they were split at; a carriage return at a record's end is taken off.
 
     Quotes must stand around values or be doubled or escaped within them. A quote that is never closed
-    makes the rest of its file one record, as it does in a scan; once landed, such a record may also
-    take in those that lie behind it in its part.
+    makes the rest of its file one record, as it does in a scan.
     """
     split = ["__file", "__split"]
     lines = lines.withColumn("__odd", _odd_quotes(F.col("value"), quote, escape))
@@ -50,14 +49,24 @@ def whole_records(lines: DataFrame, quote: str = '"', escape: str = "\\") -> Dat
     pieces = lines.withColumn("__begin", begin).groupBy(*split, "file_name", "__begin")
     pieces = pieces.agg(_joined("__place", "value").alias("value"))
 
-    # A split's first piece without a beginning goes to the last record begun in the splits before it.
-    last = pieces.groupBy(*split).agg(F.max("__begin").alias("__last"))
+    # A split's first piece without a beginning goes to the last record begun in the splits before it. Only
+    # such pieces and these records are moved again.
+    last = pieces.groupBy(*split).agg(
+        F.max("__begin").alias("__last"), F.max(F.col("__begin").isNull()).alias("__headless")
+    )
     owner = F.last(F.when(F.col("__last").isNotNull(), F.struct("__split", "__last")), ignorenulls=True)
-    owners = last.select(*split, owner.over(earlier).alias("__owner"))
+    owners = last.withColumn("__owner", owner.over(earlier)).where("__headless").select(*split, "__owner")
+    owned = owners.select(
+        "__file", F.col("__owner.__split").alias("__split"), F.col("__owner.__last").alias("__begin")
+    ).distinct()
+    whole = pieces.where("__begin is not null").join(owned, [*split, "__begin"], "left_anti")
     mine = F.struct(F.col("__split"), F.col("__begin").alias("__last"))
-    record = F.when(F.col("__begin").isNotNull(), mine).otherwise(F.col("__owner"))
-    found = pieces.join(owners, split).withColumn("__record", record)
-    found = found.groupBy("__file", "file_name", "__record").agg(_joined("__split", "value").alias("value"))
+    begun = pieces.join(owned, [*split, "__begin"], "left_semi").withColumn("__owner", mine)
+    rest = pieces.where("__begin is null").join(owners, split)
+    over = begun.unionByName(rest.select(*begun.columns)).groupBy("__file", "file_name", "__owner")
+    found = whole.select("value", "file_name").union(
+        over.agg(_joined("__split", "value").alias("value")).select("value", "file_name")
+    )
     return found.select(F.regexp_replace("value", "\r$", "").alias("value"), "file_name")
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tableflow.operators.records import line_place, whole_records
-from tableflow.sinks.files import clustered
 from tableflow.sinks.ledger import read_pending, record_files
 from tableflow.sources.manifest import manifest
 from tableflow.sources.storage import (
@@ -20,6 +19,8 @@ from tableflow.sources.tables import names_table
 from tableflow.specs import EntitySpec, JobContext, glob_pattern
 
 LINE = StructType().add("value", "string")
+# Behind each record that may go over several lines: ASCII's record separator and a line feed.
+RECORD_END = "\x1e\n"
 
 
 def _day_folder(landing_path: str, ctx: JobContext) -> str:
@@ -45,7 +46,8 @@ def land_files(
 ) -> None:
     """Copy the lines of matching files to ``<landing>/job_id=/execution_date=/file_name=``.
 
-    With ``multiLine`` among the CSV ``options`` no record is divided between two landed parts.
+    With ``multiLine`` among the CSV ``options`` whole records are landed, each with ``RECORD_END`` behind it;
+    a record that holds it fails the job.
 
     Landing a file again replaces that file's lines only; with a ledger, files landed before are
     left alone. A file without lines lands as an empty file. A large file is split over tasks like
@@ -65,10 +67,9 @@ def land_files(
     else:
         lines = spark.read.options(**reading).option("pathGlobFilter", pattern).text(input_path)
         lines = lines.select("value", *[c.alias(name) for name, c in columns.items()])
-    if lines is not None and quoting:
-        lines = clustered(whole_records(lines, **quoting), "file_name")
     if lines is not None:
-        land_lines(lines, landing_path, ctx)
+        # A split's records come from one task, so there are no more parts than splits, and no need to deal them.
+        land_lines(whole_records(lines, **quoting) if quoting else lines, landing_path, ctx, options)
     files = taken if taken is not None else manifest(spark, input_path, pattern)
     for row in files.where("length = 0").select("name").toLocalIterator():
         _land_empty(spark, landing_path, ctx, row["name"])
@@ -83,8 +84,15 @@ def _land_empty(spark: SparkSession, landing_path: str, ctx: JobContext, name: s
     write_text(spark, f"{folder}/part-empty", "")
 
 
-def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
-    """Land lines given as ``value`` and ``file_name``."""
+def land_lines(
+    lines: DataFrame, landing_path: str, ctx: JobContext, options: Mapping[str, str] | None = None
+) -> None:
+    """Land lines, or with ``multiLine`` records, given as ``value`` and ``file_name``."""
+    end = "\n"
+    if _over_lines(options):
+        end, marked = RECORD_END, F.contains("value", F.lit(RECORD_END))
+        refused = F.raise_error(F.lit("a record holds the mark of a record's end"))
+        lines = lines.withColumn("value", F.when(marked, refused).otherwise(F.col("value")))
     (
         lines.select(
             "value",
@@ -95,7 +103,7 @@ def land_lines(lines: DataFrame, landing_path: str, ctx: JobContext) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("job_id", "execution_date", "file_name")
-        .text(landing_path)
+        .text(landing_path, lineSep=end)
     )
 
 
@@ -111,11 +119,9 @@ def landed_lines(
     day = _day_folder(landing_path, ctx)
     folders = [day] if names is None else [partition_folder(spark, day, [("file_name", n)]) for n in names]
     reader = spark.read.format("text").schema("value string, file_name string").option("basePath", day)
-    quoting = _over_lines(options)
-    if quoting is None:
-        return reader.load(folders)
-    lines = reader.option("lineSep", "\n").load(folders)
-    return whole_records(lines.select("*", *[c.alias(name) for name, c in line_place().items()]), **quoting)
+    if _over_lines(options):
+        reader = reader.option("lineSep", RECORD_END)
+    return reader.load(folders)
 
 
 def landed_names(spark: SparkSession, landing_path: str, ctx: JobContext, entity: EntitySpec) -> DataFrame:

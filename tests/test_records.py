@@ -6,7 +6,6 @@ import random
 import pytest
 from conftest import rows
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tableflow.operators.records import line_place, whole_records
 from tableflow.sinks.landing import land_files, landed_files, landed_lines, landed_records
@@ -77,9 +76,15 @@ def test_a_header_an_open_quote_and_a_file_of_one_record(spark, tmp_path, ctx, s
     records = landed_lines(spark, str(tmp_path / "landing"), ctx, options=DOUBLED)
     a = landed_records(records, EntitySpec("a", "a.csv"), SCHEMA, "id,a,b", DOUBLED)
     assert rows(a) == [(1, "x", "y\n\nz"), (2, "u" + "\nmore lines" * 20, "v")]
-    place = [c.alias(name) for name, c in line_place().items()]
-    lines = spark.read.text(str(inbox / "b.csv")).select("value", F.col("_metadata.file_name"), *place)
-    assert rows(whole_records(lines, escape='"'), "value") == [('3,"never closed\n4,x,y',), ("id,a,b",)]
+    b = records.where("file_name = 'b.csv'")
+    assert rows(b, "value") == [('3,"never closed\n4,x,y',), ("id,a,b",)]
+
+
+def test_a_record_that_holds_the_mark_is_refused(spark, tmp_path, ctx):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('1,"x\x1e\ny"\n')
+    with pytest.raises(Exception, match="mark of a record's end"):
+        land_files(spark, str(tmp_path / "in"), ["*.csv"], str(tmp_path / "landing"), ctx, None, DOUBLED)
 
 
 def test_without_the_option_lines_are_rows_as_before(spark, tmp_path, ctx):
