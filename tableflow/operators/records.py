@@ -56,12 +56,12 @@ def whole_records(lines: DataFrame, quote: str = '"', escape: str = "\\") -> Dat
     )
     owner = F.last(F.when(F.col("__last").isNotNull(), F.struct("__split", "__last")), ignorenulls=True)
     owners = last.withColumn("__owner", owner.over(earlier)).where("__headless").select(*split, "__owner")
-    owned = owners.select(
-        "__file", F.col("__owner.__split").alias("__split"), F.col("__owner.__last").alias("__begin")
-    ).distinct()
-    whole = pieces.where("__begin is not null").join(owned, [*split, "__begin"], "left_anti")
+    owned = owners.select("__file", F.col("__owner.__split").alias("__split"), F.col("__owner.__last").alias("__owned"))
+    # Joined by the split alone, since pieces lie by it already; what is owned is the last record begun in its split.
+    begun = pieces.where("__begin is not null").join(owned.distinct(), split, "left")
+    whole = begun.where("__owned is null or __begin < __owned")
     mine = F.struct(F.col("__split"), F.col("__begin").alias("__last"))
-    begun = pieces.join(owned, [*split, "__begin"], "left_semi").withColumn("__owner", mine)
+    begun = begun.where("__begin >= __owned").withColumn("__owner", mine).drop("__owned")
     rest = pieces.where("__begin is null").join(owners, split)
     over = begun.unionByName(rest.select(*begun.columns)).groupBy("__file", "file_name", "__owner")
     found = whole.select("value", "file_name").union(
