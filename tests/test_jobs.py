@@ -374,3 +374,13 @@ def test_news_read_the_folders_of_their_files_alone(spark, tmp_path, ctx):
     land_lines(lines, str(tmp_path), ctx)
     plan = landed_lines(spark, str(tmp_path), ctx, ["a_3.csv"])
     assert rows(plan) == [("x", "a_3.csv")] and len(plan.inputFiles()) == 1
+
+
+def test_landed_records_over_several_lines_reach_the_table(spark, delivery, ctx):
+    job = load_job(delivery, ctx, ["items"], reader_options={"multiLine": "true", "escape": '"'})
+    incoming = Path(ctx.dated_dir(str(delivery / "in")))
+    (incoming / "items_2021-06-21.csv").write_text('itemId,name,price\n1,"two\nlines, ""quoted""",1\n2,b,2\n')
+    table = land_check_stream(
+        spark, str(incoming), str(delivery / "landing"), job, {"items": "itemId,name,price"}
+    )["items"]
+    assert rows(table, "itemId", "name") == [(1, 'two\nlines, "quoted"'), (2, "b")]
