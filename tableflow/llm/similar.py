@@ -110,33 +110,75 @@ def _unsettled(placed: DataFrame, ends: DataFrame, roots: DataFrame) -> DataFram
     return stored(spark, crowded.join(mixed, "key").select("n", "root").distinct(), "unsettled")
 
 
-def _rare_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs (a, b) among the rows (n, root, set) that have different roots.
-
-    Shingles are ordered by how many of the sets hold them, rare ones first. Of two sets of the wanted
-    similarity, the first ``|x| - ceil(similarity * |x|) + 1`` shingles of one and of the other have one
-    in common. Sets that share one which at most ``RARE`` sets hold are paired; of those that share a more
-    frequent one, each is paired with the smallest, as texts that have but a template in common are
-    similar to the one with the least besides, if to any.
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(t, c, n, size, rank): the first shingles of the rows (n, set), by which similar ones meet.
+
+    Shingles are ordered by how many of the sets hold them (``c``), rare ones first, and ``rank`` counts from 1.
+    Of two sets of the wanted similarity, the first ``|x| - ceil(similarity * |x|) + 1`` shingles of one and of
+    the other have one in common. Shingles of one set alone are left out.
     """
-    spark = sets.sparkSession
-    tokens = sets.select("n", "root", F.size("set").alias("size"), F.explode("set").alias("t"))
-    counts = stored(spark, tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1"), "shingle-counts")
+    tokens = sets.select("n", F.size("set").alias("size"), F.explode("set").alias("t"))
+    counts = tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
+    counts = stored(sets.sparkSession, counts, "shingle-counts")
     order = Window.partitionBy("n").orderBy(F.coalesce("c", F.lit(1)), "t")
     needed = F.ceil(F.col("size") * similarity - 1e-9)
     first = tokens.join(counts, "t", "left").withColumn("rank", F.row_number().over(order))
     first = first.where((F.col("rank") <= F.col("size") - needed + 1) & F.col("c").isNotNull())
-    first = stored(spark, first.select("t", "c", "n", "root", "size"), "rare-first")
-    rare = first.where(F.col("c") <= RARE).select("t", "n", "root")
-    other = rare.select("t", F.col("n").alias("b"), F.col("root").alias("other"))
-    pairs = rare.join(other, "t").where("n < b and root <> other").select(F.col("n").alias("a"), "b")
+    return stored(sets.sparkSession, first.select("t", "c", "n", "size", "rank"), "prefixes")
+
+
+def _reach(similarity: float) -> Column:
+    """Whether sets whose first common shingle is at ``rank`` in one and at ``rank2`` in the other hold enough
+    shingles from there on to be similar. Of similar sets, the smaller one is then ``_early``."""
+    left = F.least(F.col("size") - F.col("rank"), F.col("size2") - F.col("rank2")) + 1
+    return left + 1e-6 >= (F.col("size") + F.col("size2")) * (similarity / (1 + similarity))
+
+
+def _early(similarity: float) -> Column:
+    return F.col("size") - F.col("rank") + 1 + 1e-6 >= F.col("size") * (2 * similarity / (1 + similarity))
+
+
+def _rare_pairs(first: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different roots in the prefixes (with ``root``): all that can be similar among those with
+    a shingle that at most ``RARE`` sets hold, and, to join most of the others soon, each set that holds a
+    more frequent one with the smallest, as texts that have but a template in common are similar to the
+    one with the least besides, if to any. The rest is left to :func:`_frequent_pairs`.
+    """
+    rare = first.where(F.col("c") <= RARE).select("t", "n", "root", "size", "rank")
+    other = rare.select("t", *(F.col(c).alias(f"{c}2") for c in ("n", "root", "size", "rank")))
+    pairs = rare.join(other, "t").where("n < n2 and root <> root2").where(_reach(similarity))
     common = first.where(F.col("c") > RARE)
     smallest = common.groupBy("t").agg(F.min(F.struct("size", "n", "root")).alias("least"))
-    smallest = stored(spark, smallest, "smallest")
+    smallest = stored(first.sparkSession, smallest, "smallest")
     led = common.join(smallest, "t").where("root <> least.root").select(
         F.least("n", "least.n").alias("a"), F.greatest("n", "least.n").alias("b")
     )
-    return pairs.union(led).distinct()
+    return pairs.select(F.col("n").alias("a"), F.col("n2").alias("b")).union(led).distinct()
+
+
+def _frequent_pairs(first: DataFrame, similarity: float) -> DataFrame | None:
+    """All pairs (a, b) of different roots in the prefixes (with ``root``) that can be similar and share a shingle
+    which more than ``RARE`` sets hold; None if there are none.
+
+    A shingle's holders are not paired within the root that most of them have: of each pair one is outside
+    it. The smaller set of a pair has the shingle among still fewer first ones than the prefix.
+    """
+    spark = first.sparkSession
+    common = first.where(F.col("c") > RARE).select("t", "n", "root", "size", "rank", _early(similarity).alias("early"))
+    common = stored(spark, common, "frequent")
+    roots = common.groupBy("t", "root").agg(F.count("*").alias("members"))
+    roots = roots.groupBy("t").agg(F.max(F.struct("members", "root")).alias("most"), F.count("*").alias("roots"))
+    # Stored, so that both sides of the joins lie on shuffles of their own and a hot shingle can be split.
+    mixed = stored(spark, roots.where("roots > 1").select("t", F.col("most.root").alias("main")), "mixed-shingles")
+    if mixed.isEmpty():
+        return None
+    common = stored(spark, common.join(mixed, "t"), "frequent-mixed")
+    # An early shingle meets all, another one only the early ones.
+    sides = F.when(F.col("early"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    outside = common.where("root <> main").select("t", "main", "n", "root", "size", "rank", F.explode(sides).alias("early"))
+    others = common.select("t", "early", *(F.col(c).alias(f"{c}2") for c in ("n", "root", "size", "rank")))
+    pairs = outside.join(others, ["t", "early"]).where("root <> root2 and (root2 = main or n < n2)")
+    return pairs.where(_reach(similarity)).select(F.least("n", "n2").alias("a"), F.greatest("n", "n2").alias("b")).distinct()
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, key: str, similarity: float) -> DataFrame:
@@ -147,6 +189,12 @@ def _alike(pairs: DataFrame, sets: DataFrame, key: str, similarity: float) -> Da
     return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
 
 
+def _by_root(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``n`` as pairs of their roots."""
+    one, two = (roots.select(F.col("n").alias(c), F.col("root").alias(r)) for c, r in (("a", "x"), ("b", "y")))
+    return pairs.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
 def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -185,14 +233,12 @@ def similar_documents(
     keys = F.array(*(
         F.xxhash64(F.lit(t), *(F.col("s")[i] for i in kept)) for t, kept in enumerate(_masks())
     ))
-    placed = full.select("n", F.explode(keys).alias("key"))
-    near = full.groupBy("f").agg(F.min("n").alias("n"))
-    one, two = (near.select(F.col("f").alias(c), F.col("n").alias(n)) for c, n in (("a", "x"), ("b", "y")))
-    buckets = [placed, full.select("n", F.col("f").alias("key"))]
-    ends = [_bucket_ends(b) for b in buckets]
-    pairs = _bucket_pairs(buckets[0], ends[0]).union(_bucket_pairs(buckets[1], ends[1])).union(
-        links(near, "f").join(one, "a").join(two, "b").select("x", "y")
-    )
+    # Equal fingerprints are a bucket as well, with those that are linked to it.
+    near = links(full, "f").select(F.col("b").alias("f"), F.col("a").alias("key"))
+    near = stored(spark, full.select("n", "f").join(near, "f").select("n", "key"), "near")
+    placed = full.select("n", F.explode(F.concat(keys, F.array("f"))).alias("key")).union(near)
+    ends = _bucket_ends(placed)
+    pairs = _bucket_pairs(placed, ends)
     pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
     one, two = (full.select(F.col("n").alias(c), F.col("node").alias(n)) for c, n in (("x", "a"), ("y", "b")))
     pairs = stored(spark, pairs.join(one, "x").join(two, "y").select("a", "b"), "pairs")
@@ -206,13 +252,19 @@ def similar_documents(
     roots = components(found)
     # Whoever is in a crowded bucket was a candidate, so the sets are there.
     at = full.select("n", "node").join(roots, "node", "left").select("n", F.coalesce("root", "node").alias("root"))
-    rest = _unsettled(buckets[0], ends[0], stored(spark, at, "roots"))
+    rest = _unsettled(placed, ends, stored(spark, at, "roots"))
     rest = stored(spark, rest.join(full.select("n", "node"), "n").join(sets, "node").select("n", "root", "set"), "rest")
-    more = _alike(_rare_pairs(rest, similarity), rest, "n", similarity)
+    first, own = _prefixes(rest, similarity), rest.select("n", "root")
+    more = _alike(_rare_pairs(first.join(own, "n"), similarity), rest, "n", similarity)
     # What the first links join goes on as its root: only roots are linked further.
-    one, two = (rest.select(F.col("n").alias(c), F.col("root").alias(r)) for c, r in (("a", "x"), ("b", "y")))
-    more = more.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    joined = components(stored(spark, more.distinct(), "more")).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    more = stored(spark, _by_root(more, own).distinct(), "more")
+    joined = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    now = own.join(joined, "root", "left").select("n", F.coalesce("top", "root").alias("root"))
+    left = _frequent_pairs(first.join(now, "n"), similarity)
+    if left is not None:
+        last = stored(spark, _by_root(_alike(left, rest, "n", similarity), own).distinct(), "last")
+        if not last.isEmpty():
+            joined = components(more.union(last)).select(F.col("node").alias("root"), F.col("root").alias("top"))
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = named.join(joined, "root", "left").withColumn("root", F.coalesce("top", "root"))
     named = stored(spark, named.select("same", "k", "root", "id"), "named")

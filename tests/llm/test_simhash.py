@@ -192,3 +192,30 @@ def test_the_smallest_member_joins_texts_with_a_template_alone_in_common(spark):
     values = [" ".join(head + [word() for _ in range(g.randint(8, 19))]) for _ in range(300)] + [" ".join(head)]
     found = {r.id: r.component_id for r in similar_documents(table(spark, values)).collect()}
     assert set(found.values()) == {0} == set(similar_groups(values, list(range(len(values)))).values())
+
+
+def test_pairs_are_found_among_texts_of_frequent_shingles_alone(spark):
+    """Each text has one of 36 parts in each of three places of a template, so more than 32 texts hold any
+    shingle. Those with two parts in common have a similarity of 0.82, others 0.67 and less."""
+    import random
+
+    g, many = random.Random(11), 36
+    words = lambda n: " ".join(f"u{g.randrange(10**9)}" for _ in range(n))
+    fixed, parts = [words(21) for _ in range(4)], [[words(6) for _ in range(many)] for _ in range(3)]
+    codes = [(a, b, (a + b) % many) for a in range(many) for b in range(many)]
+    codes += [(a, b, (a + b + g.randrange(1, many)) % many) for a, b, _ in g.sample(codes, 40)]
+    values = [" ".join([*(x for k in range(3) for x in (fixed[k], parts[k][c[k]])), fixed[3]]) for c in codes]
+    sets = [shingles(v) for v in values]
+    groups, least = {}, list(range(len(codes)))
+    for i, c in enumerate(codes):
+        for k in range(3):
+            groups.setdefault((k, c[:k] + c[k + 1 :]), []).append(i)
+    links = {pair for own in groups.values() for pair in combinations(own, 2)}
+    assert all(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in links) and len(links) > 100
+    apart = [pair for pair in (g.sample(range(len(codes)), 2) for _ in range(2000)) if tuple(sorted(pair)) not in links]
+    assert max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in apart) < 0.7
+    for _ in codes:
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    found = {r.id: r.component_id for r in similar_documents(table(spark, values)).collect()}
+    assert found == dict(enumerate(least)) and len(set(least)) > 1000
