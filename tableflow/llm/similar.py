@@ -37,27 +37,37 @@ def _shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], rows[order]
 
 
-def symbols(text: Column, size: int) -> Column:
-    """Column: ``SETS`` times ``SYMBOLS`` min-hashes of a text's shingles, null without words."""
+def bucket_keys(text: Column, size: int) -> Column:
+    """Column: per table of masks a hash of the symbols it keeps, null without words. The symbols are
+    ``SETS`` times ``SYMBOLS`` min-hashes of a text's shingles.
+
+    Made here, as sixty hash expressions took the driver 150 MB for their code."""
     factors = mix(np.arange(1, SETS * SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
+    places = np.arange(SETS * SYMBOLS, dtype=np.uint64) << np.uint64(32)
+    tables = _masks()
+    kept = np.zeros((SETS * SYMBOLS, len(tables)), dtype=np.uint64)
+    for t, own in enumerate(tables):
+        kept[own, t] = 1
+    seeds = mix(np.arange(1, len(tables) + 1, dtype=np.uint64))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<long>")
     def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             out = []
             for rows, data, begins in chunks(texts):
                 hashes, row = _shingles(Words(rows, data, begins, LOWERED), size)
                 full, first = np.unique(row, return_index=True)
-                found = np.empty((len(full), len(factors)), dtype=np.int32)
+                found = np.empty((len(full), len(factors)), dtype=np.uint64)
                 for j, factor in enumerate(factors):
                     if len(full):
                         least = np.minimum.reduceat(hashes * factor ^ (hashes >> np.uint64(33)), first)
-                        found[:, j] = mix(least).astype(np.uint32).view(np.int32)
+                        found[:, j] = mix(least).astype(np.uint32)
+                keys = mix(mix(found | places) @ kept + seeds).view(np.int64)
                 part: list = [None] * rows
                 for k, r in enumerate(full.tolist()):
-                    part[r] = found[k]
+                    part[r] = keys[k]
                 out += part
-            yield pa.array(out, pa.list_(pa.int32()))
+            yield pa.array(out, pa.list_(pa.int64()))
 
     return compute(text)
 
@@ -93,10 +103,8 @@ def _bucket_ends(placed: DataFrame) -> DataFrame:
 
 def _bucket_pairs(placed: DataFrame, ends: DataFrame) -> DataFrame:
     """Pairs of each member of a bucket with the least and with the greatest one, two a member."""
-    met = placed.join(ends, "key")
-    return met.select(F.col("lo").alias("a"), F.col("n").alias("b")).union(
-        met.select(F.col("n").alias("a"), F.col("hi").alias("b"))
-    ).where("a <> b")
+    both = F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in (("lo", "n"), ("n", "hi"))))
+    return placed.join(ends, "key").select(F.inline(both)).where("a <> b")
 
 
 def _unsettled(placed: DataFrame, ends: DataFrame, roots: DataFrame) -> DataFrame:
@@ -217,26 +225,23 @@ def similar_documents(
     docs = keyed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "id", "text")
     signed = stored(spark, docs.select(
         "id", "__id", F.col("__version").alias("version"),
-        fingerprint(F.col("text"), size).alias("f"), symbols(F.col("text"), size).alias("s"),
+        fingerprint(F.col("text"), size).alias("f"), bucket_keys(F.col("text"), size).alias("keys"),
     ), "signed")
     # Equal texts are one node, named by the least row; those without words are one as well.
-    wordless = F.col("s").isNull()
+    wordless = F.col("keys").isNull()
     same = F.when(wordless, 0).otherwise(F.col("version"))
-    signed = signed.withColumns({"same": same, "k": F.when(wordless, 0).otherwise(F.xxhash64("s"))})
+    signed = signed.withColumns({"same": same, "k": F.when(wordless, 0).otherwise(F.xxhash64("keys"))})
     nodes = signed.groupBy("same", "k").agg(
         F.min(F.struct("__id", F.col("version").alias("__version"))).alias("node"),
-        F.min("f").alias("f"), F.min("s").alias("s"), F.min("id").alias("id"),
+        F.min("f").alias("f"), F.min("keys").alias("keys"), F.min("id").alias("id"),
     )
     # In buckets a node goes by a hash; if two share one, both are candidates.
     nodes = stored(spark, nodes.withColumn("n", F.xxhash64("node")), "nodes")
-    full = nodes.where("s is not null")
-    keys = F.array(*(
-        F.xxhash64(F.lit(t), *(F.col("s")[i] for i in kept)) for t, kept in enumerate(_masks())
-    ))
+    full = nodes.where("keys is not null")
     # Equal fingerprints are a bucket as well, with those that are linked to it.
     near = links(full, "f").select(F.col("b").alias("f"), F.col("a").alias("key"))
     near = stored(spark, full.select("n", "f").join(near, "f").select("n", "key"), "near")
-    placed = full.select("n", F.explode(F.concat(keys, F.array("f"))).alias("key")).union(near)
+    placed = full.select("n", F.explode(F.concat("keys", F.array("f"))).alias("key")).union(near)
     ends = _bucket_ends(placed)
     pairs = _bucket_pairs(placed, ends)
     pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
