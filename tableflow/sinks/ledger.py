@@ -41,15 +41,18 @@ def read_pending(
     schema: StructType | None = None,
     glob: str = "*",
     options: Mapping[str, str] | None = None,
-    columns: Mapping[str, Column] | None = None,
+    columns: Mapping[str, Column] | str | None = None,
 ) -> tuple[DataFrame | None, DataFrame]:
     """Rows of the files not loaded yet (None if there are none) and the list of these files.
 
     The folder is scanned by the name pattern and by the age of the oldest pending file, which
     reaches the listing; rows of files that are not pending are dropped by a semi-join on the file
     they come from. Names are never taken as patterns, however many files there are.
-    ``columns`` are added where the files are read, so they may tell where a row came from.
+    ``columns`` are added where the files are read, so they may tell where a row came from; a
+    string names one that gets the name of the file.
     """
+    if isinstance(columns, str):
+        columns = {columns: F.col("_metadata.file_name")}
     pending = pending_files(manifest(spark, path, glob), read_ledger(spark, ledger_path))
     # The list is written down first: what is loaded now must be what is recorded later, whatever
     # arrives in between.
