@@ -41,7 +41,7 @@ def bucket_keys(text: Column, size: int) -> Column:
     """Column: per table of masks a hash of the symbols it keeps, null without words. The symbols are
     ``SETS`` times ``SYMBOLS`` min-hashes of a text's shingles.
 
-    Made here, as sixty hash expressions took the driver 150 MB for their code."""
+    Made here, as sixty hash expressions take much of the driver's memory when they are planned and compiled."""
     factors = mix(np.arange(1, SETS * SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
     places = np.arange(SETS * SYMBOLS, dtype=np.uint64) << np.uint64(32)
     tables = _masks()
